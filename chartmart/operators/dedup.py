@@ -28,14 +28,35 @@ def flag_duplicates(df: DataFrame, compare_cols: Sequence[str], key_cols: Sequen
     return (g.groupBy(*key_cols).agg(F.sum(F.col("_n") - 1).cast("bigint").alias(count_col)))
 
 
-def purge_duplicated_keys(df: DataFrame, key_cols: Sequence[str], compare_cols: Sequence[str]) -> DataFrame:
+def purge_duplicated_keys(df: DataFrame, key_cols: Sequence[str], compare_cols: Sequence[str],
+                          prefilter: bool = True) -> DataFrame:
     """Delete *every* row whose key belongs to a repeated group (DELETE ... WHERE key IN (...)).
 
     Grouping treats NULLs as equal, the delete test does not: a row with a NULL key part
     is never deleted. That is exactly a ``left_anti`` join on the key columns (null-unaware),
     never ``NOT IN``.
+
+    With ``prefilter`` the repeated groups are found in two passes so the wide rows are
+    not shuffled: (1) group by the keys plus two independent 64/32-bit hashes of the
+    compare columns - a narrow shuffle, partially aggregated on the map side - to get
+    candidate groups; (2) confirm the candidates exactly by grouping only the candidate
+    rows on every compare column (hash collisions are thereby ruled out). The duplicate
+    key set is staged, so the final anti join broadcasts it when its files are small and
+    shuffles otherwise. ``df`` is read three times; pass a staged (materialised) input.
     """
-    dup_keys = duplicate_groups(df, compare_cols, "_n").select(*key_cols).distinct()
+    from chartmart.session import stage
+
+    key_cols, compare_cols = list(key_cols), list(compare_cols)
+    if prefilter:
+        hashed = df.select(*key_cols, F.xxhash64(*compare_cols).alias("_h1"), F.hash(*compare_cols).alias("_h2"))
+        cand = stage(hashed.groupBy(*key_cols, "_h1", "_h2").agg(F.count(F.lit(1)).alias("_n"))
+                     .filter(F.col("_n") > 1).drop("_n"), "dup_candidates")
+        rows = df.withColumn("_h1", F.xxhash64(*compare_cols)).withColumn("_h2", F.hash(*compare_cols))
+        hit = [rows[k].eqNullSafe(cand[k]) for k in key_cols] + [rows["_h1"] == cand["_h1"], rows["_h2"] == cand["_h2"]]
+        suspects = rows.join(cand, hit, "left_semi").drop("_h1", "_h2")
+    else:
+        suspects = df
+    dup_keys = stage(duplicate_groups(suspects, compare_cols, "_n").select(*key_cols).distinct(), "dup_keys")
     cond = [df[k] == dup_keys[k] for k in key_cols]
     return df.join(dup_keys, cond, "left_anti")
 

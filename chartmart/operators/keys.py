@@ -8,10 +8,11 @@ table into a single task. Instead:
 3. write the tagged rows once to shared storage (range bounds are sampled, so a
    recomputation could move rows; the written copy freezes them and survives executor loss),
 4. count rows per partition (one tiny row per partition), turn the counts into running
-   offsets, and add ``start + offset + position``.
+   offsets on the driver, and add ``start + offset + position`` in a plain projection.
 
 The only data that meets in one place is the per-partition count table, whose size is
-bounded by the number of partitions, so it is safe to broadcast.
+bounded by the number of partitions (not by the data). The keyed result is a projection
+over the written files, so the planner sees its true size when it is joined later.
 """
 
 from __future__ import annotations
@@ -20,7 +21,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from chartmart.session import scratch_path
 
@@ -51,15 +51,21 @@ def assign_surrogate_keys(df: DataFrame, order_cols: Sequence[str | Column], key
     tagged.write.mode("overwrite").parquet(path)
     frozen = spark.read.parquet(path)
 
-    counts = frozen.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
-    running = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    offsets = counts.select("_pid", (F.sum("_cnt").over(running) - F.col("_cnt")).alias("_off"))
+    # one row per non-empty partition: a bounded, tiny result, turned into running offsets
+    counts = sorted((r["_pid"], r["_cnt"]) for r in
+                    frozen.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt")).collect())
+    offsets, run = {}, 0
+    for pid, cnt in counts:
+        offsets[pid] = run
+        run += cnt
+    off = F.lit(0).cast("bigint")
+    if offsets:
+        table = F.create_map(*[x for pid, o in offsets.items() for x in (F.lit(pid), F.lit(o).cast("bigint"))])
+        off = table[F.col("_pid")]
 
     start_col = start if isinstance(start, Column) else F.lit(int(start))
     pos = F.col("_mid") - F.shiftleft(F.col("_pid").cast("bigint"), _POS_BITS)
-    keyed = (frozen.join(F.broadcast(offsets), "_pid")
-             .withColumn(key, (start_col + F.col("_off") + pos).cast("bigint")))
-    return keyed.select(key, *df.columns)
+    return frozen.select((start_col + off + pos).cast("bigint").alias(key), *df.columns)
 
 
 def next_key(df: DataFrame, key: str) -> int:

@@ -22,7 +22,7 @@ from chartmart.operators.quality import check_not_null, check_result, check_type
 from chartmart.operators.upsert import upsert_dim_artist, upsert_dim_track
 from chartmart.operators.weekly import enrich_artist, flatten_pages, weekly_rows
 from chartmart.schemas import FACT_COLUMNS, RAW_CHART, RAW_RELEASE
-from chartmart.session import scratch_path
+from chartmart.session import stage
 from chartmart.sources.files import FileFormat, scan_csv
 
 # Fixed run clock of the repeatable runs (never current_timestamp inside a compared query).
@@ -33,13 +33,6 @@ RUN_DATE = "2024-11-15"                  # logical date of the incremental run
 WEEKLY_AS_OF = "2024-11-15"              # "today" of the weekly load
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write a stage output to shared storage and read it back (a lineage cut)."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def dedup(df: DataFrame, key_cols: list[str], compare_cols: list[str], how: str) -> DataFrame:
     if how == "purge":
         return purge_duplicated_keys(df, key_cols, compare_cols)
@@ -51,11 +44,18 @@ def dedup(df: DataFrame, key_cols: list[str], compare_cols: list[str], how: str)
 
 
 def clean_chart(raw: DataFrame, dedup_how: str = "purge") -> DataFrame:
-    return dedup(clean(raw, CHART_SPEC), ["uri"], CHART_COMPARE, dedup_how)
+    """Typed chart rows, staged once (the cleanup reads them several times), then deduplicated."""
+    typed = clean(raw, CHART_SPEC)
+    if dedup_how != "none":
+        typed = stage(typed, "chart_clean")
+    return dedup(typed, ["uri"], CHART_COMPARE, dedup_how)
 
 
 def clean_release(raw: DataFrame, load_ts: datetime | str = RELEASE_LOAD_TS, dedup_how: str = "purge") -> DataFrame:
-    return dedup(clean(raw, RELEASE_SPEC, load_timestamp=ts_lit(load_ts)), ["uri"], RELEASE_COMPARE, dedup_how)
+    typed = clean(raw, RELEASE_SPEC, load_timestamp=ts_lit(load_ts))
+    if dedup_how != "none":
+        typed = stage(typed, "release_clean")
+    return dedup(typed, ["uri"], RELEASE_COMPARE, dedup_how)
 
 
 def run_historical_chart(spark: SparkSession, path: str, dedup_how: str = "purge",

@@ -24,10 +24,10 @@ from chartmart.operators.quality import (check_fanout, check_foreign_key, check_
 from chartmart.operators.upsert import select_run_date, upsert_dim_artist, upsert_dim_track
 from chartmart.operators.weekly import (enrich_artist, flatten_pages, scan_artists, scan_release_pages, weekly_rows)
 from chartmart.plans.flows import (HIST_AS_OF, MERGE_AS_OF, RELEASE_LOAD_TS, RUN_DATE, WEEKLY_AS_OF, clean_chart,
-                                   clean_release, dedup, mart_checks, run_fact, run_historical_chart,
-                                   run_historical_release, run_weekly_load, stage)
+                                   clean_release, mart_checks, run_fact, run_historical_chart,
+                                   run_historical_release, run_weekly_load)
 from chartmart.schemas import FACT_COLUMNS, RAW_CHART, RAW_RELEASE, RELEASE_COLUMNS
-from chartmart.session import scratch_path
+from chartmart.session import scratch_path, stage
 from chartmart.sources import binding as B
 from chartmart.sources.files import FileFormat, scan_csv, write_csv
 from chartmart.streaming.release_stream import stream_dedup, stream_upsert

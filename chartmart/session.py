@@ -27,6 +27,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.host", "127.0.0.1")
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.driver.memory", "16g")
@@ -64,10 +65,29 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/chartmart-stage/{uuid.uuid4().hex}/{name}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage by a reliable checkpoint (survives executor loss; never a local checkpoint)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once to shared storage and read it back.
+
+    Cuts lineage (a lost executor re-reads files instead of recomputing upstream joins),
+    lets several consumers share one computation, and gives the planner a true size for
+    the result (file statistics), so a small result is broadcast and a large one is not.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Give a scan at least one partition per core.
+
+    A table stored as many files/row groups already has enough partitions and passes
+    through untouched (the cluster case); a single-row-group file is read by one task, so
+    it is spread round-robin once, before the expensive narrow work, to use every core.
+    """
+    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < n:
+        return df.repartition(n)
+    return df
 
 
 def table_path(sf_dir: str, name: str) -> str:

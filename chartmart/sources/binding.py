@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chartmart.schemas import CHART_COLUMNS, RELEASE_COLUMNS
-from chartmart.session import table_path
+from chartmart.session import spread, table_path
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
           "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -54,14 +54,23 @@ def chart_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     Built-in traps: 15-char prefixes, NULL uri, rank 0, genre '0' and NULL, bad and
     decimal streams, bad weeks, exact duplicates, two genres per artist.
     """
-    li = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate")
+    li = spread(read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate"))
     p = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_size", "p_retailprice")
+    s = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    r = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    # part and supplier grow with the data: Catalyst/AQE pick broadcast or shuffle from their
+    # sizes. nation and region are fixed-size code tables, joined last as broadcasts.
     j = (li.join(p, li.l_partkey == p.p_partkey)
-         .join(supplier_geo(spark, sf_dir), F.col("l_suppkey") == F.col("s_suppkey"))
+         .join(s, F.col("l_suppkey") == F.col("s_suppkey"))
+         .join(F.broadcast(n), F.col("s_nationkey") == F.col("n_nationkey"))
+         .join(F.broadcast(r), F.col("n_regionkey") == F.col("r_regionkey"))
          .withColumn("rel_d", F.date_add(F.lit("1995-01-01").cast("date"), (F.col("p_partkey") % 2500).cast("int")))
          .withColumn("ship_d", F.col("l_shipdate").cast("date")))
-    k = j.unionByName(j.filter((F.col("p_partkey") % 20 == 0) & (F.col("l_orderkey") % 10 == 0)))
+    # exact copies for 1 in 20 tracks, emitted in the same pass (no second evaluation of the joins)
+    copies = F.when((F.col("p_partkey") % 20 == 0) & (F.col("l_orderkey") % 10 == 0), F.array(F.lit(0), F.lit(1)))
+    k = j.withColumn("_copy", F.explode(F.coalesce(copies, F.array(F.lit(0)))))
 
     ok, pk, sk, size = F.col("l_orderkey"), F.col("p_partkey"), F.col("s_suppkey"), F.col("p_size")
     qty = _s(F.col("l_quantity").cast("int"))

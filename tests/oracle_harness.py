@@ -32,6 +32,11 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+                 "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE",
+                 "smallint": "SMALLINT", "tinyint": "TINYINT", "float": "FLOAT"}
+
+
 def _norm(v):
     if v is None:
         return None
@@ -75,6 +80,12 @@ def compare(spark, sf_dir: str, key: str, con=None) -> dict:
     if sorted(s_cols) != sorted(d_cols):
         res["status"] = f"COLUMNS differ: spark={sorted(s_cols)} oracle={sorted(d_cols)}"
         return res
+    d_types = {d[0]: str(d[1]) for d in rel.description}
+    s_types = {f.name: f.dataType.simpleString() for f in sdf.schema.fields}
+    bad_types = {c: (s_types[c], d_types[c]) for c in s_cols
+                 if SPARK_TO_DUCK.get(s_types[c], s_types[c]) != d_types[c].upper()}
+    if bad_types:
+        res["type_diff"] = bad_types
     a, b = _rows(s_cols, s_rows), _rows(d_cols, d_rows)
     if a == b:
         res["status"] = "match"
@@ -102,7 +113,7 @@ def main(argv):
             r = compare(spark, sf_dir, k, con)
         except Exception as e:  # report and continue
             r = {"key": k, "status": f"ERROR {type(e).__name__}: {str(e)[:400]}"}
-        if r["status"] not in ("match", "rows-only"):
+        if r["status"] not in ("match", "rows-only") or r.get("type_diff"):
             bad += 1
         print(r, flush=True)
     print(f"{len(keys) - bad}/{len(keys)} ok")
