@@ -258,24 +258,28 @@ def q_incremental_slice(spark, sf):
     return select_run_date(release_purged(spark, sf), "release_date", RUN_DATE)
 
 
-def hist_dims(spark, sf):
-    chart = chart_purged(spark, sf)
-    return build_dim_artist([chart], HIST_AS_OF), build_dim_track([chart], HIST_AS_OF)
+def hist_dim_artist(spark, sf):
+    """Artist dimension of the chart history alone: the target of the daily release upsert."""
+    return build_dim_artist([chart_purged(spark, sf)], HIST_AS_OF)
+
+
+def hist_dim_track(spark, sf):
+    return build_dim_track([chart_purged(spark, sf)], HIST_AS_OF)
 
 
 def q_merge_upsert_artist(spark, sf):
-    dim_artist, _ = hist_dims(spark, sf)
+    dim_artist = hist_dim_artist(spark, sf)
     return upsert_dim_artist(dim_artist, release_purged(spark, sf), RUN_DATE, MERGE_AS_OF, on_stale="skip")
 
 
 def q_merge_upsert_artist_stale_insert(spark, sf):
-    dim_artist, _ = hist_dims(spark, sf)
+    dim_artist = hist_dim_artist(spark, sf)
     stale = dim_artist.withColumn("effective_start_date", ts_lit("2030-01-01 00:00:00"))
     return upsert_dim_artist(stale, release_purged(spark, sf), RUN_DATE, MERGE_AS_OF, on_stale="insert")
 
 
 def q_merge_upsert_track(spark, sf):
-    _, dim_track = hist_dims(spark, sf)
+    dim_track = hist_dim_track(spark, sf)
     return upsert_dim_track(dim_track, release_purged(spark, sf), RUN_DATE, MERGE_AS_OF, on_stale="skip")
 
 
@@ -378,7 +382,7 @@ def q_stream_dedup(spark, sf):
 
 
 def q_stream_upsert(spark, sf):
-    dim_artist, _ = hist_dims(spark, sf)
+    dim_artist = hist_dim_artist(spark, sf)
     rel = release_purged(spark, sf)
     in_dir = scratch_path(spark, "release_in")
     select_run_date(rel, "release_date", RUN_DATE).write.mode("overwrite").parquet(in_dir)

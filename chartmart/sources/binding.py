@@ -2,9 +2,9 @@
 
 The driver's tables are a star of orders/lineitem, not chart files, so every query first
 derives chart-shaped all-string rows from them (FIXTURES.md §3). The derivation is a
-plain DataFrame plan over the *whole* tables: lineitem joined to part and to a
-supplier-nation-region dimension; nation and region are fixed 25- and 5-row tables and
-are broadcast on that bound, everything else is left to Catalyst/AQE.
+plain DataFrame plan over the *whole* tables: lineitem joined to part, supplier, nation
+and region; nation and region are fixed 25- and 5-row tables and are broadcast on that
+bound, the join strategy for part and supplier is left to Catalyst/AQE (size-based).
 """
 
 from __future__ import annotations
@@ -40,14 +40,6 @@ def _dmy(d: Column) -> Column:
     )
 
 
-def supplier_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
-    r = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    return (s.join(F.broadcast(n), s.s_nationkey == n.n_nationkey)
-            .join(F.broadcast(r), F.col("n_regionkey") == r.r_regionkey))
-
-
 def chart_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """35 all-string columns, one row per lineitem plus exact copies for 1 in 20 tracks.
 
