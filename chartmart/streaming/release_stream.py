@@ -39,25 +39,44 @@ def stream_dedup(spark: SparkSession, in_dir: str, schema: T.StructType, out_dir
         q.awaitTermination()
 
 
+def _read_pointer(spark: SparkSession, versions_dir: str) -> str | None:
+    try:
+        row = spark.read.parquet(f"{versions_dir}/_current").first()
+    except Exception:  # no version published yet
+        return None
+    return None if row is None else row["path"]
+
+
+def _publish(spark: SparkSession, versions_dir: str, path: str, batch_id: int) -> None:
+    """Point readers at a complete version (written after the version itself)."""
+    spark.createDataFrame([(path, batch_id)], "path string, batch_id bigint") \
+        .coalesce(1).write.mode("overwrite").parquet(f"{versions_dir}/_current")
+
+
 def stream_upsert(spark: SparkSession, in_dir: str, schema: T.StructType, versions_dir: str, checkpoint: str,
                   initial: DataFrame, apply: Callable[[DataFrame, DataFrame], DataFrame],
                   fmt: str = "parquet", available_now: bool = True) -> str:
     """Upsert each micro-batch into a dimension; returns the folder of the latest version.
 
-    ``initial`` is the dimension before the stream; ``apply(dim, batch)`` returns the next
-    version. Version ``b`` is written to ``versions_dir/v=<b>``; the previous version is the
-    highest committed one below it.
+    ``initial`` is the dimension before the stream (used only when nothing was published
+    yet); ``apply(dim, batch)`` returns the next version. Version ``b`` is written to
+    ``versions_dir/v=<b>`` and then published through a one-row pointer table, so a
+    restarted query resumes from the last published version and a retried batch rewrites
+    its own version directory (idempotent).
     """
-    initial_path = f"{versions_dir}/v=-1"
-    initial.write.mode("overwrite").parquet(initial_path)
-    latest = {"path": initial_path}
+    if _read_pointer(spark, versions_dir) is None:
+        first = f"{versions_dir}/v=-1"
+        initial.write.mode("overwrite").parquet(first)
+        _publish(spark, versions_dir, first, -1)
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        dim = spark.read.parquet(latest["path"])
-        nxt = apply(dim, batch)
+        current = _read_pointer(spark, versions_dir)
+        if current.endswith(f"/v={batch_id}"):  # retry after publishing: already applied
+            return
+        nxt = apply(spark.read.parquet(current), batch)
         path = f"{versions_dir}/v={batch_id}"
-        nxt.write.mode("overwrite").parquet(path)  # same path on a retry: idempotent
-        latest["path"] = path
+        nxt.write.mode("overwrite").parquet(path)
+        _publish(spark, versions_dir, path, batch_id)
 
     src = spark.readStream.schema(schema).format(fmt).load(in_dir)
     w = src.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint)
@@ -65,4 +84,4 @@ def stream_upsert(spark: SparkSession, in_dir: str, schema: T.StructType, versio
     q = w.start()
     if available_now:
         q.awaitTermination()
-    return latest["path"]
+    return _read_pointer(spark, versions_dir)

@@ -26,7 +26,7 @@ def test_try_date_strict_format(spark):
 
 
 def test_strip_prefix_literal_position_and_separator(spark):
-    vals = ["catalog:artist:42", "spotify:track:abc", None]
+    vals = ["catalog:artist:42", "catalog:track:abc", None]
     assert one_col(spark, vals, strip_prefix) == ["42", "bc", None]  # 14-char prefix loses one char
     assert one_col(spark, vals, lambda c: strip_prefix(c, sep=":")) == ["42", "abc", None]
 
