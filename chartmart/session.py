@@ -32,6 +32,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="chartmart-warehouse-"))
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -45,7 +46,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster the folder must be shared storage named by ``spark.checkpoint.dir``;
     we refuse to invent a machine-local one there.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session has no local context: use the setting as given
+        conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+        if not conf_dir:
+            raise RuntimeError("spark.checkpoint.dir is not set; point it at shared storage")
+        return conf_dir
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -84,10 +91,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     through untouched (the cluster case); a single-row-group file is read by one task, so
     it is spread round-robin once, before the expensive narrow work, to use every core.
     """
-    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < n:
-        return df.repartition(n)
-    return df
+    try:
+        n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # partition count not observable here (e.g. a remote session): leave as is
+        return df
+    return df.repartition(n) if have < n else df
 
 
 def table_path(sf_dir: str, name: str) -> str:
