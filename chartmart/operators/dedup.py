@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 
@@ -28,15 +29,22 @@ def flag_duplicates(df: DataFrame, compare_cols: Sequence[str], key_cols: Sequen
     return (g.groupBy(*key_cols).agg(F.sum(F.col("_n") - 1).cast("bigint").alias(count_col)))
 
 
+def _wide(df: DataFrame, key_cols: Sequence[str], compare_cols: Sequence[str]) -> bool:
+    """Rows worth replacing by hashes in a shuffle: non-key compare columns holding text, or many columns."""
+    extra = [c for c in compare_cols if c not in key_cols]
+    text = [c for c in extra if isinstance(df.schema[c].dataType, (T.StringType, T.BinaryType))]
+    return bool(text) or len(extra) > 8
+
+
 def purge_duplicated_keys(df: DataFrame, key_cols: Sequence[str], compare_cols: Sequence[str],
-                          prefilter: bool = True) -> DataFrame:
+                          prefilter: bool | str = "auto") -> DataFrame:
     """Delete *every* row whose key belongs to a repeated group (DELETE ... WHERE key IN (...)).
 
     Grouping treats NULLs as equal, the delete test does not: a row with a NULL key part
     is never deleted. That is exactly a ``left_anti`` join on the key columns (null-unaware),
     never ``NOT IN``.
 
-    With ``prefilter`` the repeated groups are found in two passes so the wide rows are
+    With ``prefilter`` ("auto": when the compare columns are wide) the repeated groups are found in two passes so the wide rows are
     not shuffled: (1) group by the keys plus two independent 64/32-bit hashes of the
     compare columns - a narrow shuffle, partially aggregated on the map side - to get
     candidate groups; (2) confirm the candidates exactly by grouping only the candidate
@@ -47,6 +55,8 @@ def purge_duplicated_keys(df: DataFrame, key_cols: Sequence[str], compare_cols:
     from chartmart.session import stage
 
     key_cols, compare_cols = list(key_cols), list(compare_cols)
+    if prefilter == "auto":
+        prefilter = _wide(df, key_cols, compare_cols)
     if prefilter:
         hashed = df.select(*key_cols, F.xxhash64(*compare_cols).alias("_h1"), F.hash(*compare_cols).alias("_h2"))
         cand = stage(hashed.groupBy(*key_cols, "_h1", "_h2").agg(F.count(F.lit(1)).alias("_n"))

@@ -58,6 +58,11 @@ def clean_release(raw: DataFrame, load_ts: datetime | str = RELEASE_LOAD_TS, ded
     return dedup(typed, ["uri"], RELEASE_COMPARE, dedup_how)
 
 
+def stage_release(release: DataFrame) -> DataFrame:
+    """Cleaned release rows laid out by release date: a run-date slice reads one directory."""
+    return stage(release, "release_purged", partition_by=["release_date"])
+
+
 def run_historical_chart(spark: SparkSession, path: str, dedup_how: str = "purge",
                          fmt: FileFormat = FileFormat()) -> DataFrame:
     """M1: chart CSV -> all-string landing rows -> typed rows -> duplicate cleanup."""

@@ -25,7 +25,7 @@ from chartmart.operators.upsert import select_run_date, upsert_dim_artist, upser
 from chartmart.operators.weekly import (enrich_artist, flatten_pages, scan_artists, scan_release_pages, weekly_rows)
 from chartmart.plans.flows import (HIST_AS_OF, MERGE_AS_OF, RELEASE_LOAD_TS, RUN_DATE, WEEKLY_AS_OF, clean_chart,
                                    clean_release, mart_checks, run_fact, run_historical_chart,
-                                   run_historical_release, run_weekly_load)
+                                   run_historical_release, run_weekly_load, stage_release)
 from chartmart.schemas import FACT_COLUMNS, RAW_CHART, RAW_RELEASE, RELEASE_COLUMNS
 from chartmart.session import scratch_path, stage
 from chartmart.sources import binding as B
@@ -52,7 +52,7 @@ def release_clean(spark, sf) -> DataFrame:
 
 
 def release_purged(spark, sf) -> DataFrame:
-    return stage(clean_release(B.release_raw(spark, sf)), "release_purged")
+    return stage_release(clean_release(B.release_raw(spark, sf)))
 
 
 def all_dims(spark, sf, chart=None, release=None) -> dict[str, DataFrame]:

@@ -72,16 +72,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/chartmart-stage/{uuid.uuid4().hex}/{name}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` once to shared storage and read it back.
 
     Cuts lineage (a lost executor re-reads files instead of recomputing upstream joins),
     lets several consumers share one computation, and gives the planner a true size for
     the result (file statistics), so a small result is broadcast and a large one is not.
+    ``partition_by`` lays the files out by column value, so equality filters on it prune
+    whole directories at scan time.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    w = df.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)  # known schema: no footer inference
+    return back.select(*df.columns)
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
