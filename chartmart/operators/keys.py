@@ -41,9 +41,11 @@ def assign_surrogate_keys(df: DataFrame, order_cols: Sequence[str | Column], key
     literal of the previous maximum + 1).
     """
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = _order_exprs(order_cols)
-    tagged = (df.repartitionByRange(n, *order)
+    # without an explicit count AQE sizes the range partitions from the data (coalescing
+    # neighbours keeps the order); an explicit count is honoured as given
+    ranged = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
+    tagged = (ranged
               .sortWithinPartitions(*order)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_mid", F.monotonically_increasing_id()))
