@@ -37,7 +37,7 @@ def _wide(df: DataFrame, key_cols: Sequence[str], compare_cols: Sequence[str]) -
 
 
 def purge_duplicated_keys(df: DataFrame, key_cols: Sequence[str], compare_cols: Sequence[str],
-                          prefilter: bool | str = "auto") -> DataFrame:
+                          prefilter: bool | str = "auto", broadcast_max_rows: int = 1_000_000) -> DataFrame:
     """Delete *every* row whose key belongs to a repeated group (DELETE ... WHERE key IN (...)).
 
     Grouping treats NULLs as equal, the delete test does not: a row with a NULL key part
@@ -49,8 +49,10 @@ def purge_duplicated_keys(df: DataFrame, key_cols: Sequence[str], compare_cols:
     compare columns - a narrow shuffle, partially aggregated on the map side - to get
     candidate groups; (2) confirm the candidates exactly by grouping only the candidate
     rows on every compare column (hash collisions are thereby ruled out). The duplicate
-    key set is staged, so the final anti join broadcasts it when its files are small and
-    shuffles otherwise. ``df`` is read three times; pass a staged (materialised) input.
+    key set is staged and counted: up to ``broadcast_max_rows`` keys it is broadcast to the
+    anti join and the result stays a cheap lazy plan; beyond that the anti join shuffles
+    (AQE splits skewed keys) and its result is staged once so consumers do not repeat it.
+    ``df`` is read three times; pass a staged (materialised) input.
     """
     from chartmart.session import stage
 
@@ -67,8 +69,14 @@ def purge_duplicated_keys(df: DataFrame, key_cols: Sequence[str], compare_cols:
     else:
         suspects = df
     dup_keys = stage(duplicate_groups(suspects, compare_cols, "_n").select(*key_cols).distinct(), "dup_keys")
-    cond = [df[k] == dup_keys[k] for k in key_cols]
-    return df.join(dup_keys, cond, "left_anti")
+    n_dup = dup_keys.count()  # exact size of the set before deciding to broadcast it
+    if n_dup == 0:
+        return df
+    small = n_dup <= broadcast_max_rows
+    right = F.broadcast(dup_keys) if small else dup_keys
+    cond = [df[k] == right[k] for k in key_cols]
+    kept = df.join(right, cond, "left_anti")
+    return kept if small else stage(kept, "purged")
 
 
 def drop_exact_duplicates(df: DataFrame, cols: Sequence[str] | None = None,

@@ -44,7 +44,8 @@ def chart_clean(spark, sf) -> DataFrame:
 
 
 def chart_purged(spark, sf) -> DataFrame:
-    return stage(clean_chart(B.chart_raw(spark, sf)), "chart_purged")
+    """Cleaned, deduplicated chart rows: staged typed rows minus the (checked-size) duplicate keys."""
+    return clean_chart(B.chart_raw(spark, sf))
 
 
 def release_clean(spark, sf) -> DataFrame:
@@ -367,7 +368,6 @@ def q_run_release_clean(spark, sf):
 
 def q_run_fact(spark, sf):
     chart = run_historical_chart(spark, landed_chart_csv(spark, sf))
-    chart = stage(chart, "chart_purged")
     dims = all_dims(spark, sf, chart)
     return run_fact(chart, dims)
 

@@ -64,3 +64,12 @@ def test_purge_property_partition_of_input(spark, data):
     bad = {u for (u, s), n in cnt.items() if n > 1 and u is not None}
     expect = sorted([r for r in data if r[0] not in bad], key=lambda t: tuple((x is None, str(x)) for x in t))
     assert kept == expect
+
+
+def test_purge_large_duplicate_set_path(spark):
+    """Above the broadcast bound the anti join shuffles and its result is staged: same rows."""
+    df = spark.createDataFrame([("a", 1, 10), ("a", 2, 10), ("b", 1, 5), (None, 1, 1), (None, 2, 1)], SCHEMA)
+    small = rows(purge_duplicated_keys(df, ["uri"], ["uri", "streams"]))
+    big = purge_duplicated_keys(df, ["uri"], ["uri", "streams"], broadcast_max_rows=0)
+    assert rows(big) == small == [("b", 1, 5), (None, 1, 1), (None, 2, 1)]
+    assert "BroadcastHashJoin" not in big._jdf.queryExecution().executedPlan().toString()
