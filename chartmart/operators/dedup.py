@@ -37,14 +37,16 @@ def _wide(df: DataFrame, key_cols: Sequence[str], compare_cols: Sequence[str]) -
 
 
 def purge_duplicated_keys(df: DataFrame, key_cols: Sequence[str], compare_cols: Sequence[str],
-                          prefilter: bool | str = "auto", broadcast_max_rows: int = 1_000_000) -> DataFrame:
+                          prefilter: bool | str = "auto", broadcast_max_rows: int = 1_000_000,
+                          prefilter_min_rows: int = 2_000_000) -> DataFrame:
     """Delete *every* row whose key belongs to a repeated group (DELETE ... WHERE key IN (...)).
 
     Grouping treats NULLs as equal, the delete test does not: a row with a NULL key part
     is never deleted. That is exactly a ``left_anti`` join on the key columns (null-unaware),
     never ``NOT IN``.
 
-    With ``prefilter`` ("auto": when the compare columns are wide) the repeated groups are found in two passes so the wide rows are
+    With ``prefilter`` ("auto": compare columns wide and more than ``prefilter_min_rows`` rows,
+    counted from the staged input's metadata) the repeated groups are found in two passes so the wide rows are
     not shuffled: (1) group by the keys plus two independent 64/32-bit hashes of the
     compare columns - a narrow shuffle, partially aggregated on the map side - to get
     candidate groups; (2) confirm the candidates exactly by grouping only the candidate
@@ -58,7 +60,7 @@ def purge_duplicated_keys(df: DataFrame, key_cols: Sequence[str], compare_cols:
 
     key_cols, compare_cols = list(key_cols), list(compare_cols)
     if prefilter == "auto":
-        prefilter = _wide(df, key_cols, compare_cols)
+        prefilter = _wide(df, key_cols, compare_cols) and df.count() > prefilter_min_rows
     if prefilter:
         hashed = df.select(*key_cols, F.xxhash64(*compare_cols).alias("_h1"), F.hash(*compare_cols).alias("_h2"))
         cand = stage(hashed.groupBy(*key_cols, "_h1", "_h2").agg(F.count(F.lit(1)).alias("_n"))

@@ -142,4 +142,7 @@ def run_weekly_load(pages: DataFrame, artists: DataFrame, as_of: date | str = WE
                     dedup_how: str = "purge") -> DataFrame:
     """M7: pages -> flat items -> artist enrichment -> last-7-days rows -> typed -> cleanup."""
     rows = weekly_rows(enrich_artist(flatten_pages(pages), artists), as_of)
-    return dedup(clean(rows, WEEKLY_SPEC), ["uri"], list(rows.columns), dedup_how)
+    typed = clean(rows, WEEKLY_SPEC)
+    if dedup_how != "none":
+        typed = stage(typed, "weekly_clean")
+    return dedup(typed, ["uri"], list(rows.columns), dedup_how)
