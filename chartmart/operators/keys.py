@@ -32,16 +32,26 @@ def _order_exprs(order_cols: Sequence[str | Column]) -> list[Column]:
 
 
 def assign_surrogate_keys(df: DataFrame, order_cols: Sequence[str | Column], key: str,
-                          start: int | Column = 1, num_partitions: int | None = None) -> DataFrame:
+                          start: int | Column = 1, num_partitions: int | None = None,
+                          tiebreak: bool = False) -> DataFrame:
     """Add ``key`` = start, start+1, ... following ``order_cols`` ascending, NULLs first.
 
     Order by enough columns to make the order total (for a distinct row set: all of them)
     so keys are deterministic; they then equal ``ROW_NUMBER() OVER (ORDER BY ... NULLS FIRST)``.
     ``start`` may be an int or a one-value column expression evaluated per row (e.g. a
     literal of the previous maximum + 1).
+
+    Range partitioning cannot split *equal* order values, so for an input that is not
+    distinct (one value may repeat for a third of the rows) pass ``tiebreak=True``: a
+    seeded random last order column spreads equal rows over partitions. Equal rows are
+    interchangeable, so the set of (key, row) pairs is the same.
     """
     spark = df.sparkSession
     order = _order_exprs(order_cols)
+    if tiebreak:
+        df_in = df
+        df = df.withColumn("_tie", F.rand(17))
+        order = order + [F.col("_tie").asc()]
     # without an explicit count AQE sizes the range partitions from the data (coalescing
     # neighbours keeps the order); an explicit count is honoured as given
     ranged = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
@@ -67,7 +77,8 @@ def assign_surrogate_keys(df: DataFrame, order_cols: Sequence[str | Column], key
 
     start_col = start if isinstance(start, Column) else F.lit(int(start))
     pos = F.col("_mid") - F.shiftleft(F.col("_pid").cast("bigint"), _POS_BITS)
-    return frozen.select((start_col + off + pos).cast("bigint").alias(key), *df.columns)
+    out_cols = df_in.columns if tiebreak else df.columns
+    return frozen.select((start_col + off + pos).cast("bigint").alias(key), *out_cols)
 
 
 def next_key(df: DataFrame, key: str) -> int:
