@@ -19,6 +19,10 @@ class Lookup:
     ``cast`` converts the dimension's column before the join (e.g. a STRING date to DATE).
     ``broadcast``: True only for dimensions of a fixed, proven size (the calendar); None
     leaves the choice to Catalyst's size estimate and AQE's runtime statistics.
+    ``salt``: for a dimension too large to broadcast whose natural keys are hot in the
+    source (one key may carry a third of the rows), spread each source key over ``salt``
+    random buckets and replicate the dimension rows into every bucket, so a hot key is
+    joined by ``salt`` tasks instead of one. The result is exactly the unsalted join.
     """
 
     dim: DataFrame
@@ -27,6 +31,7 @@ class Lookup:
     key: str
     cast: str | None = None
     broadcast: bool | None = None
+    salt: int = 0
 
 
 def star_lookup(src: DataFrame, lookups: Sequence[Lookup], lookup: str = "all") -> DataFrame:
@@ -49,7 +54,14 @@ def star_lookup(src: DataFrame, lookups: Sequence[Lookup], lookup: str = "all")
             d = d.groupBy(alias).agg(F.min(lk.key).alias(lk.key))
         if lk.broadcast:
             d = F.broadcast(d)
-        out = out.join(d, out[lk.src_col] == d[alias], "left").drop(alias)
+            out = out.join(d, out[lk.src_col] == d[alias], "left").drop(alias)
+        elif lk.salt and lk.salt > 1:
+            salt = f"_salt{i}"
+            d = d.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(lk.salt - 1))))
+            out = out.withColumn(salt, F.floor(F.rand(31 + i) * lk.salt).cast("int"))
+            out = out.join(d, (out[lk.src_col] == d[alias]) & (out[salt] == d[salt]), "left").drop(alias, salt)
+        else:
+            out = out.join(d, out[lk.src_col] == d[alias], "left").drop(alias)
     return out
 
 

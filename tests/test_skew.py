@@ -56,3 +56,14 @@ def test_keys_on_repeated_values_spread(spark):
 def test_unique_check_hot_value(spark):
     _, df = skewed(spark)
     assert rows(check_unique(df, "uri").filter("unique_field = 'hot'")) == [("hot", N // 3)]
+
+
+def test_salted_lookup_equals_plain(spark):
+    from chartmart.operators.fact import Lookup, star_lookup
+
+    data, df = skewed(spark)
+    dim = spark.createDataFrame([(1, "hot"), (2, "hot"), (3, "u1"), (4, "u2")], "k bigint, nat string")
+    plain = star_lookup(df, [Lookup(dim, "uri", "nat", "k")])
+    salted = star_lookup(df, [Lookup(dim, "uri", "nat", "k", salt=8)])
+    assert rows(salted) == rows(plain)
+    assert plain.count() == N + N // 3 + 0  # hot rows fan out over two dimension rows
