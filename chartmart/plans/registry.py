@@ -70,7 +70,8 @@ def all_dims(spark, sf, chart=None, release=None) -> dict[str, DataFrame]:
 def fact_and_dims(spark, sf) -> tuple[DataFrame, dict[str, DataFrame]]:
     chart = chart_purged(spark, sf)
     dims = all_dims(spark, sf, chart)
-    return stage(run_fact(chart, dims), "fact"), dims
+    # the fact is a lazy plan here (broadcast lookups over staged rows): each query reads it once
+    return run_fact(chart, dims), dims
 
 
 def landed_chart_csv(spark, sf) -> str:
