@@ -191,11 +191,11 @@ def q_surrogate_key(spark, sf):
 
 
 def q_dim_artist(spark, sf):
-    return all_dims(spark, sf)["dim_artist"]
+    return build_dim_artist([chart_purged(spark, sf), release_purged(spark, sf)], HIST_AS_OF)
 
 
 def q_dim_track(spark, sf):
-    return all_dims(spark, sf)["dim_track"]
+    return build_dim_track([chart_purged(spark, sf), release_purged(spark, sf)], HIST_AS_OF)
 
 
 def q_dim_country(spark, sf):
@@ -321,7 +321,7 @@ def q_dq_foreign_key(spark, sf):
 
 
 def q_dq_fanout(spark, sf):
-    return check_fanout(all_dims(spark, sf)["dim_artist"], ["artist_id"])
+    return check_fanout(q_dim_artist(spark, sf), ["artist_id"])
 
 
 def q_flatten_release_pages(spark, sf):
