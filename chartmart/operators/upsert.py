@@ -34,7 +34,7 @@ def src(c: str) -> Column:
 def merge_upsert(target: DataFrame, source: DataFrame, on: Sequence[tuple[str, str]],
                  set_: Mapping[str, Column], insert: Mapping[str, Column], key: str,
                  fresher: tuple[str, str] | None = None, on_stale: str = "skip",
-                 insert_order: Sequence[str] | None = None) -> DataFrame:
+                 insert_order: Sequence[str] | None = None, check_unique_source: bool = True) -> DataFrame:
     """Upsert ``source`` into ``target``.
 
     on        pairs (target column, source column) compared with ``=`` (a NULL never matches)
@@ -44,9 +44,22 @@ def merge_upsert(target: DataFrame, source: DataFrame, on: Sequence[tuple[str, s
     insert    target column -> expression over ``src(...)`` for new rows (``key`` is generated)
     on_stale  "insert": a row that fails only the freshness test is *not matched* and is
               inserted as a second row (the literal MERGE); "skip": it is left out
+
+    The source must hold at most one row per ``on`` key (otherwise a target row would
+    match twice, which a warehouse MERGE rejects as nondeterministic); this is checked on
+    the source (one small aggregation) unless ``check_unique_source`` is False.
     """
     if on_stale not in ("insert", "skip"):
         raise ValueError("on_stale must be 'insert' or 'skip'")
+    if check_unique_source:
+        s_keys = [s_col for _, s_col in on]
+        all_set = F.lit(True)
+        for c in s_keys:
+            all_set = all_set & F.col(c).isNotNull()  # a key with a NULL part never matches anyway
+        repeated = source.filter(all_set).groupBy(*s_keys).count().filter(F.col("count") > 1)
+        if not repeated.isEmpty():
+            raise ValueError(f"merge source holds several rows for one key {s_keys}; reduce it first "
+                             "(e.g. latest_per_key)")
     s = source.select(*[F.col(c).alias(SRC + c) for c in source.columns])
     eq = None
     for t_col, s_col in on:

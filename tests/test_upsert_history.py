@@ -80,3 +80,16 @@ def test_scd2_hard_delete_then_return(spark):
     assert got == [(1, D1, None), (2, D1, dt.datetime(2024, 2, 2)), (2, D1, None)]
     open_per_key = s3.filter(F.col("valid_to").isNull()).groupBy("k").count().filter("count > 1").count()
     assert open_per_key == 0
+
+
+def test_merge_rejects_ambiguous_source(spark):
+    import pytest
+
+    from chartmart.operators.upsert import merge_upsert, src
+
+    t = dim(spark, [(1, "a", "old", "pop", "i0", T0, None, True)])
+    s = spark.createDataFrame(
+        [rel("u1", "a", "x", "pop", "i1"), rel("u2", "a", "y", "pop", "i2")], REL)
+    with pytest.raises(ValueError):
+        merge_upsert(t, s, on=[("artist_id", "artist_id"), ("artist_genre", "artist_genre")],
+                     set_={"artist_name": src("artist_individual")}, insert={}, key="artist_key")
