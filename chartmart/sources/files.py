@@ -28,12 +28,14 @@ class FileFormat:
             "sep": self.sep, "quote": self.quote, "escape": self.escape,
             "header": str(self.header).lower(), "nullValue": self.null_value,
             "multiLine": str(self.multi_line).lower(), "mode": self.mode, "encoding": self.encoding,
-            "enforceSchema": "true",
+            "enforceSchema": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
         }
 
     def writer_options(self) -> dict[str, str]:
+        # the CSV writer trims edge whitespace unless told not to: keep values byte-exact
         return {"sep": self.sep, "quote": self.quote, "escape": self.escape,
-                "header": str(self.header).lower(), "nullValue": self.null_value, "encoding": self.encoding}
+                "header": str(self.header).lower(), "nullValue": self.null_value, "encoding": self.encoding,
+                "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
 def scan_csv(spark: SparkSession, path: str, schema: T.StructType, fmt: FileFormat = FileFormat()) -> DataFrame:

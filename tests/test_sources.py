@@ -50,3 +50,12 @@ def test_flatten_and_enrich_pages(spark):
     assert (e["u2"]["artist_genre"], e["u2"]["artist_img"], e["u2"]["country"]) == ("", "img", "Global")
     week = weekly_rows(enrich_artist(items, artists), "2024-11-15").collect()
     assert [x["uri"] for x in week] == ["u1"]
+
+
+def test_csv_round_trip_keeps_edge_whitespace(spark):
+    from chartmart.sources.files import write_csv
+
+    df = spark.createDataFrame([("  lead", "trail  ", 'q"uote, and\nnewline')], S3)
+    path = os.path.join(tempfile.mkdtemp(prefix="chartmart-rt-"), "out")
+    write_csv(df, path)
+    assert [tuple(r) for r in scan_csv(spark, path, S3).collect()] == [("  lead", "trail  ", 'q"uote, and\nnewline')]
