@@ -37,7 +37,8 @@ def merge_upsert(target: DataFrame, source: DataFrame, on: Sequence[tuple[str, s
                  insert_order: Sequence[str] | None = None, check_unique_source: bool = True) -> DataFrame:
     """Upsert ``source`` into ``target``.
 
-    on        pairs (target column, source column) compared with ``=`` (a NULL never matches)
+    on        pairs (target column, source column) compared with ``=``; a NULL never matches,
+              so a source row with a NULL key part is inserted by every run (literal MERGE)
     fresher   (target column, source column): a match also needs target < source; a NULL
               on either side fails it
     set_      target column -> expression over ``src(...)`` for matched rows
