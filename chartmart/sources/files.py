@@ -12,7 +12,10 @@ from pyspark.sql import types as T
 class FileFormat:
     """A named delimited-file format: comma, optional '"' quoting (doubled quotes escape a
     quote), one header line skipped, empty field -> NULL. Columns are bound by position to
-    the given schema; header names are ignored."""
+    the given schema; header names are ignored.
+    ``multi_line=True`` reads quoted fields holding newlines correctly but makes each file one
+    task (a multi-line file cannot be split); landing zones at scale deliver many files, or set
+    ``multi_line=False`` when the producer guarantees single-line records (splittable reads)."""
 
     sep: str = ","
     quote: str = '"'
