@@ -33,11 +33,14 @@ RUN_DATE = "2024-11-15"                  # logical date of the incremental run
 WEEKLY_AS_OF = "2024-11-15"              # "today" of the weekly load
 
 
-def dedup(df: DataFrame, key_cols: list[str], compare_cols: list[str], how: str) -> DataFrame:
+def dedup(df: DataFrame, key_cols: list[str], compare_cols: list[str], how: str,
+          keep_order: list[str] | None = None) -> DataFrame:
+    """``purge``: delete every row of a repeated key; ``keep_one``: one row per repeated group
+    (the smallest in ``keep_order`` when columns outside the comparison may differ)."""
     if how == "purge":
         return purge_duplicated_keys(df, key_cols, compare_cols)
     if how == "keep_one":
-        return drop_exact_duplicates(df, compare_cols)
+        return drop_exact_duplicates(df, compare_cols, order=keep_order)
     if how == "none":
         return df
     raise ValueError("dedup must be 'purge', 'keep_one' or 'none'")
@@ -48,7 +51,8 @@ def clean_chart(raw: DataFrame, dedup_how: str = "purge") -> DataFrame:
     typed = clean(raw, CHART_SPEC)
     if dedup_how != "none":
         typed = stage(typed, "chart_clean")
-    return dedup(typed, ["uri"], CHART_COMPARE, dedup_how)
+    # rows equal on the comparison columns may differ in rank: keep-one keeps the lowest rank
+    return dedup(typed, ["uri"], CHART_COMPARE, dedup_how, keep_order=["rank"])
 
 
 def clean_release(raw: DataFrame, load_ts: datetime | str = RELEASE_LOAD_TS, dedup_how: str = "purge") -> DataFrame:

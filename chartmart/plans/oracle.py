@@ -379,6 +379,13 @@ def oracle_queries() -> dict[str, str]:
                                "part_key")
     for d in ("dim_artist", "dim_track", "dim_country", "dim_date", "dim_audio_features"):
         s[d] = with_ctes(f"SELECT * FROM {d}", [d])
+    s["dim_audio_features_double_strip"] = with_ctes(keyed(
+        f"(SELECT substring(uri, 16) AS uri, {cols(AUDIO_MEASURES)} FROM "
+        f"(SELECT DISTINCT uri, {cols(AUDIO_MEASURES)} FROM chart_purged))",
+        ["uri", *AUDIO_MEASURES], "audio_features_key"), ["chart_purged"])
+    s["keep_one_chart"] = with_ctes(
+        f"SELECT {cols(CHART_COLUMNS)} FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY {cols(CHART_COMPARE)} "
+        f"ORDER BY \"rank\" ASC NULLS FIRST) AS rn FROM chart_clean) WHERE rn = 1", ["chart_clean"])
     s["fact_date_lookup"] = with_ctes(
         "SELECT c.uri, c.\"week\", d.date_key, d.day_name FROM chart_clean c LEFT JOIN dim_date d "
         "ON c.\"week\" = CAST(d.full_date AS DATE)", ["chart_clean", "dim_date"])

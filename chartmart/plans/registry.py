@@ -210,6 +210,16 @@ def q_dim_audio(spark, sf):
     return build_dim_audio(chart_purged(spark, sf))
 
 
+def q_dim_audio_double_strip(spark, sf):
+    """The literal audio dimension: a second 15-character strip of the already stripped uri."""
+    return build_dim_audio(chart_purged(spark, sf), extra_strip=15)
+
+
+def q_keep_one_chart(spark, sf):
+    """Chart cleanup with keep-one instead of purge: one row per repeated group, lowest rank."""
+    return clean_chart(B.chart_raw(spark, sf), dedup_how="keep_one")
+
+
 def q_fact_date_lookup(spark, sf):
     c = chart_clean(spark, sf).select("uri", "week")
     d = build_dim_date(spark)
@@ -418,6 +428,8 @@ def queries() -> dict[str, Query]:
         "dim_country": q_dim_country,
         "dim_date": q_dim_date,
         "dim_audio_features": q_dim_audio,
+        "dim_audio_features_double_strip": q_dim_audio_double_strip,
+        "keep_one_chart": q_keep_one_chart,
         "fact_date_lookup": q_fact_date_lookup,
         "fact_star_join": q_fact_star_join,
         "fact_star_join_first": q_fact_star_join_first,
