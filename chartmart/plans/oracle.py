@@ -12,7 +12,7 @@ from chartmart.operators.clean import CHART_COMPARE, CHART_SPEC, RELEASE_COMPARE
 from chartmart.operators.dims import ARTIST_NATURAL, AUDIO_MEASURES, COUNTRY_NATURAL, DAY_NAMES, TRACK_NATURAL
 from chartmart.plans.flows import HIST_AS_OF, MERGE_AS_OF, RELEASE_LOAD_TS, RUN_DATE, WEEKLY_AS_OF
 from chartmart.schemas import CHART_COLUMNS, FACT_COLUMNS, RELEASE_COLUMNS
-from chartmart.sources.binding import CHART_RAW_SQL, PAGE_SIZE, RELEASE_RAW_SQL
+from chartmart.sources.binding import CHART_RAW_SQL, RELEASE_RAW_SQL
 
 
 def q(c: str) -> str:

@@ -14,7 +14,7 @@ from chartmart.operators.clean import CHART_COMPARE, CHART_SPEC, RELEASE_SPEC, W
 from chartmart.operators.dedup import drop_exact_duplicates, flag_duplicates, latest_per_key
 from chartmart.operators.dims import (artist_filter, artist_rows, build_dim_artist, build_dim_audio, build_dim_country,
                                       build_dim_date, build_dim_track, ts_lit, union_distinct)
-from chartmart.operators.fact import FACT_KEYS, Lookup, build_fact, star_lookup
+from chartmart.operators.fact import Lookup, build_fact, star_lookup
 from chartmart.operators.history import scd2_snapshot
 from chartmart.operators.keys import assign_surrogate_keys
 from chartmart.operators.marts import (artist_popularity_by_key, artist_popularity_by_name, artist_streams, base_fact,
@@ -26,10 +26,10 @@ from chartmart.operators.weekly import (enrich_artist, flatten_pages, scan_artis
 from chartmart.plans.flows import (HIST_AS_OF, MERGE_AS_OF, RELEASE_LOAD_TS, RUN_DATE, WEEKLY_AS_OF, clean_chart,
                                    clean_release, mart_checks, run_fact, run_historical_chart,
                                    run_historical_release, run_weekly_load, stage_release)
-from chartmart.schemas import FACT_COLUMNS, RAW_CHART, RAW_RELEASE, RELEASE_COLUMNS
+from chartmart.schemas import RAW_CHART
 from chartmart.session import scratch_path, stage
 from chartmart.sources import binding as B
-from chartmart.sources.files import FileFormat, scan_csv, write_csv
+from chartmart.sources.files import scan_csv, write_csv
 from chartmart.streaming.release_stream import stream_dedup, stream_upsert
 
 Query = Callable[[SparkSession, str], DataFrame]
