@@ -32,8 +32,9 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="chartmart-warehouse-"))
     )
+    if master.startswith("local"):  # tests and the bench only: keep catalog tables out of the cwd
+        builder = builder.config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="chartmart-warehouse-"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
