@@ -1,7 +1,7 @@
 """Marts over the fact: base view, weekly trend, artist streams and popularity.
 
-Averages are rounded to ``ndigits`` (default 6) so results compare across engines
-regardless of summation order; pass ``ndigits=None`` for raw doubles.
+Averages are rounded half-up to ``ndigits`` (default 6) from an exact decimal sum, so results
+do not depend on summation order or engine; pass ``ndigits=None`` for raw double averages.
 """
 
 from __future__ import annotations
@@ -13,8 +13,11 @@ from chartmart.schemas import FACT_COLUMNS
 
 
 def _avg(c: str, ndigits: int | None) -> Column:
-    a = F.avg(c)
-    return a if ndigits is None else F.round(a, ndigits)
+    """AVG, rounded half-up to ``ndigits`` from an exact decimal sum: the result does not depend
+    on summation order (partitioning), unlike a rounded double average near a tie."""
+    if ndigits is None:
+        return F.avg(c)
+    return F.round(F.avg(F.col(c).cast("decimal(38,12)")), ndigits).cast("double")
 
 
 def base_fact(fact: DataFrame) -> DataFrame:

@@ -70,6 +70,15 @@ def purge_sql(source: str, keys, compare) -> str:
             f"WHERE {on})")
 
 
+def avg6(expr: str) -> str:
+    """Exact AVG rounded half-up to 6 decimals: integer arithmetic on the exactly summed
+    DECIMAL(38,12) values (DuckDB would otherwise divide in DOUBLE)."""
+    total = f"CAST(SUM(CAST({expr} AS DECIMAL(38,12))) * 1000000000000 AS HUGEINT)"
+    n = f"CAST(COUNT({expr}) AS HUGEINT)"
+    return (f"CASE WHEN COUNT({expr}) = 0 THEN NULL ELSE CAST(sign({total}) * ((2 * abs({total}) + {n} * 1000000) "
+            f"// (2 * {n} * 1000000)) AS DOUBLE) / 1000000.0 END")
+
+
 def ts(v: str | None) -> str:
     return "CAST(NULL AS TIMESTAMP)" if v is None else f"TIMESTAMP '{v}'"
 
@@ -235,14 +244,14 @@ CTES: dict[str, tuple[str, list[str]]] = {
     "fact_raw": (_fact_raw("all"), ["chart_purged", "dim_track", "dim_artist", "dim_country", "dim_date"]),
     "fact": (purge_sql("fact_raw", ["track_key", "artist_key", "country_key", "date_key"], FACT_COLUMNS),
              ["fact_raw"]),
-    "artist_streams": ("""SELECT artist_key, CAST(SUM(streams) AS BIGINT) AS total_streams,
-  ROUND(AVG("rank"), 6) AS avg_rank, ROUND(AVG(popularity_score), 6) AS avg_popularity FROM fact GROUP BY artist_key""",
-                       ["fact"]),
-    "weekly": ("""SELECT date_key, CAST(SUM(streams) AS BIGINT) AS total_streams, ROUND(AVG("rank"), 6) AS avg_rank
-FROM fact GROUP BY date_key""", ["fact"]),
-    "by_name": ("""SELECT da.artist_name, CAST(SUM(a.total_streams) AS BIGINT) AS total_streams,
-  ROUND(AVG(a.avg_rank), 6) AS avg_rank, ROUND(AVG(a.avg_popularity), 6) AS avg_popularity
-FROM artist_streams a LEFT JOIN dim_artist da ON a.artist_key = da.artist_key GROUP BY da.artist_name""",
+    "artist_streams": (f"SELECT artist_key, CAST(SUM(streams) AS BIGINT) AS total_streams, "
+                       f"{avg6(q('rank'))} AS avg_rank, {avg6('popularity_score')} AS avg_popularity "
+                       f"FROM fact GROUP BY artist_key", ["fact"]),
+    "weekly": (f"SELECT date_key, CAST(SUM(streams) AS BIGINT) AS total_streams, {avg6(q('rank'))} AS avg_rank "
+               f"FROM fact GROUP BY date_key", ["fact"]),
+    "by_name": (f"SELECT da.artist_name, CAST(SUM(a.total_streams) AS BIGINT) AS total_streams, "
+                f"{avg6('a.avg_rank')} AS avg_rank, {avg6('a.avg_popularity')} AS avg_popularity "
+                f"FROM artist_streams a LEFT JOIN dim_artist da ON a.artist_key = da.artist_key GROUP BY da.artist_name",
                 ["artist_streams", "dim_artist"]),
     "weekly_items": (WEEKLY_ITEMS_SQL, []),
     "artist_attr": (ARTIST_ATTR_SQL, []),

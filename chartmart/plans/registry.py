@@ -24,7 +24,7 @@ from chartmart.operators.quality import (check_fanout, check_foreign_key, check_
 from chartmart.operators.upsert import select_run_date, upsert_dim_artist, upsert_dim_track
 from chartmart.operators.weekly import (enrich_artist, flatten_pages, scan_artists, scan_release_pages, weekly_rows)
 from chartmart.plans.flows import (HIST_AS_OF, MERGE_AS_OF, RELEASE_LOAD_TS, RUN_DATE, WEEKLY_AS_OF, clean_chart,
-                                   clean_release, mart_checks, run_fact, run_historical_chart,
+                                   clean_release, mart_checks, run_dimensions, run_fact, run_historical_chart,
                                    run_historical_release, run_weekly_load, stage_release)
 from chartmart.schemas import RAW_CHART
 from chartmart.session import scratch_path, stage
@@ -59,12 +59,8 @@ def release_purged(spark, sf) -> DataFrame:
 def all_dims(spark, sf, chart=None, release=None) -> dict[str, DataFrame]:
     chart = chart if chart is not None else chart_purged(spark, sf)
     release = release if release is not None else release_purged(spark, sf)
-    return {
-        "dim_artist": build_dim_artist([chart, release], HIST_AS_OF),
-        "dim_track": build_dim_track([chart, release], HIST_AS_OF),
-        "dim_country": build_dim_country(chart),
-        "dim_date": build_dim_date(spark),
-    }
+    # independent jobs, submitted together
+    return run_dimensions(spark, chart, release, HIST_AS_OF, which=("dim_artist", "dim_track", "dim_country", "dim_date"))
 
 
 def fact_and_dims(spark, sf) -> tuple[DataFrame, dict[str, DataFrame]]:

@@ -19,6 +19,7 @@ ROOT = os.path.dirname(HERE)
 if ROOT not in sys.path:
     sys.path.insert(0, ROOT)
 
+EXACT = os.environ.get("ORACLE_EXACT") == "1"  # compare doubles bit for bit
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
           "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -43,7 +44,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "NaN"
-        return round(v, 6)
+        return v if EXACT else round(v, 6)
     if hasattr(v, "item") and not isinstance(v, (str, bytes)):
         try:
             return _norm(v.item())
