@@ -38,18 +38,17 @@ def _first_version(current: DataFrame, key_cols: Sequence[str], updated_at: str)
                           ts.alias("valid_from"), ts_lit(None).alias("valid_to"))
 
 
-def scd2_snapshot(prev: DataFrame | None, current: DataFrame, key_cols: Sequence[str], updated_at: str,
-                  as_of: datetime | str, invalidate_hard_deletes: bool = True) -> DataFrame:
-    """Next snapshot table from the previous one (None on the first run) and the current source."""
+def scd2_step(open_rows: DataFrame, current: DataFrame, key_cols: Sequence[str], updated_at: str,
+              as_of: datetime | str, invalidate_hard_deletes: bool = True) -> tuple[DataFrame, DataFrame]:
+    """One run over the *open* rows only: (rows this run closes, the next open rows).
+
+    Closed history never takes part, so a run costs in proportion to the open rows, not to
+    the whole history; callers append the first result to the history and replace the open set.
+    """
     key_cols = list(key_cols)
-    if prev is None:
-        return _first_version(current, key_cols, updated_at)
     cols = current.columns
-    closed = prev.filter(F.col("valid_to").isNotNull())
-    open_ = prev.filter(F.col("valid_to").isNull())
-
     cur = current.select(*[F.col(c).alias("_c_" + c) for c in cols], F.lit(True).alias("_c_present"))
-    o = open_.withColumn("_o_present", F.lit(True))
+    o = open_rows.withColumn("_o_present", F.lit(True))
     cond = None
     for k in key_cols:
         term = o[k] == cur["_c_" + k]
@@ -60,19 +59,37 @@ def scd2_snapshot(prev: DataFrame | None, current: DataFrame, key_cols: Sequence
     c_here = F.coalesce(F.col("_c_present"), F.lit(False))
     c_ts = F.col("_c_" + updated_at).cast("timestamp_ntz")
     newer = o_here & c_here & F.coalesce(c_ts > F.col("scd_updated_at"), F.lit(False))
-
-    # 1) previously open rows, closed where superseded or hard-deleted
     if invalidate_hard_deletes:
         close_at = F.when(newer, c_ts).when(~c_here, ts_lit(as_of))
     else:
         close_at = F.when(newer, c_ts)
-    kept_open = j.filter(o_here).select(
-        *[F.col(c) for c in cols], "scd_id", "scd_updated_at", "valid_from",
-        close_at.cast("timestamp_ntz").alias("valid_to"))
-
-    # 2) new versions: new keys and superseded keys
+    out_cols = cols + SCD_COLS
+    prev_rows = j.filter(o_here).select(*[F.col(c) for c in cols], "scd_id", "scd_updated_at", "valid_from",
+                                         close_at.cast("timestamp_ntz").alias("valid_to"))
     fresh = j.filter(c_here & (~o_here | newer)).select(*[F.col("_c_" + c).alias(c) for c in cols])
-    new_rows = _first_version(fresh, key_cols, updated_at)
+    new_rows = _first_version(fresh, key_cols, updated_at).select(*out_cols)
+    closed_now = prev_rows.filter(F.col("valid_to").isNotNull()).select(*out_cols)
+    still_open = prev_rows.filter(F.col("valid_to").isNull()).select(*out_cols)
+    return closed_now, still_open.unionByName(new_rows)
 
-    out_cols = cols + SCD_COLS
-    return closed.select(*out_cols).unionByName(kept_open.select(*out_cols)).unionByName(new_rows.select(*out_cols))
+
+def check_unique_keys(current: DataFrame, key_cols: Sequence[str]) -> None:
+    """A snapshot source holds one row per key; several would fan out the full outer join."""
+    if not current.groupBy(*key_cols).count().filter(F.col("count") > 1).isEmpty():
+        raise ValueError(f"snapshot source holds several rows for one key {list(key_cols)}")
+
+
+def scd2_snapshot(prev: DataFrame | None, current: DataFrame, key_cols: Sequence[str], updated_at: str,
+                  as_of: datetime | str, invalidate_hard_deletes: bool = True,
+                  check_unique_source: bool = True) -> DataFrame:
+    """Next snapshot table from the previous one (None on the first run) and the current source."""
+    key_cols = list(key_cols)
+    if check_unique_source:
+        check_unique_keys(current, key_cols)
+    if prev is None:
+        return _first_version(current, key_cols, updated_at)
+    out_cols = current.columns + SCD_COLS
+    closed = prev.filter(F.col("valid_to").isNotNull()).select(*out_cols)
+    closed_now, next_open = scd2_step(prev.filter(F.col("valid_to").isNull()), current, key_cols, updated_at,
+                                      as_of, invalidate_hard_deletes)
+    return closed.unionByName(closed_now).unionByName(next_open)

@@ -11,13 +11,14 @@ from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from chartmart.operators.clean import CHART_COMPARE, CHART_SPEC, RELEASE_COMPARE, RELEASE_SPEC, WEEKLY_SPEC, clean
 from chartmart.operators.dedup import drop_exact_duplicates, purge_duplicated_keys
 from chartmart.operators.dims import (build_dim_artist, build_dim_audio, build_dim_country, build_dim_date,
                                       build_dim_track, ts_lit)
 from chartmart.operators.fact import FACT_KEYS, build_fact
-from chartmart.operators.history import scd2_snapshot
+from chartmart.operators.history import _first_version, check_unique_keys, scd2_snapshot, scd2_step
 from chartmart.operators.marts import artist_popularity_by_key, artist_popularity_by_name, weekly_trend
 from chartmart.operators.quality import check_not_null, check_result, check_type, check_unique, run_checks
 from chartmart.operators.upsert import upsert_dim_artist, upsert_dim_track
@@ -166,3 +167,22 @@ def run_weekly_load(pages: DataFrame, artists: DataFrame, as_of: date | str = WE
     if dedup_how != "none":
         typed = stage(typed, "weekly_clean")
     return dedup(typed, ["uri"], list(rows.columns), dedup_how)
+
+
+def run_snapshot(cat, name: str, current: DataFrame, key_cols: list[str], updated_at: str,
+                 as_of: datetime | str) -> DataFrame:
+    """Snapshot kept as two tables: ``<name>_history`` (closed rows, append-only) and
+    ``<name>_open`` (current versions, replaced each run). A run reads and writes only the
+    open rows plus what it closes; the full snapshot is their union (returned)."""
+    check_unique_keys(current, key_cols)
+    hist, open_name = f"{name}_history", f"{name}_open"
+    try:
+        open_rows = cat.table(open_name)
+    except Exception:  # first run: no open table yet
+        first = _first_version(current, key_cols, updated_at)
+        cat.write(hist, first.filter(F.lit(False)))
+        return cat.write(open_name, first).unionByName(cat.table(hist))
+    closed_now, next_open = scd2_step(open_rows, current, key_cols, updated_at, as_of)
+    next_open = stage(next_open, f"{name}_open_next")  # never overwrite the open table while reading it
+    cat.write(hist, closed_now, mode="append")
+    return cat.write(open_name, next_open).unionByName(cat.table(hist))
