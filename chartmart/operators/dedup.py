@@ -82,14 +82,47 @@ def purge_duplicated_keys(df: DataFrame, key_cols: Sequence[str], compare_cols:
 
 
 def drop_exact_duplicates(df: DataFrame, cols: Sequence[str] | None = None,
-                          order: Sequence[str] | None = None) -> DataFrame:
+                          order: Sequence[str] | None = None, prefilter: bool | str = "auto") -> DataFrame:
     """Keep one row per ``cols`` group. Without ``order`` any row of the group is kept (all
-    equal when ``cols`` is every column); with ``order`` the row smallest in that order wins."""
+    equal when ``cols`` is every column); with ``order`` the row smallest in that order wins.
+    ``prefilter`` as in ``first_per_key_prefiltered`` (for long text keys)."""
     if cols is None or set(cols) == set(df.columns):
         return df.dropDuplicates()
     if order is None:
         return df.dropDuplicates(list(cols))
-    return first_per_key(df, cols, order, descending=False)
+    return first_per_key_prefiltered(df, cols, order, descending=False, prefilter=prefilter)
+
+
+def first_per_key_prefiltered(df: DataFrame, keys: Sequence[str], order: Sequence[str], descending: bool = True,
+                              prefilter: bool | str = "auto", broadcast_max_rows: int = 1_000_000,
+                              prefilter_min_rows: int = 2_000_000) -> DataFrame:
+    """``first_per_key`` that avoids shuffling long keys (whole texts) when repeats are rare.
+
+    A narrow pass counts the (64-bit, 32-bit) hash pairs of the key. A row whose hash pair is
+    unique is the only row of its key and passes through untouched; only rows of repeated hash
+    pairs are grouped exactly by the key. The repeated-pair set is staged and counted, then
+    broadcast when within ``broadcast_max_rows``; beyond that the exact form is used.
+    ``prefilter="auto"``: text keys on a staged input of more than ``prefilter_min_rows`` rows.
+    """
+    from chartmart.session import stage
+
+    keys = list(keys)
+    if prefilter == "auto":
+        prefilter = _wide(df, [], keys) and df.count() > prefilter_min_rows
+    if not prefilter:
+        return first_per_key(df, keys, order, descending)
+    tagged = df.select("*", F.xxhash64(*keys).alias("_h1"), F.hash(*keys).alias("_h2"))
+    repeated_pairs = stage(tagged.groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_n"))
+                           .filter(F.col("_n") > 1).select("_h1", "_h2"), "repeated_hashes")
+    n = repeated_pairs.count()
+    if n == 0:
+        return df
+    if n > broadcast_max_rows:
+        return first_per_key(df, keys, order, descending)
+    b = F.broadcast(repeated_pairs)
+    singles = tagged.join(b, ["_h1", "_h2"], "left_anti").select(*df.columns)
+    repeats = tagged.join(b, ["_h1", "_h2"], "left_semi").select(*df.columns)
+    return singles.unionByName(first_per_key(repeats, keys, order, descending))
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], descending: bool = True) -> DataFrame:

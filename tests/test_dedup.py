@@ -73,3 +73,17 @@ def test_purge_large_duplicate_set_path(spark):
     big = purge_duplicated_keys(df, ["uri"], ["uri", "streams"], broadcast_max_rows=0)
     assert rows(big) == small == [("b", 1, 5), (None, 1, 1), (None, 2, 1)]
     assert "BroadcastHashJoin" not in big._jdf.queryExecution().executedPlan().toString()
+
+
+def test_keep_one_text_prefilter_equals_exact(spark):
+    import os
+
+    from conftest import SF_SMALL
+
+    docs = spark.read.parquet(os.path.join(SF_SMALL, "documents.parquet"))
+    extra = spark.createDataFrame([(10**9, None, "x", "s", 0), (10**9 + 1, None, "y", "s", 0)], docs.schema)
+    docs = docs.unionByName(extra)
+    exact = drop_exact_duplicates(docs, ["text"], order=["doc_id"], prefilter=False)
+    hashed = drop_exact_duplicates(docs, ["text"], order=["doc_id"], prefilter=True)
+    assert rows(hashed) == rows(exact)
+    assert hashed.count() == docs.select("text").distinct().count()
