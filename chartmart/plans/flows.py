@@ -170,19 +170,21 @@ def run_weekly_load(pages: DataFrame, artists: DataFrame, as_of: date | str = WE
 
 
 def run_snapshot(cat, name: str, current: DataFrame, key_cols: list[str], updated_at: str,
-                 as_of: datetime | str) -> DataFrame:
+                 as_of: datetime | str, buckets: int | None = None) -> DataFrame:
     """Snapshot kept as two tables: ``<name>_history`` (closed rows, append-only) and
-    ``<name>_open`` (current versions, replaced each run). A run reads and writes only the
-    open rows plus what it closes; the full snapshot is their union (returned)."""
+    ``<name>_open`` (current versions, replaced each run, bucketed by the key). A run reads and
+    writes only the open rows plus what it closes, and its full outer join shuffles only the
+    source (the open side is already bucketed by the key). Returns the full snapshot."""
     check_unique_keys(current, key_cols)
     hist, open_name = f"{name}_history", f"{name}_open"
+    n = buckets or int(current.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     try:
         open_rows = cat.table(open_name)
     except Exception:  # first run: no open table yet
         first = _first_version(current, key_cols, updated_at)
         cat.write(hist, first.filter(F.lit(False)))
-        return cat.write(open_name, first).unionByName(cat.table(hist))
+        return cat.write(open_name, first, bucket_by=(n, key_cols)).unionByName(cat.table(hist))
     closed_now, next_open = scd2_step(open_rows, current, key_cols, updated_at, as_of)
     next_open = stage(next_open, f"{name}_open_next")  # never overwrite the open table while reading it
     cat.write(hist, closed_now, mode="append")
-    return cat.write(open_name, next_open).unionByName(cat.table(hist))
+    return cat.write(open_name, next_open, bucket_by=(n, key_cols)).unionByName(cat.table(hist))

@@ -59,3 +59,12 @@ def test_catalog_names(spark):
         raise AssertionError("expected ValueError")
     except ValueError:
         pass
+
+
+def test_catalogs_with_same_names_do_not_collide(spark):
+    a, b = Catalog(spark, tempfile.mkdtemp(prefix="cat-a-")), Catalog(spark, tempfile.mkdtemp(prefix="cat-b-"))
+    a.write("analytics.same", spark.range(3), bucket_by=(2, ["id"]))
+    b.write("analytics.same_plain", spark.range(5))
+    b.write("analytics.same", spark.range(5))  # plain parquet under b's root
+    assert a.table("analytics.same").count() == 3  # the session entry is a's bucketed table
+    assert b.table("analytics.same").count() == 5

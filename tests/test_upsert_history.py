@@ -121,3 +121,25 @@ def test_snapshot_rejects_duplicate_source_keys(spark):
     dup = spark.createDataFrame([(1, "x", D1), (1, "y", D1)], SRC)
     with pytest.raises(ValueError):
         scd2_snapshot(None, dup, ["k"], "updated_at", "2024-01-02")
+
+
+def test_snapshot_open_side_is_not_shuffled(spark):
+    import contextlib
+    import io
+    import tempfile
+
+    from chartmart.operators.history import scd2_step
+    from chartmart.plans.flows import run_snapshot
+    from chartmart.sources.catalog import Catalog
+
+    cat = Catalog(spark, tempfile.mkdtemp(prefix="chartmart-snapb-"))
+    load = spark.createDataFrame([(i, "x", D1) for i in range(50)], SRC)
+    run_snapshot(cat, "analytics.snapb", load, ["k"], "updated_at", "2024-02-01", buckets=4)
+    open_rows = cat.table("analytics.snapb_open")
+    _, nxt = scd2_step(open_rows, load, ["k"], "updated_at", "2024-03-01")
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        nxt.explain()
+    text = buf.getvalue()
+    assert "Bucketed: true" in text
+    assert text.count("Exchange hashpartitioning") == 1  # only the source side is shuffled
