@@ -82,3 +82,37 @@ def build_fact(chart: DataFrame, dim_track: DataFrame, dim_artist: DataFrame, di
 
 
 FACT_KEYS = ["track_key", "artist_key", "country_key", "date_key"]
+
+
+FACT_NATURAL = ["uri", "artist_id", "country", "week"]
+FACT_MEASURES = ["rank", "peak_rank", "previous_rank", "weeks_on_chart", "streams"]
+
+
+def purge_before_fanout(chart: DataFrame, dim_track: DataFrame, dim_artist: DataFrame, dim_country: DataFrame,
+                        dim_date: DataFrame) -> DataFrame:
+    """The fact's duplicate purge, applied to the chart rows *before* the lookups multiply them.
+
+    A fact key identifies one dimension row, hence one natural key, so two fact rows with
+    equal non-NULL keys come from chart rows with the same four natural keys, and every chart
+    row with those natural keys yields the same key combinations. A fact row with a NULL key
+    is never deleted. Hence: natural-key tuples that are present in all four dimensions and
+    hold a group of chart rows equal on natural keys and measures (popularity is a function
+    of streams and rank) are exactly the purged ones; their chart rows are dropped here.
+    """
+    from chartmart.session import stage
+
+    present = chart
+    for dim, src_col, dim_col, cast in ((dim_track, "uri", "uri", None), (dim_artist, "artist_id", "artist_id", None),
+                                        (dim_country, "country", "country", None),
+                                        (dim_date, "week", "full_date", "date")):
+        nat = F.col(dim_col).cast(cast) if cast else F.col(dim_col)
+        keys = dim.select(nat.alias("_nat")).distinct()
+        if dim is dim_date:
+            keys = F.broadcast(keys)  # the calendar: fixed size
+        present = present.join(keys, present[src_col] == keys["_nat"], "left_semi")
+    groups = present.groupBy(*FACT_NATURAL, *FACT_MEASURES).agg(F.count(F.lit(1)).alias("_n"))
+    dup = stage(groups.filter(F.col("_n") > 1).select(*FACT_NATURAL).distinct(), "fact_dup_natural")
+    if dup.isEmpty():
+        return chart
+    cond = [chart[c] == dup[c] for c in FACT_NATURAL]
+    return chart.join(dup, cond, "left_anti")
