@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import substring
+from . import probminhash, substring
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op5_probminhash": probminhash.query,
         "op10_substring_dedup": substring.query,
     }
 
