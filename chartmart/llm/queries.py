@@ -6,15 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import probminhash, substring
+from . import linededup, probminhash, quality, substring
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op4_quality_rules": quality.query,
         "op5_probminhash": probminhash.query,
+        "op6_line_dedup": linededup.query,
         "op10_substring_dedup": substring.query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op4_quality_rules": quality.ORACLE_SQL,
+    }

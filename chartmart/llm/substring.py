@@ -27,7 +27,6 @@ compared by their text's hash; other columns do not matter; an empty table gives
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import occurrence as O
 from . import text as T
 
 SIZE = 20
@@ -47,16 +47,6 @@ _RANGE = 1 << 20  # cells merged together
 _MOST = np.uint64(2**64 - 1)
 
 
-def _slide(values: np.ndarray, n: int, pick) -> np.ndarray:
-    """``pick`` (minimum or maximum) over every ``n`` consecutive values, by doubling."""
-    out, have = values, 1
-    while have < n:
-        step = min(have, n - have)
-        out = pick(out[:-step], out[step:])
-        have += step
-    return out
-
-
 class _Windows:
     """Windows of a chunk: the first word and the minimizer of each."""
 
@@ -74,13 +64,13 @@ class _Windows:
         at = np.arange(n - gram + 1)
         grams = T.runs_hash(self.hashes, at, at + gram, 2)
         reach = size - gram + 1  # runs in a window
-        least = _slide(grams, reach, np.minimum)  # for windows in one row, all runs lie in it
+        least = O.slide(grams, reach, np.minimum)  # for windows in one row, all runs lie in it
         self.at, self.minimizer = inside, least[inside]
         # a run is selected if it is the least of a window that holds it
         of = np.zeros(len(least), dtype=np.uint64)
         of[inside] = self.minimizer
         pad = np.zeros(reach - 1, dtype=np.uint64)
-        top = _slide(np.concatenate([pad, of, pad]), reach, np.maximum)
+        top = O.slide(np.concatenate([pad, of, pad]), reach, np.maximum)
         self.selected = grams[(grams == top[: len(grams)]) & (top[: len(grams)] > 0)]
 
     def second(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -139,40 +129,16 @@ def _sketch(texts: DataFrame, size: int, gram: int, cells: int) -> np.ndarray:
     return bits
 
 
-def _runs(at: np.ndarray) -> np.ndarray:
-    """Ascending starts as (first, number) pairs of consecutive ones."""
-    if not len(at):
-        return np.zeros((0, 2), dtype=np.int32)
-    cut = np.flatnonzero(np.diff(at) != 1) + 1
-    first = np.concatenate([[0], cut])
-    return np.stack([at[first], np.diff(np.append(first, len(at)))], axis=1).astype(np.int32)
-
-
-def _by_document(ids: np.ndarray, ths: np.ndarray, at: np.ndarray) -> list[tuple]:
-    """(id, text hash, runs) of each document, from its starts in any order."""
-    order = np.lexsort((at, ths, ids))
-    ids, ths, at = ids[order], ths[order], at[order]
-    edge = np.flatnonzero((np.diff(ids) != 0) | (np.diff(ths) != 0)) + 1
-    edge = np.concatenate([[0], edge, [len(ids)]]) if len(ids) else np.zeros(1, dtype=np.int64)
-    return [(int(ids[a]), int(ths[a]), _runs(at[a:b]).tobytes()) for a, b in zip(edge[:-1], edge[1:])]
-
+def later_spans(texts: DataFrame, size: int = SIZE, gram: int = GRAM, sketch_bits: int = SKETCH_BITS,
+                group_bytes: int = GROUP_BYTES) -> DataFrame:
+    """``_id, _th, _spans``: the words that windows which also start earlier cover.
 
-_SENT = pa.schema([("part", pa.int32()), ("ids", pa.binary()), ("ths", pa.binary()), ("ats", pa.binary()),
-                   ("h1", pa.binary()), ("h2", pa.binary()), ("later", pa.bool_())])
-
-
-def later_runs(texts: DataFrame, size: int = SIZE, gram: int = GRAM, sketch_bits: int = SKETCH_BITS,
-               group_bytes: int = GROUP_BYTES) -> DataFrame:
-    """``_id, _th, runs``: starts of the windows of each document that also start earlier.
-
-    ``texts`` is as ``text.keyed`` gives it; a document may have several rows of runs.
+    ``texts`` is as ``text.keyed`` gives it.
     """
-    spark = texts.sparkSession
-    n_bytes = texts.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
+    groups = O.groups_of(texts, group_bytes)
     # about one selected run for 40 bytes of text; eight cells or more for each, up to the bound
-    cells = 1 << min(sketch_bits.bit_length() - 1, max(20, int(n_bytes // 5).bit_length()))
-    groups = min(65536, max(8, n_bytes // group_bytes))
-    sketch = spark.sparkContext.broadcast(_sketch(texts, size, gram, cells))
+    cells = 1 << min(sketch_bits.bit_length() - 1, max(20, (groups * group_bytes // 5).bit_length()))
+    sketch = texts.sparkSession.sparkContext.broadcast(_sketch(texts, size, gram, cells))
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = sketch.value
@@ -182,87 +148,41 @@ def later_runs(texts: DataFrame, size: int = SIZE, gram: int = GRAM, sketch_bits
                 keep = np.ones(len(w.at), dtype=bool)
                 for d in range(DEPTH):
                     cell = _cells(w.minimizer, d, cells)
-                    keep &= (bits[d, (cell >> np.uint64(3)).astype(np.int64)] >> (np.uint8(7) - (cell & np.uint64(7)).astype(np.uint8))) & 1 > 0
+                    byte, bit = (cell >> np.uint64(3)).astype(np.int64), np.uint8(7) - (cell & np.uint64(7)).astype(np.uint8)
+                    keep &= (bits[d, byte] >> bit) & 1 > 0
                 at = w.at[keep]
                 if not len(at):
                     continue
-                ids = np.asarray(piece.column("_id"), dtype=np.int64)[w.words.row[at]]
-                ths = np.asarray(piece.column("_th"), dtype=np.int64)[w.words.row[at]]
-                part = (T.mix(w.minimizer[keep]) % np.uint64(groups)).astype(np.int32)
-                h1, h2 = w.second(at)
-                start = (at - w.words.first[w.words.row[at]]).astype(np.int32)
-                order = np.lexsort((ths, start, ids, h2, h1))
-                h1, h2, ids, ths, start, part = (x[order] for x in (h1, h2, ids, ths, start, part))
-                same = np.zeros(len(h1), dtype=bool)
-                same[1:] = (h1[1:] == h1[:-1]) & (h2[1:] == h2[:-1])
-                lead = np.maximum.accumulate(np.where(same, 0, np.arange(len(same))))
-                # a twin of the same place (equal ids, another text) is not earlier
-                later = same & ((ids != ids[lead]) | (start != start[lead]))
-                out: list[list] = [[] for _ in _SENT]
-                for chosen, is_later in ((later, True), (~later, False)):
-                    own = np.flatnonzero(chosen)
-                    own = own[np.lexsort((start[own], ids[own], part[own]))]
-                    cut = np.concatenate([[0], np.flatnonzero(np.diff(part[own])) + 1, [len(own)]])
-                    for a, b in zip(cut[:-1], cut[1:]):
-                        if a < b:
-                            x = own[a:b]
-                            blobs = (int(part[x[0]]), ids[x].tobytes(), ths[x].tobytes(), start[x].tobytes(),
-                                     *((None, None) if is_later else (h1[x].tobytes(), h2[x].astype(np.uint32).tobytes())), is_later)
-                            for column, value in zip(out, blobs):
-                                column.append(value)
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, _SENT)], schema=_SENT)
-
-    def settle(key: tuple, own: pd.DataFrame) -> pd.DataFrame:
-        def column(rows: pd.DataFrame, name: str, kind) -> np.ndarray:
-            return np.frombuffer(b"".join(rows[name]), dtype=kind)
-
-        known, first = own[own["later"]], own[~own["later"]]
-        ids, ths, at = (column(first, n, k) for n, k in (("ids", np.int64), ("ths", np.int64), ("ats", np.int32)))
-        h1, h2 = column(first, "h1", np.uint64), column(first, "h2", np.uint32)
-        order = np.lexsort((ths, at, ids, h2, h1))
-        h1, h2, ids, ths, at = (x[order] for x in (h1, h2, ids, ths, at))
-        same = np.zeros(len(h1), dtype=bool)
-        same[1:] = (h1[1:] == h1[:-1]) & (h2[1:] == h2[:-1])
-        lead = np.maximum.accumulate(np.where(same, 0, np.arange(len(same)))) if len(same) else np.zeros(0, np.int64)
-        later = same & ((ids != ids[lead]) | (at != at[lead]))
-        rows = _by_document(*(np.concatenate([column(known, n, k), x[later]])
-                              for n, k, x in (("ids", np.int64, ids), ("ths", np.int64, ths), ("ats", np.int32, at))))
-        return pd.DataFrame(rows, columns=["_id", "_th", "runs"])
-
-    sent = texts.mapInArrow(windows, "part int, ids binary, ths binary, ats binary, h1 binary, h2 binary, later boolean")
-    return sent.groupBy("part").applyInPandas(settle, "_id long, _th long, runs binary")
+                row = w.words.row[at]
+                ids = np.asarray(piece.column("_id"), dtype=np.int64)[row]
+                ths = np.asarray(piece.column("_th"), dtype=np.int64)[row]
+                runs = O.Runs(ids, ths, at - w.words.first[row], np.full(len(at), size), *w.second(at))
+                yield O.local(runs, O.part_of(w.minimizer[keep], groups))
+
+    return O.later_spans(texts.mapInArrow(windows, O.SENT))
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, **options) -> DataFrame:
     """``doc_id, n_words, n_removed, kept``: the words that stay, joined by one space."""
     texts = T.keyed(docs, id_col, text_col)
-    runs = later_runs(texts, size, **options).groupBy("_id", "_th").agg(F.collect_list("runs").alias("_runs"))
-    joined = texts.join(runs, ["_id", "_th"], "left")
+    joined = texts.join(later_spans(texts, size, **options), ["_id", "_th"], "left")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in T.chunks(batch, "_text"):
                 w = T.words_of(piece.column("_text"))
-                gone = np.zeros(len(w.row) + 1, dtype=np.int64)
-                for row, blobs in enumerate(piece.column("_runs").to_pylist()):
-                    for blob in blobs or ():
-                        run = np.frombuffer(blob, dtype=np.int32).reshape(-1, 2).astype(np.int64)
-                        np.add.at(gone, w.first[row] + run[:, 0], 1)
-                        np.add.at(gone, w.first[row] + run[:, 0] + run[:, 1] + size - 1, -1)
-                stays = np.cumsum(gone)[:-1] == 0
-                data, kept = w.data.tobytes(), []
-                for row in range(piece.num_rows):
-                    a, b = w.first[row], w.first[row + 1]
-                    own = np.flatnonzero(stays[a:b]) + a
+                data, kept, left = w.data.tobytes(), [], []
+                for row, blobs in enumerate(piece.column("_spans").to_pylist()):
+                    a, b = int(w.first[row]), int(w.first[row + 1])
+                    own = np.flatnonzero(~O.covered(blobs, b - a)) + a
+                    left.append(len(own))
                     kept.append(b" ".join([data[s:e] for s, e in zip(w.start[own].tolist(), w.end[own].tolist())]))
                 n = np.diff(w.first)
-                left = np.add.reduceat(np.append(stays, False).astype(np.int64), w.first[:-1]) * (n > 0)
-                ids = piece.column("_id")
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([None if x == -(2**63) else x for x in ids.to_pylist()], pa.int64()), pa.array(n, pa.int64()),
-                     pa.array(n - left, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())], ["doc_id", "n_words", "n_removed", "kept"])
+                ids = [None if x == T.NO_ID else x for x in piece.column("_id").to_pylist()]
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(n - np.array(left), pa.int64()),
+                                                  pa.array(kept, pa.binary()).cast(pa.string())], ["doc_id", "n_words", "n_removed", "kept"])
 
-    return joined.select("_id", "_th", "_text", "_runs").mapInArrow(cut, "doc_id long, n_words long, n_removed long, kept string")
+    return joined.select("_id", "_text", "_spans").mapInArrow(cut, "doc_id long, n_words long, n_removed long, kept string")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

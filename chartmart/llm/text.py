@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 CHUNK_BYTES = 3 << 20
+NO_ID = -(2**63)  # stands for a null id: before all others
 
 # odd multipliers of the polynomial hashes (fixed values, any odd numbers do)
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
@@ -139,5 +140,5 @@ def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     return docs.select(
-        F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63)).cast("long")).alias("_id"),
+        F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID).cast("long")).alias("_id"),
         F.xxhash64(text).alias("_th"), text.alias("_text"))
