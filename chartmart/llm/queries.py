@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import linededup, probminhash, quality, substring
+from . import linededup, mixing, probminhash, quality, substring
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_mixing": mixing.query,
         "op4_quality_rules": quality.query,
         "op5_probminhash": probminhash.query,
         "op6_line_dedup": linededup.query,
@@ -20,5 +21,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op3_mixing": mixing.ORACLE_SQL,
         "op4_quality_rules": quality.ORACLE_SQL,
     }
