@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import linededup, mixing, probminhash, quality, secret_ledger, substring
+from . import bpe, linededup, mixing, probminhash, quality, secret_ledger, substring
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,6 +16,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_probminhash": probminhash.query,
         "op6_line_dedup": linededup.query,
         "op8_secret_ledger": secret_ledger.query,
+        "op9_bpe": bpe.query,
         "op10_substring_dedup": substring.query,
     }
 
