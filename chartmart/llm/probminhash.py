@@ -207,7 +207,8 @@ def _verified(texts: DataFrame, groups: DataFrame, words: int, threshold: float,
     dealt = block_pairs(groups, "component", "node", block)
     dealt = dealt.withColumn("_task", F.when((F.col("_x") == 0) & (F.col("_y") == 0), F.pmod(F.xxhash64("component"), F.lit(8192)))
                              .otherwise(F.xxhash64("component", "_x", "_y")))
-    rows = texts.join(dealt.withColumnRenamed("node", "_id"), "_id").drop("_th")
+    # one plan at every size: the texts meet their groups in a sort-merge join
+    rows = texts.join(dealt.withColumnRenamed("node", "_id").hint("merge"), "_id").drop("_th")
 
     def check(key: tuple, own: pd.DataFrame) -> pd.DataFrame:
         out = [np.zeros((0, 2), dtype=np.int64)]
