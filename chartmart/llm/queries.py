@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, linededup, mixing, probminhash, quality, secret_ledger, substring, toxicity
+from . import bpe, forest, linededup, mixing, probminhash, quality, secret_ledger, substring, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": toxicity.query,
+        "op2_forest": forest.query,
         "op3_mixing": mixing.query,
         "op4_quality_rules": quality.query,
         "op5_probminhash": probminhash.query,
