@@ -138,6 +138,21 @@ def splitting_tree(quotas: DataFrame, shards: int = SHARDS, seed: int = SEED) ->
     return leaf.select("rank", "shard", F.col("x.first").alias("first"), F.col("x.quota").alias("number")).where("number > 0")
 
 
+def numbered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """``docs`` with ``_n``, the words of its text, and ``_copy``, a number that tells equal rows apart.
+
+    Numbers go by the text, so that they name the same row every time.
+    """
+    same = Window.partitionBy(id_col, source_col, "_n").orderBy(F.xxhash64(text_col))
+    return docs.withColumn("_n", T.n_words(F.col(text_col))).withColumn("_copy", F.row_number().over(same))
+
+
+def first_words(text: Column, n: Column) -> Column:
+    """A text up to the end of its ``n``th word."""
+    words, gaps = F.regexp_extract_all(text, F.lit(T.WORD), F.lit(0)), F.split(text, T.WORD, -1)
+    return F.array_join(F.flatten(F.slice(F.transform(F.arrays_zip(gaps.alias("g"), words.alias("w")), lambda x: F.array(x["g"], x["w"])), 1, n.cast("int"))), "")
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", shards: int = SHARDS,
         block_words: int = BLOCK_WORDS, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
     """The documents (``_ROW``) and the mix: a row for each use of a document with the same columns, the

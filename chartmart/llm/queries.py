@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, forest, linededup, mixing, probminhash, quality, secret_ledger, substring, toxicity
+from . import bpe, forest, linededup, mixing, probminhash, quality, secret_ledger, substring, toxicity, wrappers
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -17,6 +17,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_quality_rules": quality.query,
         "op5_probminhash": probminhash.query,
         "op6_line_dedup": linededup.query,
+        "op7_wrappers": wrappers.query,
         "op8_secret_ledger": secret_ledger.query,
         "op9_bpe": bpe.query,
         "op10_substring_dedup": substring.query,
