@@ -138,13 +138,23 @@ def splitting_tree(quotas: DataFrame, shards: int = SHARDS, seed: int = SEED) ->
     return leaf.select("rank", "shard", F.col("x.first").alias("first"), F.col("x.quota").alias("number")).where("number > 0")
 
 
-def numbered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """``docs`` with ``_n``, the words of its text, and ``_copy``, a number that tells equal rows apart.
-
-    Numbers go by the text, so that they name the same row every time.
+def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+    """``docs`` with a row for each use of a document in the mix; where only its first words are used, the
+    text ends there. Texts are shuffled once: rows are numbered and joined to their uses by the same key.
     """
-    same = Window.partitionBy(id_col, source_col, "_n").orderBy(F.xxhash64(text_col))
-    return docs.withColumn("_n", T.n_words(F.col(text_col))).withColumn("_copy", F.row_number().over(same))
+    _, mixed = mix(docs, id_col, text_col, source_col, **options)
+
+    def key(id_, source):
+        return F.coalesce(id_.cast("long"), F.lit(T.NO_ID)).alias("_i"), F.coalesce(F.concat(F.lit("="), source), F.lit("")).alias("_s")
+
+    uses = mixed.select(*key(F.col("doc_id"), F.col("source")), F.col("size").alias("_n"), "copy", "words")
+    uses = uses.groupBy("_i", "_s", "_n").agg(F.collect_list(F.struct("copy", "words")).alias("_uses"))
+    rows = docs.select("*", *key(F.col(id_col), F.col(source_col)), T.n_words(F.col(text_col)).alias("_n"))
+    numbered = rows.withColumn("_copy", F.row_number().over(Window.partitionBy("_i", "_s", "_n").orderBy(F.xxhash64(text_col))))
+    used = numbered.join(uses.hint("merge"), ["_i", "_s", "_n"])
+    used = used.withColumn("_use", F.explode(F.filter("_uses", lambda u: u["copy"] == F.col("_copy"))))
+    text = F.when(F.col("_use.words") == F.col("_n"), F.col(text_col)).otherwise(first_words(F.col(text_col), F.col("_use.words")))
+    return used.withColumn(text_col, text).select(*docs.columns)
 
 
 def first_words(text: Column, n: Column) -> Column:

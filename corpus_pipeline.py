@@ -36,13 +36,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row for each use of a document; where only its first words are used, the text ends there."""
-    _, mixed = mixing.mix(docs)
-    uses = mixed.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "copy", "words")
-    numbered = mixing.numbered(docs)
-    same = (F.col("_id").eqNullSafe(F.col("doc_id"))) & F.col("_source").eqNullSafe(F.col("source")) & (F.col("_size") == F.col("_n")) & (F.col("copy") == F.col("_copy"))
-    used = numbered.join(uses.hint("merge"), same)
-    text = F.when(F.col("words") == F.col("_n"), F.col("text")).otherwise(mixing.first_words(F.col("text"), F.col("words")))
-    return used.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    return mixing.mixed_rows(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
