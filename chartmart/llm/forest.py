@@ -206,3 +206,14 @@ def links(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding"
 
 def query(spark, sf_dir: str) -> DataFrame:
     return links(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+ORACLE_SQL = f"""
+WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+p AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= {COSINE}),
+n AS (SELECT a AS vec_id, count(*) AS n_links FROM p GROUP BY a),
+reach(vec_id, other) AS (SELECT a, b FROM p UNION SELECT r.vec_id, p.b FROM reach r JOIN p ON p.a = r.other),
+c AS (SELECT vec_id, least(min(other), vec_id) AS component_id FROM reach GROUP BY vec_id)
+SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, coalesce(component_id, vec_id) AS component_id, coalesce(component_id, vec_id) = vec_id AS kept
+FROM v LEFT JOIN n USING (vec_id) LEFT JOIN c USING (vec_id)
+"""

@@ -22,7 +22,7 @@ documents hold does not gather in one group.
 
 Defined cases: a null text is empty; lines without words never count and stay; a null id
 sorts before all others; rows equal in id and text are one document, with equal results;
-other columns pass through ``apply`` as they are; an empty table gives no rows.
+other columns pass through ``cut`` as they are, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -94,15 +94,14 @@ def later_lines(texts: DataFrame, run: int = RUN, gram: int = GRAM, alone: int =
     return O.later_spans(texts.mapInArrow(fingerprints, O.SENT))
 
 
-def apply(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` with later repeated runs deleted from the text, and ``_n_lines``, ``_n_removed``."""
-    texts = T.keyed(docs, id_col, text_col)
-    spans = later_lines(texts, **options)
-    id_, th = F.coalesce(F.col(id_col).cast("long"), F.lit(T.NO_ID).cast("long")), F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    joined = docs.withColumn("_id", id_).withColumn("_th", th).join(spans, ["_id", "_th"], "left")
-    cut = F.pandas_udf(_delete, "text string, n_lines long, n_removed long")(F.col(text_col), F.col("_spans"))
-    return joined.withColumn("_cut", cut).withColumn(text_col, F.col("_cut.text")).withColumn("_n_lines", F.col("_cut.n_lines")).withColumn(
-        "_n_removed", F.col("_cut.n_removed")).drop("_id", "_th", "_spans", "_cut")
+def cut(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``row`` (all columns of ``docs``, later repeated runs deleted from the text), ``n_lines``, ``n_removed``."""
+    spans = later_lines(T.keyed(docs, id_col, text_col), **options)
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"),
+                       F.coalesce(F.col(id_col).cast("long"), F.lit(T.NO_ID)).alias("_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("_th"))
+    made = F.pandas_udf(_delete, "text string, n_lines long, n_removed long")(F.col("row")[text_col], F.col("_spans"))
+    out = rows.join(spans, ["_id", "_th"], "left").select("row", made.alias("_cut"))
+    return out.select(F.col("row").withField(text_col, F.col("_cut.text")).alias("row"), "_cut.n_lines", "_cut.n_removed")
 
 
 def _delete(texts: pd.Series, spans: pd.Series) -> pd.DataFrame:
@@ -123,6 +122,21 @@ def _delete(texts: pd.Series, spans: pd.Series) -> pd.DataFrame:
 
 def query(spark, sf_dir: str) -> DataFrame:
     """Deleted lines of every document, with a digest of the text that stays."""
-    cut = apply(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
-    return cut.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"),
-                      F.length("text").cast("long").alias("n_chars"), F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"))
+    rows = cut(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+    return rows.select("row.doc_id", "n_lines", "n_removed", F.length("row.text").cast("long").alias("n_chars"),
+                       F.sha2(F.encode("row.text", "UTF-8"), 256).alias("kept_sha256"))
+
+
+ORACLE_SQL = rf"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS x FROM documents),
+a AS (SELECT doc_id, unnest(x) AS line, generate_subscripts(x, 1) AS o FROM d),
+b AS (SELECT *, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS ws FROM a),
+l AS (SELECT doc_id, o, len(ws) AS n, array_to_string(ws, ' ') AS s, row_number() OVER (PARTITION BY doc_id ORDER BY o) AS p FROM b WHERE len(ws) > 0),
+r AS (SELECT *, s || chr(10) || lead(s) OVER (PARTITION BY doc_id ORDER BY p) AS two FROM l),
+m AS (SELECT *, two IS NOT NULL AND row_number() OVER (PARTITION BY two ORDER BY doc_id, p) > 1 AS later,
+        n >= {ALONE} AND row_number() OVER (PARTITION BY s ORDER BY doc_id, p) > 1 AS again FROM r),
+g AS (SELECT doc_id, o, later OR again OR coalesce(lag(later) OVER (PARTITION BY doc_id ORDER BY p), false) AS gone FROM m),
+k AS (SELECT doc_id, count(g.o)::BIGINT AS n_lines, count(*) FILTER (WHERE gone)::BIGINT AS n_removed,
+        coalesce(string_agg(line, chr(10) ORDER BY o) FILTER (WHERE gone IS NOT TRUE), '') AS kept FROM a LEFT JOIN g USING (doc_id, o) GROUP BY doc_id)
+SELECT doc_id, n_lines, n_removed, length(kept)::BIGINT AS n_chars, sha256(kept) AS kept_sha256 FROM k
+"""

@@ -149,12 +149,13 @@ def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     uses = mixed.select(*key(F.col("doc_id"), F.col("source")), F.col("size").alias("_n"), "copy", "words")
     uses = uses.groupBy("_i", "_s", "_n").agg(F.collect_list(F.struct("copy", "words")).alias("_uses"))
-    rows = docs.select("*", *key(F.col(id_col), F.col(source_col)), T.n_words(F.col(text_col)).alias("_n"))
-    numbered = rows.withColumn("_copy", F.row_number().over(Window.partitionBy("_i", "_s", "_n").orderBy(F.xxhash64(text_col))))
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), *key(F.col(id_col), F.col(source_col)), T.n_words(F.col(text_col)).alias("_n"))
+    numbered = rows.withColumn("_copy", F.row_number().over(Window.partitionBy("_i", "_s", "_n").orderBy(F.xxhash64(F.col("row")[text_col]))))
     used = numbered.join(uses.hint("merge"), ["_i", "_s", "_n"])
     used = used.withColumn("_use", F.explode(F.filter("_uses", lambda u: u["copy"] == F.col("_copy"))))
-    text = F.when(F.col("_use.words") == F.col("_n"), F.col(text_col)).otherwise(first_words(F.col(text_col), F.col("_use.words")))
-    return used.withColumn(text_col, text).select(*docs.columns)
+    text = F.col("row")[text_col]
+    text = F.when(F.col("_use.words") == F.col("_n"), text).otherwise(first_words(text, F.col("_use.words")))
+    return used.select(F.col("row").withField(text_col, text).alias("row")).select("row.*")
 
 
 def first_words(text: Column, n: Column) -> Column:

@@ -69,18 +69,18 @@ def _without(text: Column, pattern: str) -> Column:
 
 
 def counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``_q``, a struct of the counts that the rules use."""
+    """``row`` (all columns of ``docs``) and ``_q``, a struct of the counts that the rules use."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     words = let(F.regexp_extract_all(text, F.lit(T.WORD), F.lit(0)), lambda w: F.struct(F.size(w).alias("n"), _repeated(w).alias("repeats")))
     lines = let(F.filter(F.split(text, "\n"), lambda x: x.rlike(T.WORD)),
                 lambda x: F.struct(F.size(x).alias("n"), (F.size(x) - F.size(F.array_distinct(x))).alias("dup")))
-    n = F.length(text)
-    out = docs.withColumn("_w", words).withColumn("_l", lines)
-    return out.withColumn("_q", F.struct(
+    out = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), text.alias("_t"), words.alias("_w"), lines.alias("_l"))
+    text, n = F.col("_t"), F.length("_t")
+    return out.select("row", F.struct(
         F.col("_w.n").cast("long").alias("n_words"), _without(text, T.SPACE).cast("long").alias("word_chars"),
         (n - _without(text, r"[#*$%&|<>]")).cast("long").alias("n_symbols"), F.col("_l.dup").cast("long").alias("n_dup_lines"),
         F.col("_w.repeats").cast("long").alias("n_repeat_words"), F.col("_l.n").cast("long").alias("n_lines"),
-        (n - _without(text, r"\p{Lu}")).cast("long").alias("n_capitals"))).drop("_w", "_l")
+        (n - _without(text, r"\p{Lu}")).cast("long").alias("n_capitals")).alias("_q"))
 
 
 def _base_failed(q: Column) -> Column:
@@ -102,7 +102,7 @@ def cutoffs(counted: DataFrame, labels: DataFrame, id_col: str = "doc_id", strat
     """``_stratum`` and a cutoff column for each rule (101 where none is certified)."""
     good = labels.where("quality is not null").groupBy(F.col("doc_id").alias("_label")).agg(F.max("quality").alias("_good"))
     own = counted.where(~_base_failed(F.col("_q"))).select(
-        F.col(id_col).alias("_label"), F.coalesce(F.col(stratum_col), F.lit("")).alias("_stratum"),
+        F.col("row")[id_col].alias("_label"), F.coalesce(F.col("row")[stratum_col], F.lit("")).alias("_stratum"),
         F.array(*[F.struct(F.lit(k).alias("rule"), v.cast("int").alias("at")) for k, v in _statistics(F.col("_q")).items()]).alias("_s"))
     held = own.join(good, "_label").select("_stratum", "_good", F.explode("_s").alias("_s")).groupBy(
         "_stratum", F.col("_s.rule").alias("rule"), F.col("_s.at").alias("at")).agg(
@@ -123,28 +123,37 @@ def cutoffs(counted: DataFrame, labels: DataFrame, id_col: str = "doc_id", strat
 
 
 def judged(counted: DataFrame, cut: DataFrame, stratum_col: str = "lang") -> DataFrame:
-    """``counted`` with ``_base_failed`` and ``_kept``. ``cut`` has a row per stratum."""
-    rows = counted.withColumn("_stratum", F.coalesce(F.col(stratum_col), F.lit(""))).join(cut, "_stratum", "left")
+    """``row, _q, base_failed, kept`` of every row of ``counts``; ``cut`` has a row per stratum."""
+    rows = counted.withColumn("_stratum", F.coalesce(F.col("row")[stratum_col], F.lit(""))).join(cut, "_stratum", "left")
     over = [F.coalesce(v > F.col(f"_cut_{k}"), F.lit(False)) for k, v in _statistics(F.col("_q")).items()]
     failed = _base_failed(F.col("_q"))
     kept = ~failed
     for rule in over:
         kept = kept & ~rule
-    return rows.withColumn("_base_failed", failed).withColumn("_kept", kept).drop("_stratum", *[f"_cut_{r}" for r in RULES])
+    return rows.select("row", "_q", failed.alias("base_failed"), kept.alias("kept"))
 
 
-def query(spark, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang", "text")
-    counted = stage(counts(docs).drop("text"), "counts")
-    out = judged(counted, cutoffs(counted, spark.read.parquet(f"{sf_dir}/labels.parquet")))
-    return out.select("doc_id", *[F.col(f"_q.{c}").alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
-                      F.col("_base_failed").alias("base_failed"), F.col("_kept").alias("kept"))
+def _counted(docs: DataFrame, id_col: str, text_col: str, stratum_col: str) -> DataFrame:
+    """Counts without texts, written once: as narrow as the ids."""
+    own = docs.select(F.col(id_col).alias("doc_id"), F.col(stratum_col).alias("lang"), F.col(text_col).alias("text"))
+    return stage(counts(own).withColumn("row", F.col("row").dropFields("text")), "counts")
+
+
+def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang", **options) -> DataFrame:
+    """``row`` (id as ``doc_id`` and stratum as ``lang``), ``_q``, ``base_failed`` and ``kept`` of every document."""
+    counted = _counted(docs, id_col, text_col, stratum_col)
+    return judged(counted, cutoffs(counted, labels, **options))
 
 
-def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the rules keep."""
-    counted = stage(counts(docs.select("doc_id", "lang", "text")).drop("text"), "counts")
-    return judged(counts(docs), cutoffs(counted, labels)).where("_kept").select(*docs.columns)
+def keep(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang", **options) -> DataFrame:
+    """The rows of ``docs`` that the rules keep; texts are counted again rather than shuffled to their verdicts."""
+    cut = cutoffs(_counted(docs, id_col, text_col, stratum_col), labels, **options)
+    return judged(counts(docs, text_col), cut, stratum_col).where("kept").select("row.*")
+
+
+def query(spark, sf_dir: str) -> DataFrame:
+    out = judge(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return out.select("row.doc_id", *[F.col(f"_q.{c}") for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")], "base_failed", "kept")
 
 
 ORACLE_SQL = rf"""

@@ -26,6 +26,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_forest": forest.ORACLE_SQL,
         "op3_mixing": mixing.ORACLE_SQL,
         "op4_quality_rules": quality.ORACLE_SQL,
+        "op6_line_dedup": linededup.ORACLE_SQL,
+        "op10_substring_dedup": substring.ORACLE_SQL,
     }

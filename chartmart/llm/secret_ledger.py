@@ -19,7 +19,7 @@ give the positions.
 
 Defined cases: a null text is empty; null paths and versions are values like any other;
 repeated rows find the same; texts of any length are scanned whole; other columns pass
-through ``findings`` as they are; an empty table writes an empty part and gives no rows.
+through ``findings`` as they are, whatever their names; an empty table writes an empty part and gives no rows.
 """
 
 from __future__ import annotations
@@ -114,16 +114,18 @@ class Ledger:
         part.write.parquet(f"{self.folder}/part-{uuid.uuid4().hex}")
 
     def findings(self, history: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
-        """``history`` with ``_spans``: the findings of the rules' present versions, by start and rule."""
+        """``row`` (the columns of ``history`` but the text), ``blob`` and ``spans``: the findings of the rules' present versions, by start and rule."""
         def current(s: Column) -> Column:
             return F.array_contains(F.array(*[F.lit(f"{r.name}@{r.version}") for r in rules]), F.concat_ws("@", s["rule"], s["version"]))
 
         order = F.array(*[F.lit(r.name) for r in rules])
         flat = F.flatten(F.transform(F.filter("scans", current), lambda s: F.transform(s["spans"], lambda x: F.struct(
             x["start"].alias("start"), F.array_position(order, s["rule"]).alias("at"), s["rule"].alias("kind"), x["end"].alias("end")))))
-        found = self.entries().select(F.col("blob").alias("_blob"), F.sort_array(flat).alias("_spans")).where(F.size("_spans") > 0)
-        rows = history.withColumn("_blob", F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
-        return rows.join(found, "_blob", "left").drop("_blob")
+        found = self.entries().select("blob", F.sort_array(flat).alias("spans")).where(F.size("spans") > 0)
+        columns = [F.col(c) for c in history.columns if c != text_col]  # texts are not shuffled again
+        rows = history.select(F.struct(*columns).alias("row"), F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256).alias("blob"))
+        none = F.array().cast("array<struct<start:int,at:bigint,kind:string,end:int>>")
+        return rows.join(found, "blob", "left").select("row", "blob", F.coalesce("spans", none).alias("spans"))
 
 
 def joined(spans: Column) -> Column:
@@ -135,8 +137,7 @@ def query(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     ledger = Ledger(spark, scratch_path(spark, "ledger"))
     ledger.scan(docs)
-    spans = F.coalesce("_spans", F.array().cast("array<struct<start:int,at:bigint,kind:string,end:int>>"))
-    found = ledger.findings(docs).select("doc_id", spans.alias("s"))
+    found = ledger.findings(docs).select("row.doc_id", F.col("spans").alias("s"))
     base = F.filter("s", lambda s: s["kind"].isin(*BASE))
     return found.select("doc_id", *[_count(k) for k in BASE],
                         F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("s")).alias("spans"))

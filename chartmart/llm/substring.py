@@ -189,3 +189,15 @@ def query(spark, sf_dir: str) -> DataFrame:
     """Removed words of every document, with a digest of the words that stay."""
     kept = dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
+
+
+ORACLE_SQL = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS x FROM documents),
+w AS (SELECT doc_id, unnest(x) AS w, generate_subscripts(x, 1) AS p FROM d),
+g AS (SELECT doc_id, p, w, CASE WHEN count(*) OVER f = {SIZE} THEN string_agg(w, ' ') OVER f END AS g
+      FROM w WINDOW f AS (PARTITION BY doc_id ORDER BY p ROWS BETWEEN CURRENT ROW AND {SIZE - 1} FOLLOWING)),
+l AS (SELECT doc_id, p, w, g IS NOT NULL AND row_number() OVER (PARTITION BY g ORDER BY doc_id, p) > 1 AS later FROM g),
+c AS (SELECT doc_id, p, w, max(later::INT) OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN {SIZE - 1} PRECEDING AND CURRENT ROW) AS gone FROM l),
+k AS (SELECT doc_id, sum(gone)::BIGINT AS n, string_agg(w, ' ' ORDER BY p) FILTER (WHERE gone = 0) AS kept FROM c GROUP BY doc_id)
+SELECT doc_id, len(x)::BIGINT AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k USING (doc_id)
+"""

@@ -22,9 +22,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later repeated runs of lines go; ``n_chars`` follows the text. A document that has no word left
     but had some goes too: all of it stands in earlier ones."""
-    cut = linededup.apply(docs)
-    emptied = (F.col("_n_removed") > 0) & (F.col("_n_removed") == F.col("_n_lines"))
-    return cut.where(~emptied).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    rows = linededup.cut(docs).where("n_removed = 0 or n_removed < n_lines").select("row.*")
+    return rows.withColumn("n_chars", F.length("text").cast("long"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
