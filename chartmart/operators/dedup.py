@@ -1,8 +1,10 @@
 """Duplicate handling: purge (delete every row of a repeated key), keep-one, latest per key.
 
-All of them are hash aggregations with map-side partial aggregation, so a hot key
-(one group holding a third of the rows) is combined on the map side instead of being
-sorted in one task as a ROW_NUMBER window would be.
+One algorithm at every size. Wide rows are never grouped as they are: a narrow pass groups
+hashes of the compared columns (partially aggregated on the map side, so a hot group is
+combined before the shuffle), and only rows of repeated hashes are grouped by the columns
+themselves, which rules collisions out. Sets of keys are written once and joined; whether
+such a join broadcasts is the planner's choice, from the size of the written files.
 """
 
 from __future__ import annotations
@@ -11,7 +13,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 
@@ -22,114 +23,79 @@ def duplicate_groups(df: DataFrame, compare_cols: Sequence[str], count_col: str
             .filter(F.col(count_col) > 1))
 
 
+def _hashes(columns: Sequence[str]) -> list[Column]:
+    return [F.xxhash64(*columns).alias("_h1"), F.hash(*columns).alias("_h2")]
+
+
+def suspects(df: DataFrame, compare_cols: Sequence[str]) -> DataFrame:
+    """The rows of ``df`` whose compared columns share both hashes with another row's: all
+    rows of repeated groups, and (rarely) rows that merely collide. ``df`` is read twice."""
+    from chartmart.session import stage
+
+    pairs = df.select(*_hashes(compare_cols)).groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_n"))
+    pairs = stage(pairs.filter(F.col("_n") > 1).select("_h1", "_h2"), "repeated_hashes")
+    return df.select("*", *_hashes(compare_cols)).join(pairs, ["_h1", "_h2"], "left_semi").select(*df.columns)
+
+
 def flag_duplicates(df: DataFrame, compare_cols: Sequence[str], key_cols: Sequence[str],
                     count_col: str = "n_copies") -> DataFrame:
     """Keys of repeated groups with the number of surplus copies (rows a ROW_NUMBER>1 would flag)."""
-    g = duplicate_groups(df, compare_cols, "_n")
+    compare_cols, key_cols = list(compare_cols), list(key_cols)
+    g = duplicate_groups(suspects(df, compare_cols), compare_cols, "_n")
     return (g.groupBy(*key_cols).agg(F.sum(F.col("_n") - 1).cast("bigint").alias(count_col)))
 
 
-def _wide(df: DataFrame, key_cols: Sequence[str], compare_cols: Sequence[str]) -> bool:
-    """Rows worth replacing by hashes in a shuffle: non-key compare columns holding text, or many columns."""
-    extra = [c for c in compare_cols if c not in key_cols]
-    text = [c for c in extra if isinstance(df.schema[c].dataType, (T.StringType, T.BinaryType))]
-    return bool(text) or len(extra) > 8
-
-
-def purge_duplicated_keys(df: DataFrame, key_cols: Sequence[str], compare_cols: Sequence[str],
-                          prefilter: bool | str = "auto", broadcast_max_rows: int = 1_000_000,
-                          prefilter_min_rows: int = 2_000_000) -> DataFrame:
+def purge_duplicated_keys(df: DataFrame, key_cols: Sequence[str], compare_cols: Sequence[str]) -> DataFrame:
     """Delete *every* row whose key belongs to a repeated group (DELETE ... WHERE key IN (...)).
 
     Grouping treats NULLs as equal, the delete test does not: a row with a NULL key part
     is never deleted. That is exactly a ``left_anti`` join on the key columns (null-unaware),
-    never ``NOT IN``.
-
-    With ``prefilter`` ("auto": compare columns wide and more than ``prefilter_min_rows`` rows,
-    counted from the staged input's metadata) the repeated groups are found in two passes so the wide rows are
-    not shuffled: (1) group by the keys plus two independent 64/32-bit hashes of the
-    compare columns - a narrow shuffle, partially aggregated on the map side - to get
-    candidate groups; (2) confirm the candidates exactly by grouping only the candidate
-    rows on every compare column (hash collisions are thereby ruled out). The duplicate
-    key set is staged and counted: up to ``broadcast_max_rows`` keys it is broadcast to the
-    anti join and the result stays a cheap lazy plan; beyond that the anti join shuffles
-    (AQE splits skewed keys) and its result is staged once so consumers do not repeat it.
-    ``df`` is read three times; pass a staged (materialised) input.
+    never ``NOT IN``. ``df`` is read three times; pass a staged (materialised) input.
     """
     from chartmart.session import stage
 
     key_cols, compare_cols = list(key_cols), list(compare_cols)
-    if prefilter == "auto":
-        prefilter = _wide(df, key_cols, compare_cols) and df.count() > prefilter_min_rows
-    if prefilter:
-        hashed = df.select(*key_cols, F.xxhash64(*compare_cols).alias("_h1"), F.hash(*compare_cols).alias("_h2"))
-        cand = stage(hashed.groupBy(*key_cols, "_h1", "_h2").agg(F.count(F.lit(1)).alias("_n"))
-                     .filter(F.col("_n") > 1).drop("_n"), "dup_candidates")
-        rows = df.withColumn("_h1", F.xxhash64(*compare_cols)).withColumn("_h2", F.hash(*compare_cols))
-        hit = [rows[k].eqNullSafe(cand[k]) for k in key_cols] + [rows["_h1"] == cand["_h1"], rows["_h2"] == cand["_h2"]]
-        suspects = rows.join(cand, hit, "left_semi").drop("_h1", "_h2")
-    else:
-        suspects = df
-    dup_keys = stage(duplicate_groups(suspects, compare_cols, "_n").select(*key_cols).distinct(), "dup_keys")
-    n_dup = dup_keys.count()  # exact size of the set before deciding to broadcast it
-    if n_dup == 0:
-        return df
-    small = n_dup <= broadcast_max_rows
-    right = F.broadcast(dup_keys) if small else dup_keys
-    cond = [df[k] == right[k] for k in key_cols]
-    kept = df.join(right, cond, "left_anti")
-    return kept if small else stage(kept, "purged")
+    by = list(dict.fromkeys([*compare_cols, *key_cols]))
+    groups = duplicate_groups(suspects(df, by), by, "_n")
+    dup_keys = stage(groups.select(*key_cols).distinct(), "dup_keys")
+    return df.join(dup_keys, [df[k] == dup_keys[k] for k in key_cols], "left_anti")
 
 
 def drop_exact_duplicates(df: DataFrame, cols: Sequence[str] | None = None,
-                          order: Sequence[str] | None = None, prefilter: bool | str = "auto") -> DataFrame:
+                          order: Sequence[str] | None = None) -> DataFrame:
     """Keep one row per ``cols`` group. Without ``order`` any row of the group is kept (all
-    equal when ``cols`` is every column); with ``order`` the row smallest in that order wins.
-    ``prefilter`` as in ``first_per_key_prefiltered`` (for long text keys)."""
+    equal when ``cols`` is every column); with ``order`` the row smallest in that order wins."""
     if cols is None or set(cols) == set(df.columns):
         return df.dropDuplicates()
     if order is None:
         return df.dropDuplicates(list(cols))
-    return first_per_key_prefiltered(df, cols, order, descending=False, prefilter=prefilter)
+    return first_per_wide_key(df, cols, order, descending=False)
 
 
-def first_per_key_prefiltered(df: DataFrame, keys: Sequence[str], order: Sequence[str], descending: bool = True,
-                              prefilter: bool | str = "auto", broadcast_max_rows: int = 1_000_000,
-                              prefilter_min_rows: int = 2_000_000) -> DataFrame:
-    """``first_per_key`` that avoids shuffling long keys (whole texts) when repeats are rare.
+def first_per_wide_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], descending: bool = True) -> DataFrame:
+    """``first_per_key`` that does not shuffle long keys (whole texts) of rows that are alone.
 
-    A narrow pass counts the (64-bit, 32-bit) hash pairs of the key. A row whose hash pair is
-    unique is the only row of its key and passes through untouched; only rows of repeated hash
-    pairs are grouped exactly by the key. The repeated-pair set is staged and counted, then
-    broadcast when within ``broadcast_max_rows``; beyond that the exact form is used.
-    ``prefilter="auto"``: text keys on a staged input of more than ``prefilter_min_rows`` rows.
+    A narrow pass counts the hash pairs of the key. A row whose pair is unique is the only
+    row of its key and passes through; rows of repeated pairs are grouped by the key itself.
+    ``df`` is read three times.
     """
     from chartmart.session import stage
 
     keys = list(keys)
-    if prefilter == "auto":
-        prefilter = _wide(df, [], keys) and df.count() > prefilter_min_rows
-    if not prefilter:
-        return first_per_key(df, keys, order, descending)
-    tagged = df.select("*", F.xxhash64(*keys).alias("_h1"), F.hash(*keys).alias("_h2"))
-    repeated_pairs = stage(tagged.groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_n"))
-                           .filter(F.col("_n") > 1).select("_h1", "_h2"), "repeated_hashes")
-    n = repeated_pairs.count()
-    if n == 0:
-        return df
-    if n > broadcast_max_rows:
-        return first_per_key(df, keys, order, descending)
-    b = F.broadcast(repeated_pairs)
-    singles = tagged.join(b, ["_h1", "_h2"], "left_anti").select(*df.columns)
-    repeats = tagged.join(b, ["_h1", "_h2"], "left_semi").select(*df.columns)
+    tagged = df.select("*", *_hashes(keys))
+    pairs = tagged.groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_n"))
+    pairs = stage(pairs.filter(F.col("_n") > 1).select("_h1", "_h2"), "repeated_hashes")
+    singles = tagged.join(pairs, ["_h1", "_h2"], "left_anti").select(*df.columns)
+    repeats = tagged.join(pairs, ["_h1", "_h2"], "left_semi").select(*df.columns)
     return singles.unionByName(first_per_key(repeats, keys, order, descending))
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], descending: bool = True) -> DataFrame:
     """One row per key: the greatest (``descending``) or smallest in ``order``.
 
-    Expressed as ``max``/``min`` of a struct (order columns first, then the payload): a
-    hash aggregation with partial aggregation, instead of a window that sorts every group.
+    Expressed as ``max``/``min`` of a struct (order columns first, then the payload). Spark runs
+    it as a sort aggregate with a partial step, so each task sends one row per key and a hot key
+    is reduced before the shuffle, where a window would bring all its rows together.
     NULL order values rank lowest, as ORDER BY ... DESC NULLS LAST.
     """
     keys = list(keys)

@@ -7,12 +7,11 @@ table into a single task. Instead:
 2. tag each row with its partition id and its position inside the partition,
 3. write the tagged rows once to shared storage (range bounds are sampled, so a
    recomputation could move rows; the written copy freezes them and survives executor loss),
-4. count rows per partition (one tiny row per partition), turn the counts into running
-   offsets on the driver, and add ``start + offset + position`` in a plain projection.
+4. count rows per partition (one tiny row per partition), sum the counts into running
+   offsets, join them on the partition id, and add ``start + offset + position``.
 
 The only data that meets in one place is the per-partition count table, whose size is
-bounded by the number of partitions (not by the data). The keyed result is a projection
-over the written files, so the planner sees its true size when it is joined later.
+bounded by the number of partitions (not by the data).
 """
 
 from __future__ import annotations
@@ -21,8 +20,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from chartmart.session import scratch_path
+from chartmart.session import scratch_path, stage
 
 _POS_BITS = 33  # monotonically_increasing_id = partition id << 33 | position in partition
 
@@ -63,22 +63,17 @@ def assign_surrogate_keys(df: DataFrame, order_cols: Sequence[str | Column], key
     tagged.write.mode("overwrite").parquet(path)
     frozen = spark.read.parquet(path)
 
-    # one row per non-empty partition: a bounded, tiny result, turned into running offsets
-    counts = sorted((r["_pid"], r["_cnt"]) for r in
-                    frozen.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt")).collect())
-    offsets, run = {}, 0
-    for pid, cnt in counts:
-        offsets[pid] = run
-        run += cnt
-    off = F.lit(0).cast("bigint")
-    if offsets:
-        table = F.create_map(*[x for pid, o in offsets.items() for x in (F.lit(pid), F.lit(o).cast("bigint"))])
-        off = table[F.col("_pid")]
+    # one row per non-empty partition, with its running offset: joined on the partition id, so
+    # the plan does not grow with the number of partitions
+    counts = frozen.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
+    before = F.sum("_cnt").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = stage(counts.select("_pid", F.coalesce(before, F.lit(0)).alias("_off")), f"offsets-{key}")
 
     start_col = start if isinstance(start, Column) else F.lit(int(start))
     pos = F.col("_mid") - F.shiftleft(F.col("_pid").cast("bigint"), _POS_BITS)
     out_cols = df_in.columns if tiebreak else df.columns
-    return frozen.select((start_col + off + pos).cast("bigint").alias(key), *out_cols)
+    keyed = frozen.join(offsets, "_pid")  # as small as the number of partitions: the planner broadcasts it
+    return keyed.select((start_col + F.col("_off") + pos).cast("bigint").alias(key), *out_cols)
 
 
 def next_key(df: DataFrame, key: str) -> int:

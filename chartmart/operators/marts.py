@@ -1,7 +1,7 @@
 """Marts over the fact: base view, weekly trend, artist streams and popularity.
 
-Averages are rounded half-up to ``ndigits`` (default 6) from an exact decimal sum, so results
-do not depend on summation order or engine; pass ``ndigits=None`` for raw double averages.
+Averages are raw doubles. ``ndigits`` rounds a mart's averages half-up from an exact decimal
+sum, so that the result does not depend on summation order or engine: for comparisons only.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ def base_fact(fact: DataFrame) -> DataFrame:
     return fact.select(*FACT_COLUMNS)
 
 
-def weekly_trend(fact: DataFrame, ndigits: int | None = 6, ordered: bool = False) -> DataFrame:
+def weekly_trend(fact: DataFrame, ndigits: int | None = None, ordered: bool = False) -> DataFrame:
     """SUM(streams), AVG(rank) per date_key. Partial + final hash aggregation; sort only at a sink."""
     out = base_fact(fact).groupBy("date_key").agg(
         F.sum("streams").cast("bigint").alias("total_streams"),
@@ -33,26 +33,30 @@ def weekly_trend(fact: DataFrame, ndigits: int | None = 6, ordered: bool = False
     return out.orderBy("date_key") if ordered else out
 
 
-def artist_streams(fact: DataFrame, ndigits: int | None = 6) -> DataFrame:
+def artist_streams(fact: DataFrame, ndigits: int | None = None) -> DataFrame:
     return base_fact(fact).groupBy("artist_key").agg(
         F.sum("streams").cast("bigint").alias("total_streams"),
         _avg("rank", ndigits).alias("avg_rank"),
         _avg("popularity_score", ndigits).alias("avg_popularity"))
 
 
-def artist_popularity_by_key(fact: DataFrame, dim_artist: DataFrame, ndigits: int | None = 6) -> DataFrame:
+def artist_popularity_by_key(fact: DataFrame, dim_artist: DataFrame, ndigits: int | None = None) -> DataFrame:
     """Aggregate first, then join the dimension; the not-NULL name filter turns the outer
     join into an inner one (Catalyst EliminateOuterJoin). Distinct over the result."""
-    a = artist_streams(fact, ndigits)
+    a = artist_streams(fact)
     da = dim_artist.select("artist_key", "artist_name")
-    return (a.join(da, "artist_key", "left").filter(F.col("artist_name").isNotNull())
-            .select("artist_name", "total_streams", "avg_rank", "avg_popularity").distinct())
+    out = (a.join(da, "artist_key", "left").filter(F.col("artist_name").isNotNull())
+           .select("artist_name", "total_streams", "avg_rank", "avg_popularity").distinct())
+    if ndigits is None:
+        return out
+    return out.select("artist_name", "total_streams", *[F.round(F.col(c).cast("decimal(38,12)"), ndigits).cast("double").alias(c)
+                                                        for c in ("avg_rank", "avg_popularity")]).distinct()
 
 
-def artist_popularity_by_name(fact: DataFrame, dim_artist: DataFrame, ndigits: int | None = 6) -> DataFrame:
+def artist_popularity_by_name(fact: DataFrame, dim_artist: DataFrame, ndigits: int | None = None) -> DataFrame:
     """Two-level aggregate: per-key sums and averages, then SUM / unweighted AVG per name;
     the NULL-name group (unmatched keys) is kept."""
-    a = artist_streams(fact, ndigits)
+    a = artist_streams(fact)
     da = dim_artist.select("artist_key", "artist_name")
     return (a.join(da, "artist_key", "left").groupBy("artist_name").agg(
         F.sum("total_streams").cast("bigint").alias("total_streams"),

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from chartmart.operators.dedup import latest_per_key
 from chartmart.operators.keys import assign_surrogate_keys, next_key
+from chartmart.session import stage
 
 SRC = "_src_"
 
@@ -103,8 +104,8 @@ def upsert_dim_artist(dim_artist: DataFrame, release_clean: DataFrame, run_date:
     genre and freshness; update name/image/start; insert with NULL start, current."""
     from chartmart.operators.dims import ts_lit
 
-    day = latest_per_key(select_run_date(release_clean, "release_date", run_date), ["artist_id"],
-                         ["release_date", "load_timestamp", "uri", "artist_individual", "artist_genre", "artist_img"])
+    day = stage(latest_per_key(select_run_date(release_clean, "release_date", run_date), ["artist_id"],
+                               ["release_date", "load_timestamp", "uri", "artist_individual", "artist_genre", "artist_img"]), "day")
     return merge_upsert(
         dim_artist, day,
         on=[("artist_id", "artist_id"), ("artist_genre", "artist_genre")],
@@ -125,9 +126,9 @@ def upsert_dim_track(dim_track: DataFrame, release_clean: DataFrame, run_date: s
     and freshness; update cover/track count/start; insert with start = run time."""
     from chartmart.operators.dims import ts_lit
 
-    day = latest_per_key(select_run_date(release_clean, "release_date", run_date), ["uri"],
-                         ["release_date", "load_timestamp", "track_name", "album_cover", "album_num_tracks",
-                          "artist_id"])
+    day = stage(latest_per_key(select_run_date(release_clean, "release_date", run_date), ["uri"],
+                               ["release_date", "load_timestamp", "track_name", "album_cover", "album_num_tracks",
+                                "artist_id"]), "day")
     return merge_upsert(
         dim_track, day,
         on=[("uri", "uri"), ("track_name", "track_name")],

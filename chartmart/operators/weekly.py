@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chartmart.functions import collab_flag, first_or_null, infer_country, join_names, released_in_last_days
+from chartmart.operators.dedup import first_per_key
 from chartmart.schemas import ARTIST_RECORD, PAGE, RELEASE_COLUMNS
 
 ITEM_COLUMNS = ["uri", "track_name", "release_date", "album_num_tracks", "album_cover", "source",
@@ -56,8 +57,11 @@ def artist_attributes(artists: DataFrame) -> DataFrame:
 
 
 def enrich_artist(items: DataFrame, artists: DataFrame) -> DataFrame:
-    """Per-item artist lookup as a LEFT join on the first artist's id, plus the inferred country."""
-    a = artist_attributes(artists)
+    """Per-item artist lookup as a LEFT join on the first artist's id, plus the inferred country.
+
+    An artist that was landed several times counts once (records are compared as they are and
+    the greatest is taken), so items never multiply."""
+    a = first_per_key(artist_attributes(artists), ["_artist_id"], ["artist_genre", "artist_img"])
     j = items.join(a, items["artist_id"] == a["_artist_id"], "left").drop("_artist_id")
     return j.withColumn("country", infer_country("artist_genre"))
 

@@ -7,6 +7,7 @@ loss, and avoids recomputing the upstream joins for each consumer.
 
 from __future__ import annotations
 
+import re
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
 
@@ -26,6 +27,7 @@ from chartmart.operators.weekly import enrich_artist, flatten_pages, weekly_rows
 from chartmart.schemas import FACT_COLUMNS, RAW_CHART, RAW_RELEASE
 from chartmart.session import stage
 from chartmart.sources.files import FileFormat, scan_csv
+from chartmart.sources.versions import complete
 
 # Fixed run clock of the repeatable runs (never current_timestamp inside a compared query).
 HIST_AS_OF = "2024-12-01 00:00:00"      # historical dimension load
@@ -148,16 +150,16 @@ def mart_checks(weekly: DataFrame, artists: DataFrame) -> DataFrame:
 
 def run_marts(fact: DataFrame, dim_artist: DataFrame, prev_snapshot: DataFrame | None = None,
               snapshot_source: DataFrame | None = None, snapshot_key: list[str] | None = None,
-              as_of: datetime | str = HIST_AS_OF) -> dict[str, DataFrame]:
+              as_of: datetime | str = HIST_AS_OF, ndigits: int | None = None) -> dict[str, DataFrame]:
     """M6: marts (small aggregates, staged once), their column tests, and an optional snapshot."""
     with ThreadPoolExecutor(max_workers=2) as pool:  # two independent aggregations of the fact
-        w = pool.submit(lambda: stage(weekly_trend(fact), "weekly_trend"))
-        n = pool.submit(lambda: stage(artist_popularity_by_name(fact, dim_artist), "artist_popularity_by_name"))
+        w = pool.submit(lambda: stage(weekly_trend(fact, ndigits), "weekly_trend"))
+        n = pool.submit(lambda: stage(artist_popularity_by_name(fact, dim_artist, ndigits), "artist_popularity_by_name"))
         weekly, by_name = w.result(), n.result()
     out = {
         "weekly_trend": weekly,
         "artist_popularity_by_name": by_name,
-        "artist_popularity_by_key": artist_popularity_by_key(fact, dim_artist),
+        "artist_popularity_by_key": artist_popularity_by_key(fact, dim_artist, ndigits),
         "report": mart_checks(weekly, by_name),
     }
     if snapshot_source is not None:
@@ -165,6 +167,11 @@ def run_marts(fact: DataFrame, dim_artist: DataFrame, prev_snapshot: DataFrame |
     return out
 
 
+def weekly_typed(pages: DataFrame, artists: DataFrame, as_of: date | str = WEEKLY_AS_OF) -> DataFrame:
+    """Pages -> flat items -> artist enrichment -> last-7-days rows -> typed rows."""
+    return clean(weekly_rows(enrich_artist(flatten_pages(pages), artists), as_of), WEEKLY_SPEC)
+
+
 def run_weekly_load(pages: DataFrame, artists: DataFrame, as_of: date | str = WEEKLY_AS_OF,
                     dedup_how: str = "purge") -> DataFrame:
     """M7: pages -> flat items -> artist enrichment -> last-7-days rows -> typed -> cleanup."""
@@ -176,21 +183,28 @@ def run_weekly_load(pages: DataFrame, artists: DataFrame, as_of: date | str = WE
 
 
 def run_snapshot(cat, name: str, current: DataFrame, key_cols: list[str], updated_at: str,
-                 as_of: datetime | str, buckets: int | None = None) -> DataFrame:
-    """Snapshot kept as two tables: ``<name>_history`` (closed rows, append-only) and
-    ``<name>_open`` (current versions, replaced each run, bucketed by the key). A run reads and
-    writes only the open rows plus what it closes, and its full outer join shuffles only the
-    source (the open side is already bucketed by the key). Returns the full snapshot."""
+                 as_of: datetime | str) -> DataFrame:
+    """Snapshot kept as one version per run, named after ``as_of``: the rows it closed (``closed``)
+    and the current versions (``open``), written in this order. A version is complete with its
+    ``open`` part. A run reads the open rows of the latest complete earlier version and writes
+    only its own, so an interrupted or repeated run rewrites the same version and loses or
+    doubles nothing; a read error is raised. Returns the full snapshot: the closed rows of all
+    versions up to this one and the open rows of this one.
+    """
     check_unique_keys(current, key_cols)
-    hist, open_name = f"{name}_history", f"{name}_open"
-    n = buckets or int(current.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    try:
-        open_rows = cat.table(open_name)
-    except Exception:  # first run: no open table yet
-        first = _first_version(current, key_cols, updated_at)
-        cat.write(hist, first.filter(F.lit(False)))
-        return cat.write(open_name, first, bucket_by=(n, key_cols)).unionByName(cat.table(hist))
-    closed_now, next_open = scd2_step(open_rows, current, key_cols, updated_at, as_of)
-    next_open = stage(next_open, f"{name}_open_next")  # never overwrite the open table while reading it
-    cat.write(hist, closed_now, mode="append")
-    return cat.write(open_name, next_open, bucket_by=(n, key_cols)).unionByName(cat.table(hist))
+    spark, folder = current.sparkSession, cat.location(name)
+    run = re.sub(r"[^0-9]", "", str(as_of))  # sorts as the times do
+    earlier = sorted(r for r in complete(spark, folder, "run", last="open") if r < run)
+    if earlier:
+        open_rows = spark.read.parquet(f"{folder}/run={earlier[-1]}/open")
+        closed, next_open = scd2_step(open_rows, current, key_cols, updated_at, as_of)
+        both = stage(closed.withColumn("_open", F.lit(False)).unionByName(next_open.withColumn("_open", F.lit(True))),
+                     f"{name}_{run}")  # the join of the step runs once for both parts
+        closed, next_open = both.where("not _open").drop("_open"), both.where("_open").drop("_open")
+    else:
+        next_open = _first_version(current, key_cols, updated_at)
+        closed = next_open.filter(F.lit(False))
+    closed.write.mode("overwrite").parquet(f"{folder}/run={run}/closed")
+    next_open.write.mode("overwrite").parquet(f"{folder}/run={run}/open")
+    history = spark.read.schema(closed.schema).parquet(*[f"{folder}/run={r}/closed" for r in [*earlier, run]])
+    return history.unionByName(spark.read.schema(closed.schema).parquet(f"{folder}/run={run}/open"))

@@ -79,6 +79,11 @@ def avg6(expr: str) -> str:
             f"// (2 * {n} * 1000000)) AS DOUBLE) / 1000000.0 END")
 
 
+def round6(expr: str) -> str:
+    """A double rounded half-up to 6 decimals by way of DECIMAL(38,12)."""
+    return f"CAST(round(CAST({expr} AS DECIMAL(38,12)), 6) AS DOUBLE)"
+
+
 def ts(v: str | None) -> str:
     return "CAST(NULL AS TIMESTAMP)" if v is None else f"TIMESTAMP '{v}'"
 
@@ -183,8 +188,8 @@ FROM ({keyed('ins', TRACK_NATURAL, 'track_key', f'(SELECT max(track_key) FROM {t
 
 WEEKLY_ITEMS_SQL = f"""
 WITH n AS (SELECT count(*) AS n_supp FROM supplier),
-p AS (SELECT p_partkey, p_name, p_brand, p_size, 1 + p_partkey % n_supp AS a1,
-             CASE WHEN p_partkey % 5 = 0 THEN 1 + (p_partkey + 1) % n_supp END AS a2 FROM part, n),
+p AS (SELECT p_partkey, p_name, p_brand, p_size, p_partkey % n_supp AS a1,
+             CASE WHEN p_partkey % 5 = 0 THEN (p_partkey + 1) % n_supp END AS a2 FROM part, n),
 j AS (SELECT p.*, s1.s_name AS a1_name, s2.s_name AS a2_name, s2.s_suppkey AS a2_key
       FROM p JOIN supplier s1 ON s1.s_suppkey = p.a1 LEFT JOIN supplier s2 ON s2.s_suppkey = p.a2),
 one AS (
@@ -244,6 +249,8 @@ CTES: dict[str, tuple[str, list[str]]] = {
     "fact_raw": (_fact_raw("all"), ["chart_purged", "dim_track", "dim_artist", "dim_country", "dim_date"]),
     "fact": (purge_sql("fact_raw", ["track_key", "artist_key", "country_key", "date_key"], FACT_COLUMNS),
              ["fact_raw"]),
+    "artist_raw": ("SELECT artist_key, CAST(SUM(streams) AS BIGINT) AS total_streams, avg(\"rank\") AS avg_rank, "
+                   "avg(popularity_score) AS avg_popularity FROM fact GROUP BY artist_key", ["fact"]),
     "artist_streams": (f"SELECT artist_key, CAST(SUM(streams) AS BIGINT) AS total_streams, "
                        f"{avg6(q('rank'))} AS avg_rank, {avg6('popularity_score')} AS avg_popularity "
                        f"FROM fact GROUP BY artist_key", ["fact"]),
@@ -251,8 +258,8 @@ CTES: dict[str, tuple[str, list[str]]] = {
                f"FROM fact GROUP BY date_key", ["fact"]),
     "by_name": (f"SELECT da.artist_name, CAST(SUM(a.total_streams) AS BIGINT) AS total_streams, "
                 f"{avg6('a.avg_rank')} AS avg_rank, {avg6('a.avg_popularity')} AS avg_popularity "
-                f"FROM artist_streams a LEFT JOIN dim_artist da ON a.artist_key = da.artist_key GROUP BY da.artist_name",
-                ["artist_streams", "dim_artist"]),
+                f"FROM artist_raw a LEFT JOIN dim_artist da ON a.artist_key = da.artist_key GROUP BY da.artist_name",
+                ["artist_raw", "dim_artist"]),
     "weekly_items": (WEEKLY_ITEMS_SQL, []),
     "artist_attr": (ARTIST_ATTR_SQL, []),
     "weekly_enriched": (f"SELECT i.*, a.artist_genre, a.artist_img, {_COUNTRY_SQL} AS country FROM weekly_items i "
@@ -287,22 +294,24 @@ CUSTOMER_COLS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegmen
 SNAPSHOT_AS_OF = ["2024-01-02 00:00:00", "2024-02-02 00:00:00", "2024-03-02 00:00:00"]
 
 
-def _snap_first(cur: str) -> str:
-    return (f"SELECT {cols(CUSTOMER_COLS)}, md5(CAST(c_custkey AS VARCHAR) || '|' || CAST(updated_at AS VARCHAR)) "
+def _snap_first(cur: str, keys=("c_custkey",)) -> str:
+    key = " || '|' || ".join(f"CAST({k} AS VARCHAR)" for k in keys)
+    return (f"SELECT {cols(CUSTOMER_COLS)}, md5({key} || '|' || CAST(updated_at AS VARCHAR)) "
             f"AS scd_id, updated_at AS scd_updated_at, updated_at AS valid_from, {ts(None)} AS valid_to FROM {cur}")
 
 
-def _snap_step(prev: str, cur: str, as_of: str) -> str:
+def _snap_step(prev: str, cur: str, as_of: str, keys=("c_custkey",)) -> str:
+    on = " AND ".join(f"o.{k} = c.{k}" for k in keys)
     o_cols = ", ".join(f"o.{q(c)}" for c in CUSTOMER_COLS)
     return f"""SELECT * FROM {prev} WHERE valid_to IS NOT NULL
 UNION ALL
 SELECT {o_cols}, o.scd_id, o.scd_updated_at, o.valid_from,
   CASE WHEN c.c_custkey IS NOT NULL AND c.updated_at > o.scd_updated_at THEN c.updated_at
        WHEN c.c_custkey IS NULL THEN {ts(as_of)} END AS valid_to
-FROM (SELECT * FROM {prev} WHERE valid_to IS NULL) o LEFT JOIN {cur} c ON o.c_custkey = c.c_custkey
+FROM (SELECT * FROM {prev} WHERE valid_to IS NULL) o LEFT JOIN {cur} c ON {on}
 UNION ALL
 SELECT * FROM ({_snap_first(f"(SELECT c.* FROM {cur} c LEFT JOIN (SELECT * FROM {prev} WHERE valid_to IS NULL) o "
-                            f"ON o.c_custkey = c.c_custkey WHERE o.c_custkey IS NULL OR c.updated_at > o.scd_updated_at)")})"""
+                            f"ON {on} WHERE o.c_custkey IS NULL OR c.updated_at > o.scd_updated_at)", keys)})"""
 
 
 _CUST = "(SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer)"
@@ -338,6 +347,19 @@ def _report_sql() -> str:
     return "\nUNION ALL\n".join(parts)
 
 
+FACT_DIMS = {"track_key": "dim_track", "artist_key": "dim_artist", "country_key": "dim_country", "date_key": "dim_date"}
+DIM_COLUMNS = {"dim_artist": ("artist_key", ARTIST_NATURAL), "dim_track": ("track_key", ["uri", "track_name", "album_cover"]),
+               "dim_country": ("country_key", COUNTRY_NATURAL), "dim_date": ("date_key", ["full_date", "day_name"]),
+               "dim_audio_features": ("audio_features_key", ["uri"])}
+
+
+def _tall(dim: str, source: str) -> str:
+    """(dim, key, value): the text columns of a dimension in one string, so that all fit one table."""
+    key, names = DIM_COLUMNS[dim]
+    text = " || '|' || ".join(f"coalesce({q(c)}, '~')" for c in names)
+    return f"SELECT '{dim}' AS dim, {key} AS key, {text} AS value FROM {source}"
+
+
 def oracle_queries() -> dict[str, str]:
     chart_cols = cols(CHART_COLUMNS)
     s: dict[str, str] = {}
@@ -406,9 +428,11 @@ def oracle_queries() -> dict[str, str]:
     s["weekly_trend"] = with_ctes("SELECT * FROM weekly", ["weekly"])
     s["artist_streams"] = with_ctes("SELECT * FROM artist_streams", ["artist_streams"])
     s["artist_popularity_by_key"] = with_ctes(
-        "SELECT DISTINCT da.artist_name, a.total_streams, a.avg_rank, a.avg_popularity FROM artist_streams a "
-        "LEFT JOIN dim_artist da ON a.artist_key = da.artist_key WHERE da.artist_name IS NOT NULL",
-        ["artist_streams", "dim_artist"])
+        # equal averages may differ in their last bits by the order of summation, so rows are compared after rounding
+        f"SELECT DISTINCT artist_name, total_streams, {round6('avg_rank')} AS avg_rank, {round6('avg_popularity')} AS avg_popularity FROM ("
+        "SELECT DISTINCT da.artist_name, a.total_streams, a.avg_rank, a.avg_popularity FROM artist_raw a "
+        "LEFT JOIN dim_artist da ON a.artist_key = da.artist_key WHERE da.artist_name IS NOT NULL)",
+        ["artist_raw", "dim_artist"])
     s["artist_popularity_by_name"] = with_ctes("SELECT * FROM by_name", ["by_name"])
     s["incremental_slice"] = with_ctes(f"SELECT * FROM release_purged WHERE release_date = DATE '{RUN_DATE}'",
                                        ["release_purged"])
@@ -424,17 +448,17 @@ def oracle_queries() -> dict[str, str]:
         "SELECT 'not_null_fact_artist_key' AS check_name, CAST(count(*) AS BIGINT) AS failures, count(*) != 0 AS "
         "should_warn, count(*) != 0 AS should_error FROM fact WHERE artist_key IS NULL", ["fact"])
     s["dq_unique"] = with_ctes(
-        "SELECT artist_name AS unique_field, count(*) AS n_records FROM (SELECT DISTINCT da.artist_name, "
-        "a.total_streams, a.avg_rank, a.avg_popularity FROM artist_streams a LEFT JOIN dim_artist da "
-        "ON a.artist_key = da.artist_key WHERE da.artist_name IS NOT NULL) WHERE artist_name IS NOT NULL "
-        "GROUP BY artist_name HAVING count(*) > 1", ["artist_streams", "dim_artist"])
+        "SELECT artist_name AS unique_field, count(*) AS n_records FROM dim_artist WHERE artist_name IS NOT NULL "
+        "GROUP BY artist_name HAVING count(*) > 1", ["dim_artist"])
     s["dq_report"] = with_ctes(_report_sql(), ["weekly", "by_name"])
-    s["dq_primary_key"] = ("SELECT l_orderkey, l_linenumber, count(*) AS n_records FROM lineitem "
-                           "GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1 OR l_orderkey IS NULL "
-                           "OR l_linenumber IS NULL")
-    s["dq_foreign_key"] = ("SELECT l.* FROM lineitem l WHERE l.l_orderkey IS NOT NULL AND NOT EXISTS "
-                           "(SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey "
-                           "AND o.o_orderstatus <> 'F')")
+    s["dq_primary_key"] = with_ctes("SELECT uri, artist_id, count(*) AS n_records FROM chart_clean GROUP BY uri, artist_id "
+                                    "HAVING count(*) > 1 OR uri IS NULL OR artist_id IS NULL", ["chart_clean"])
+    s["dq_foreign_key"] = ("SELECT d.doc_id, d.lang, d.source FROM documents d WHERE d.doc_id IS NOT NULL AND NOT EXISTS "
+                           "(SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)")
+    s["dq_fact_foreign_keys"] = with_ctes(" UNION ALL ".join(
+        f"SELECT 'fk_{k}' AS check_name, count(*) FILTER (WHERE f.{k} IS NOT NULL AND d.{k} IS NULL) AS failures, "
+        f"count(*) FILTER (WHERE f.{k} IS NULL) AS without_key FROM fact f LEFT JOIN {d} d ON f.{k} = d.{k}" for k, d in FACT_DIMS.items()),
+        ["fact", *FACT_DIMS.values()])
     s["dq_fanout"] = with_ctes("SELECT artist_id, count(*) AS n_rows FROM dim_artist GROUP BY artist_id "
                                "HAVING count(*) > 1", ["dim_artist"])
     # weekly load
@@ -459,4 +483,21 @@ def oracle_queries() -> dict[str, str]:
     h2 = f"({_snap_step(h1, SNAP_GONE, SNAPSHOT_AS_OF[1])})"
     s["scd2_hard_delete"] = f"SELECT * FROM ({_snap_step(h2, SNAP_FULL, SNAPSHOT_AS_OF[2])})"
     s["stream_upsert"] = s["merge_upsert_artist"]
+    s["stream_release_load"] = with_ctes("SELECT DISTINCT * FROM weekly_clean", ["weekly_clean"])
+    two = ("c_custkey", "c_nationkey")
+    r1 = f"({_snap_first(SNAP_V1, two)})"
+    r2 = f"({_snap_step(r1, SNAP_V2, SNAPSHOT_AS_OF[1], two)})"
+    s["run_snapshot"] = f"SELECT * FROM ({_snap_step(r2, SNAP_FULL, SNAPSHOT_AS_OF[2], two)})"
+    mixed = (f"(SELECT * REPLACE (CASE WHEN track_key % 3 = 0 THEN {ts('2030-01-01 00:00:00')} WHEN track_key % 3 = 1 THEN {ts(None)} "
+             f"ELSE effective_start_date END AS effective_start_date) FROM dim_track_hist)")
+    s["merge_upsert_track_stale_insert"] = with_ctes(f"SELECT * FROM {_merge_track(mixed, 'insert')}", ["dim_track_hist", "release_purged"])
+    s["run_dimensions"] = with_ctes(" UNION ALL ".join(_tall(d, d) for d in DIM_COLUMNS), list(DIM_COLUMNS))
+    s["run_incremental_dims"] = with_ctes(
+        f"{_tall('dim_artist', _merge_artist('dim_artist_hist'))} UNION ALL {_tall('dim_track', _merge_track('dim_track_hist'))}",
+        ["dim_artist_hist", "dim_track_hist", "release_purged"])
+    s["run_marts"] = with_ctes(
+        "SELECT 'weekly_trend' AS mart, CAST(date_key AS VARCHAR) AS name, total_streams, avg_rank FROM weekly UNION ALL "
+        "SELECT 'artist_popularity_by_name', artist_name, total_streams, avg_rank FROM by_name", ["weekly", "by_name"])
+    s["write_tables"] = ("SELECT o_orderkey, o_custkey, o_orderstatus, (SELECT count(*) FROM orders WHERE o_orderstatus <> 'F') AS written "
+                         "FROM orders")
     return s

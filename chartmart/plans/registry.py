@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from chartmart.functions import safe_ratio, strip_prefix, try_date, try_float, try_int
 from chartmart.operators.clean import CHART_COMPARE, CHART_SPEC, RELEASE_SPEC, WEEKLY_SPEC, clean
 from chartmart.operators.dedup import drop_exact_duplicates, flag_duplicates, latest_per_key
-from chartmart.operators.dims import (artist_filter, artist_rows, build_dim_artist, build_dim_audio, build_dim_country,
+from chartmart.operators.dims import (ARTIST_NATURAL, COUNTRY_NATURAL, artist_filter, artist_rows, build_dim_artist, build_dim_audio, build_dim_country,
                                       build_dim_date, build_dim_track, ts_lit, union_distinct)
 from chartmart.operators.fact import Lookup, build_fact, star_lookup
 from chartmart.operators.history import scd2_snapshot
@@ -25,15 +25,18 @@ from chartmart.operators.upsert import select_run_date, upsert_dim_artist, upser
 from chartmart.operators.weekly import (enrich_artist, flatten_pages, scan_artists, scan_release_pages, weekly_rows)
 from chartmart.plans.flows import (HIST_AS_OF, MERGE_AS_OF, RELEASE_LOAD_TS, RUN_DATE, WEEKLY_AS_OF, clean_chart,
                                    clean_release, mart_checks, run_dimensions, run_fact, run_historical_chart,
-                                   run_historical_release, run_weekly_load, stage_release)
-from chartmart.schemas import RAW_CHART
+                                   run_historical_release, run_incremental_dims, run_marts, run_snapshot,
+                                   run_weekly_load, stage_release, weekly_typed)
+from chartmart.schemas import PAGE, RAW_CHART
 from chartmart.session import scratch_path, stage
 from chartmart.sources import binding as B
-from chartmart.sources.files import scan_csv, write_csv
-from chartmart.streaming.release_stream import stream_dedup, stream_upsert
+from chartmart.sources.catalog import Catalog
+from chartmart.sources.files import scan_csv, write_append, write_counted, write_csv, write_replace
+from chartmart.streaming.release_stream import parts, stream_dedup, stream_release_load, stream_upsert
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+DIGITS = 6  # averages are compared after rounding, here and in the SQL; the operators keep raw doubles
 SNAPSHOT_AS_OF = ["2024-01-02 00:00:00", "2024-02-02 00:00:00", "2024-03-02 00:00:00"]
 
 
@@ -245,21 +248,21 @@ def q_base_fact(spark, sf):
 
 
 def q_weekly_trend(spark, sf):
-    return weekly_trend(fact_and_dims(spark, sf)[0])
+    return weekly_trend(fact_and_dims(spark, sf)[0], DIGITS)
 
 
 def q_artist_streams(spark, sf):
-    return artist_streams(fact_and_dims(spark, sf)[0])
+    return artist_streams(fact_and_dims(spark, sf)[0], DIGITS)
 
 
 def q_artist_popularity_by_key(spark, sf):
     fact, dims = fact_and_dims(spark, sf)
-    return artist_popularity_by_key(fact, dims["dim_artist"])
+    return artist_popularity_by_key(fact, dims["dim_artist"], DIGITS)
 
 
 def q_artist_popularity_by_name(spark, sf):
     fact, dims = fact_and_dims(spark, sf)
-    return artist_popularity_by_name(fact, dims["dim_artist"])
+    return artist_popularity_by_name(fact, dims["dim_artist"], DIGITS)
 
 
 def q_incremental_slice(spark, sf):
@@ -305,8 +308,8 @@ def q_dq_not_null(spark, sf):
 
 
 def q_dq_unique(spark, sf):
-    fact, dims = fact_and_dims(spark, sf)
-    return check_unique(artist_popularity_by_key(fact, dims["dim_artist"]), "artist_name")
+    """Names of several artist rows (an artist with two genres has two)."""
+    return check_unique(q_dim_artist(spark, sf), "artist_name")
 
 
 def q_dq_report(spark, sf):
@@ -317,13 +320,96 @@ def q_dq_report(spark, sf):
 
 
 def q_dq_primary_key(spark, sf):
-    return check_key(B.read_table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
+    """The declared key of the cleaned chart, before its duplicates are purged."""
+    return check_key(chart_clean(spark, sf), ["uri", "artist_id"])
 
 
 def q_dq_foreign_key(spark, sf):
-    li = B.read_table(spark, sf, "lineitem")
-    open_orders = B.read_table(spark, sf, "orders").filter(F.col("o_orderstatus") != "F")
-    return check_foreign_key(li, open_orders, "l_orderkey", "o_orderkey")
+    """Documents without a label."""
+    docs = B.read_table(spark, sf, "documents").select("doc_id", "lang", "source")
+    return check_foreign_key(docs, B.read_table(spark, sf, "labels"), "doc_id")
+
+
+def q_dq_fact_foreign_keys(spark, sf):
+    """The fact's four declared foreign keys: orphans, and rows whose key is NULL (which is allowed)."""
+    fact, dims = fact_and_dims(spark, sf)
+    fact = stage(fact, "fact")
+    out = None
+    for key, dim in _oracle_dims().items():
+        orphans = check_foreign_key(fact, dims[dim], key).agg(F.count(F.lit(1)).alias("failures"))
+        none = fact.agg(F.count(F.when(F.col(key).isNull(), 1)).alias("without_key"))
+        row = orphans.crossJoin(none).select(F.lit(f"fk_{key}").alias("check_name"), "failures", "without_key")  # one row each
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def _oracle_dims() -> dict[str, str]:
+    return {"track_key": "dim_track", "artist_key": "dim_artist", "country_key": "dim_country", "date_key": "dim_date"}
+
+
+def _tall(dims: dict[str, DataFrame]) -> DataFrame:
+    """(dim, key, value): the text columns of each dimension in one string, so that all fit one table."""
+    out = None
+    for name, df in dims.items():
+        key, names = DIM_COLUMNS[name]
+        rows = df.select(F.lit(name).alias("dim"), F.col(key).alias("key"), F.concat_ws("|", *[F.coalesce(F.col(c), F.lit("~")) for c in names]).alias("value"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+DIM_COLUMNS = {"dim_artist": ("artist_key", ARTIST_NATURAL), "dim_track": ("track_key", ["uri", "track_name", "album_cover"]),
+               "dim_country": ("country_key", COUNTRY_NATURAL), "dim_date": ("date_key", ["full_date", "day_name"]),
+               "dim_audio_features": ("audio_features_key", ["uri"])}
+
+
+def q_run_dimensions(spark, sf):
+    """M3: the five dimensions of one run."""
+    return _tall(run_dimensions(spark, chart_purged(spark, sf), release_purged(spark, sf), HIST_AS_OF))
+
+
+def q_run_incremental_dims(spark, sf):
+    """M4: the daily upserts of both dimensions as one run."""
+    dims = {"dim_artist": hist_dim_artist(spark, sf), "dim_track": hist_dim_track(spark, sf)}
+    return _tall(run_incremental_dims(dims, release_purged(spark, sf), RUN_DATE, MERGE_AS_OF))
+
+
+def q_run_marts(spark, sf):
+    """M6: both marts of one run (their checks run too)."""
+    fact, dims = fact_and_dims(spark, sf)
+    out = run_marts(fact, dims["dim_artist"], ndigits=DIGITS)
+    weekly = out["weekly_trend"].select(F.lit("weekly_trend").alias("mart"), F.col("date_key").cast("string").alias("name"), "total_streams", "avg_rank")
+    return weekly.unionByName(out["artist_popularity_by_name"].select(F.lit("artist_popularity_by_name").alias("mart"), F.col("artist_name").alias("name"),
+                                                                      "total_streams", "avg_rank"))
+
+
+def q_merge_upsert_track_stale_insert(spark, sf):
+    """The literal MERGE on a target whose starts are stale, NULL and fresh by turns."""
+    third = F.col("track_key") % 3
+    mixed = hist_dim_track(spark, sf).withColumn("effective_start_date", F.when(third == 0, ts_lit("2030-01-01 00:00:00")).when(
+        third == 1, ts_lit(None)).otherwise(F.col("effective_start_date")))
+    return upsert_dim_track(mixed, release_purged(spark, sf), RUN_DATE, MERGE_AS_OF, on_stale="insert")
+
+
+def q_run_snapshot(spark, sf):
+    """Three runs of the stored snapshot on a composite key."""
+    first, second = B.customer_versions(spark, sf)
+    full = B.read_table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment").withColumn(
+        "updated_at", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
+    cat = Catalog(spark, scratch_path(spark, "snapshot_catalog"))
+    for load, as_of in zip([first, second, full], SNAPSHOT_AS_OF):
+        out = run_snapshot(cat, "analytics.customer_snapshot", load, ["c_custkey", "c_nationkey"], "updated_at", as_of)
+    return out
+
+
+def q_write_tables(spark, sf):
+    """Replace, counted write, append (columns in another order) and read back by name."""
+    orders = B.read_table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    cat = Catalog(spark, scratch_path(spark, "write_catalog"))
+    at = cat.location("raw.orders")
+    write_replace(orders, at)
+    written = write_counted(orders.where("o_orderstatus <> 'F'"), at)
+    write_append(orders.where("o_orderstatus = 'F'").select("o_orderstatus", "o_orderkey", "o_custkey"), at)
+    return cat.table("raw.orders").withColumn("written", F.lit(written).cast("bigint"))
 
 
 def q_dq_fanout(spark, sf):
@@ -379,23 +465,47 @@ def q_run_fact(spark, sf):
     return run_fact(chart, dims)
 
 
+def landed_batches(df: DataFrame, fmt: str, by) -> str:
+    """``df`` landed as three files, taken by a stream one at a time."""
+    path = scratch_path(df.sparkSession, "landed")
+    for k in range(3):
+        df.where(by == k).coalesce(1).write.mode("append").format(fmt).save(path)
+    return path
+
+
 def q_stream_dedup(spark, sf):
+    """Three batches in which keys return late, and the whole first batch landed again."""
     ev = B.read_table(spark, sf, "events")
-    in_dir = scratch_path(spark, "events_in")
-    ev.write.mode("overwrite").parquet(in_dir)
+    turn = F.pmod(F.hash("event_id"), F.lit(3))
+    both = ev.withColumn("_turn", turn).unionByName(ev.where(turn == 0).withColumn("_turn", F.lit(2)))
+    in_dir = landed_batches(both, "parquet", F.col("_turn"))
     out_dir, ck = scratch_path(spark, "events_out"), scratch_path(spark, "events_ck")
-    stream_dedup(spark, in_dir, ev.schema, out_dir, ck, ["user_id", "event_type"], "ts", watermark="7 days")
-    return spark.read.parquet(out_dir).select("user_id", "event_type")
+    stream_dedup(spark, in_dir, ev.schema, out_dir, ck, ["user_id", "event_type"], max_files=1)
+    return parts(spark, out_dir, ev.schema).select("user_id", "event_type")
+
+
+def q_stream_release_load(spark, sf):
+    """Page JSON in three batches; a track found by two searches comes again in another batch."""
+    pages = B.pages(spark, sf)
+    in_dir = landed_batches(pages, "json", F.pmod(F.hash(F.to_json("tracks")), F.lit(3)))
+    artists_path = scratch_path(spark, "artists_json")
+    B.artist_records(spark, sf).write.mode("overwrite").json(artists_path)
+    artists = scan_artists(spark, artists_path)
+    out_dir, ck = scratch_path(spark, "weekly_out"), scratch_path(spark, "weekly_ck")
+    load = lambda batch: weekly_typed(batch, artists, WEEKLY_AS_OF)
+    stream_release_load(spark, in_dir, load, out_dir, ck, PAGE, max_files=1)
+    return parts(spark, out_dir, load(spark.createDataFrame([], PAGE)).schema)
 
 
 def q_stream_upsert(spark, sf):
+    """The run date's releases in one batch, then files of other days, which change nothing."""
     dim_artist = hist_dim_artist(spark, sf)
     rel = release_purged(spark, sf)
-    in_dir = scratch_path(spark, "release_in")
-    select_run_date(rel, "release_date", RUN_DATE).write.mode("overwrite").parquet(in_dir)
+    day = F.datediff("release_date", F.lit(RUN_DATE).cast("date"))
+    in_dir = landed_batches(rel, "parquet", F.when(day < 0, 0).when(day == 0, 1).otherwise(2))
     versions, ck = scratch_path(spark, "dim_artist_versions"), scratch_path(spark, "dim_artist_ck")
     latest = stream_upsert(spark, in_dir, rel.schema, versions, ck, dim_artist,
-                           lambda dim, batch: upsert_dim_artist(dim, batch, RUN_DATE, MERGE_AS_OF, "skip"))
+                           lambda dim, batch: upsert_dim_artist(dim, batch, RUN_DATE, MERGE_AS_OF, "skip"), max_files=1)
     return spark.read.parquet(latest)
 
 
@@ -460,4 +570,12 @@ def queries() -> dict[str, Query]:
         "run_fact": q_run_fact,
         "stream_dedup": q_stream_dedup,
         "stream_upsert": q_stream_upsert,
+        "stream_release_load": q_stream_release_load,
+        "dq_fact_foreign_keys": q_dq_fact_foreign_keys,
+        "run_dimensions": q_run_dimensions,
+        "run_incremental_dims": q_run_incremental_dims,
+        "run_marts": q_run_marts,
+        "run_snapshot": q_run_snapshot,
+        "merge_upsert_track_stale_insert": q_merge_upsert_track_stale_insert,
+        "write_tables": q_write_tables,
     }

@@ -10,6 +10,7 @@ temporary folder.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -33,7 +34,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
-    if master.startswith("local"):  # tests and the bench only: keep catalog tables out of the cwd
+    if _one_machine(master):  # tests and the bench only: keep catalog tables out of the cwd
         builder = builder.config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="chartmart-warehouse-"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -41,6 +42,11 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
     return spark
 
 
+def _one_machine(master: str) -> bool:
+    """``local``, ``local[8]``, ...: driver and executors are one process; ``local-cluster`` is a cluster."""
+    return re.fullmatch(r"local(\[.*\])?", master) is not None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder of the session, setting one only if unset.
 
@@ -61,7 +67,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+    if not _one_machine(sc.master):
         raise RuntimeError("spark.checkpoint.dir is not set; point it at shared storage before running chartmart jobs")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="chartmart-ckpt-"))
     return sc.getCheckpointDir()
@@ -91,20 +97,5 @@ def stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> Da
     return back.select(*df.columns)
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Give a scan at least one partition per core.
-
-    A table stored as many files/row groups already has enough partitions and passes
-    through untouched (the cluster case); a single-row-group file is read by one task, so
-    it is spread round-robin once, before the expensive narrow work, to use every core.
-    """
-    try:
-        n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # partition count not observable here (e.g. a remote session): leave as is
-        return df
-    return df.repartition(n) if have < n else df
-
-
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")

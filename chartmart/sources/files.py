@@ -13,16 +13,15 @@ class FileFormat:
     """A named delimited-file format: comma, optional '"' quoting (doubled quotes escape a
     quote), one header line skipped, empty field -> NULL. Columns are bound by position to
     the given schema; header names are ignored.
-    ``multi_line=True`` reads quoted fields holding newlines correctly but makes each file one
-    task (a multi-line file cannot be split); landing zones at scale deliver many files, or set
-    ``multi_line=False`` when the producer guarantees single-line records (splittable reads)."""
+    A record is one line, so large files are read by many tasks. ``multi_line=True`` also reads
+    quoted fields that hold newlines, at the price of one task per file."""
 
     sep: str = ","
     quote: str = '"'
     escape: str = '"'
     header: bool = True
     null_value: str = ""
-    multi_line: bool = True
+    multi_line: bool = False
     mode: str = "FAILFAST"
     encoding: str = "UTF-8"
 
@@ -66,8 +65,14 @@ def write_append(df: DataFrame, target: str, fmt: str = "parquet") -> None:
     w = df.write.mode("append").format(fmt)
     if "/" in target:
         w.save(target)
+    elif df.sparkSession.catalog.tableExists(target):
+        # insertInto binds by position: bring the columns into the table's order first
+        names = df.sparkSession.table(target).columns
+        if sorted(names) != sorted(df.columns):
+            raise ValueError(f"columns {sorted(df.columns)} do not match those of {target}: {sorted(names)}")
+        df.select(*names).write.mode("append").format(fmt).insertInto(target)
     else:
-        w.insertInto(target) if df.sparkSession.catalog.tableExists(target) else w.saveAsTable(target)
+        w.saveAsTable(target)
 
 
 def ensure_table(spark: SparkSession, name: str, schema: T.StructType, fmt: str = "parquet") -> None:

@@ -8,15 +8,14 @@ from conftest import rows
 SCHEMA = "uri string, rank bigint, streams bigint"
 
 
-def purge(df, prefilter=True):
-    return purge_duplicated_keys(df, ["uri"], ["uri", "streams"], prefilter=prefilter)
+def purge(df):
+    return purge_duplicated_keys(df, ["uri"], ["uri", "streams"])
 
 
 def test_purge_deletes_every_row_of_a_repeated_key(spark):
     df = spark.createDataFrame([("a", 1, 10), ("a", 2, 10), ("a", 3, 99), ("b", 1, 5)], SCHEMA)
     # the two 'a' rows differing only in rank count as duplicates; the third 'a' row goes too
     assert rows(purge(df)) == [("b", 1, 5)]
-    assert rows(purge(df, prefilter=False)) == [("b", 1, 5)]
 
 
 def test_keep_one_keeps_one_copy(spark):
@@ -66,24 +65,44 @@ def test_purge_property_partition_of_input(spark, data):
     assert kept == expect
 
 
-def test_purge_large_duplicate_set_path(spark):
-    """Above the broadcast bound the anti join shuffles and its result is staged: same rows."""
+def test_purge_is_the_same_whatever_the_planner_joins_with(spark):
+    """Whether the key set is broadcast is the planner's choice from its bytes: same rows either way."""
     df = spark.createDataFrame([("a", 1, 10), ("a", 2, 10), ("b", 1, 5), (None, 1, 1), (None, 2, 1)], SCHEMA)
-    small = rows(purge_duplicated_keys(df, ["uri"], ["uri", "streams"]))
-    big = purge_duplicated_keys(df, ["uri"], ["uri", "streams"], broadcast_max_rows=0)
-    assert rows(big) == small == [("b", 1, 5), (None, 1, 1), (None, 2, 1)]
-    assert "BroadcastHashJoin" not in big._jdf.queryExecution().executedPlan().toString()
-
-
-def test_keep_one_text_prefilter_equals_exact(spark):
+    small = rows(purge(df))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = purge(df)
+        assert rows(big) == small == [("b", 1, 5), (None, 1, 1), (None, 2, 1)]
+        assert "BroadcastHashJoin" not in big._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_purge_shuffles_no_wide_row(spark):
+    """With few repeated keys, the columns that are not compared never pass an exchange."""
+    from chartmart.session import stage
+
+    df = stage(spark.range(2000).select(F.concat(F.lit("u"), F.col("id") % 1990).alias("uri"), (F.col("id") % 7).alias("rank"),
+                                        F.lit(1).cast("bigint").alias("streams"), F.repeat(F.lit("x"), 500).alias("payload")), "wide")
+    plan = purge_duplicated_keys(df, ["uri"], ["uri", "streams"])
+    assert plan.count() == 1980
+    text = plan._jdf.queryExecution().toString()
+    assert "Exchange hashpartitioning" not in text and "payload" in text
+
+
+def test_keep_one_text_equals_exact(spark):
     import os
 
+    from chartmart.operators.dedup import first_per_key
     from conftest import SF_SMALL
 
     docs = spark.read.parquet(os.path.join(SF_SMALL, "documents.parquet"))
     extra = spark.createDataFrame([(10**9, None, "x", "s", 0), (10**9 + 1, None, "y", "s", 0)], docs.schema)
     docs = docs.unionByName(extra)
-    exact = drop_exact_duplicates(docs, ["text"], order=["doc_id"], prefilter=False)
-    hashed = drop_exact_duplicates(docs, ["text"], order=["doc_id"], prefilter=True)
+    exact = first_per_key(docs, ["text"], ["doc_id"], descending=False)
+    hashed = drop_exact_duplicates(docs, ["text"], order=["doc_id"])
     assert rows(hashed) == rows(exact)
     assert hashed.count() == docs.select("text").distinct().count()

@@ -27,3 +27,11 @@ def test_keys_plan_has_no_single_partition_exchange(spark):
     out = assign_surrogate_keys(df, ["a"], "k", num_partitions=4)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan and "Window" not in plan
+
+
+def test_keys_plan_does_not_grow_with_partitions(spark):
+    def size(n):
+        df = spark.range(20000).select((F.col("id") % 9973).alias("a"))
+        return len(assign_surrogate_keys(df, ["a"], "k", num_partitions=n)._jdf.queryExecution().optimizedPlan().toString())
+
+    assert abs(size(4) - size(800)) < 200
