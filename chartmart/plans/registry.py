@@ -31,7 +31,7 @@ from chartmart.schemas import PAGE, RAW_CHART
 from chartmart.session import scratch_path, stage
 from chartmart.sources import binding as B
 from chartmart.sources.catalog import Catalog
-from chartmart.sources.files import scan_csv, write_append, write_counted, write_csv, write_replace
+from chartmart.sources.files import FileFormat, scan_csv, write_append, write_counted, write_csv, write_replace
 from chartmart.streaming.release_stream import parts, stream_dedup, stream_release_load, stream_upsert
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -126,7 +126,7 @@ def q_scan_csv_format(spark, sf):
     docs = B.read_table(spark, sf, "documents").select(*[F.col(c).cast("string").alias(c) for c in DOC_STRINGS.names])
     path = scratch_path(spark, "documents_csv")
     write_csv(docs, path)
-    return scan_csv(spark, path, DOC_STRINGS)
+    return scan_csv(spark, path, DOC_STRINGS, FileFormat(multi_line=True))  # texts hold newlines
 
 
 def q_strip_prefix(spark, sf):
@@ -243,6 +243,12 @@ def q_fact_build(spark, sf):
     return fact_and_dims(spark, sf)[0]
 
 
+def q_purge_tuple_key(spark, sf):
+    """The literal purge of the fact on its four keys, after the lookups (``fact_build`` purges before them)."""
+    chart = chart_purged(spark, sf)
+    return run_fact(chart, all_dims(spark, sf, chart), purge_early=False)
+
+
 def q_base_fact(spark, sf):
     return base_fact(fact_and_dims(spark, sf)[0])
 
@@ -522,7 +528,7 @@ def queries() -> dict[str, Query]:
         "safe_ratio": q_safe_ratio,
         "filter_null_semantics": q_filter_null_semantics,
         "purge_dups_single_key": chart_purged,
-        "purge_dups_tuple_key": q_fact_build,
+        "purge_dups_tuple_key": q_purge_tuple_key,
         "anti_join_null_keys": lambda spark, sf: chart_purged(spark, sf).filter(F.col("uri").isNull()),
         "flag_duplicates": q_flag_duplicates,
         "drop_exact_duplicates": q_drop_exact_duplicates,

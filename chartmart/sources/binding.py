@@ -60,14 +60,17 @@ def chart_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
          .join(F.broadcast(r), F.col("n_regionkey") == F.col("r_regionkey"))
          .withColumn("rel_d", F.date_add(F.lit("1995-01-01").cast("date"), (F.col("p_partkey") % 2500).cast("int")))
          .withColumn("ship_d", F.col("l_shipdate").cast("date")))
-    # exact copies for 1 in 20 tracks, emitted in the same pass (no second evaluation of the joins)
-    copies = F.when((F.col("p_partkey") % 20 == 0) & (F.col("l_orderkey") % 10 == 0), F.array(F.lit(0), F.lit(1)))
+    # emitted in the same pass (no second evaluation of the joins): exact copies for 1 in 20 tracks, and for another
+    # 1 in 20 restated rows that differ in a column the fact leaves out, so that the fact repeats but not the chart
+    copies = F.when((F.col("p_partkey") % 20 == 0) & (F.col("l_orderkey") % 10 == 0), F.array(F.lit(0), F.lit(1))).when(
+        (F.col("p_partkey") % 20 == 10) & (F.col("l_orderkey") % 10 == 5), F.array(F.lit(0), F.lit(2)))
     k = j.withColumn("_copy", F.explode(F.coalesce(copies, F.array(F.lit(0)))))
 
     ok, pk, sk, size = F.col("l_orderkey"), F.col("p_partkey"), F.col("s_suppkey"), F.col("p_size")
     qty = _s(F.col("l_quantity").cast("int"))
     cols = {
-        "uri": F.when(ok % 101 == 0, F.lit(None).cast("string")).otherwise(F.concat(F.lit("catalog:tracks:"), _s(pk))),
+        "uri": F.when(ok % 101 == 0, F.lit(None).cast("string")).when(
+            ok % 103 == 0, F.concat(F.lit("catalog:track:"), _s(pk))).otherwise(F.concat(F.lit("catalog:tracks:"), _s(pk))),
         "rank": _s(F.col("l_linenumber") % 7),
         "artist_names": F.concat(F.col("s_name"), F.lit(", "), F.col("p_brand")),
         "artists_num": F.lit("2"),
@@ -103,7 +106,7 @@ def chart_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         "country": F.col("n_name"),
         "region": F.col("r_name"),
         "language": F.concat(F.lit("lang"), _s("r_regionkey")),
-        "pivot": F.lit("0"),
+        "pivot": F.when(F.col("_copy") == 2, F.lit("1")).otherwise(F.lit("0")),
     }
     return k.select(*[cols[c].alias(c) for c in CHART_COLUMNS])
 
@@ -131,7 +134,9 @@ def release_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         "album_cover": F.concat(F.lit("http://cover.example/new/"), _s(pk)),
         "region": F.lit("Global"),
     }
-    return j.select(*[cols[c].alias(c) for c in RELEASE_COLUMNS])
+    # exact copies for 1 in 40 parts
+    twice = j.withColumn("_copy", F.explode(F.when(pk % 40 == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    return twice.select(*[cols[c].alias(c) for c in RELEASE_COLUMNS])
 
 
 # --- the same two derivations as portable SQL, used as leading CTEs of the DuckDB oracle ---
@@ -147,12 +152,15 @@ WITH j AS (
   JOIN nation n ON s_nationkey = n_nationkey
   JOIN region r ON n_regionkey = r_regionkey
 ), k AS (
-  SELECT j.* FROM j
+  SELECT j.*, '0' AS pv FROM j
   UNION ALL
-  SELECT j.* FROM j WHERE p_partkey % 20 = 0 AND l_orderkey % 10 = 0
+  SELECT j.*, '0' AS pv FROM j WHERE p_partkey % 20 = 0 AND l_orderkey % 10 = 0
+  UNION ALL
+  SELECT j.*, '1' AS pv FROM j WHERE p_partkey % 20 = 10 AND l_orderkey % 10 = 5
 )
 SELECT
-  CASE WHEN l_orderkey % 101 = 0 THEN NULL ELSE 'catalog:tracks:' || CAST(p_partkey AS STRING) END AS uri,
+  CASE WHEN l_orderkey % 101 = 0 THEN NULL WHEN l_orderkey % 103 = 0 THEN 'catalog:track:' || CAST(p_partkey AS STRING)
+       ELSE 'catalog:tracks:' || CAST(p_partkey AS STRING) END AS uri,
   CAST(l_linenumber % 7 AS STRING) AS "rank",
   s_name || ', ' || p_brand AS artist_names,
   '2' AS artists_num,
@@ -183,7 +191,7 @@ SELECT
   '0.1' AS speechiness, '0.2' AS acousticness, '0' AS instrumentalness, '0.3' AS liveness, '0.4' AS valence,
   CAST(p_retailprice AS STRING) AS tempo,
   CAST(p_size * 1000 AS STRING) AS duration,
-  n_name AS country, r_name AS region, 'lang' || CAST(r_regionkey AS STRING) AS "language", '0' AS pivot
+  n_name AS country, r_name AS region, 'lang' || CAST(r_regionkey AS STRING) AS "language", pv AS pivot
 FROM k
 """
 
@@ -206,6 +214,8 @@ SELECT
 FROM part
 CROSS JOIN (SELECT count(*) AS n_supp FROM supplier) c
 JOIN supplier ON s_suppkey = p_partkey % n_supp
+CROSS JOIN (SELECT unnest([0, 1]) AS again) x
+WHERE again = 0 OR p_partkey % 40 = 3
 """
 
 
