@@ -47,6 +47,7 @@ REGISTERS = 96
 BAND = 4  # registers of a band: at 0.8 all 24 bands differ in 3 of a million pairs
 PLAUSIBLE = 0.6
 BLOCK = 1000
+TOGETHER = 3 << 20  # bytes of text signed at once
 
 
 def shingles(texts: pa.Array, words: int = WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -112,8 +113,13 @@ def _signed(docs: DataFrame, words: int, registers: int, band: int) -> DataFrame
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in T.chunks(batch, "_text"):
-                row, found, count = shingles(piece.column("_text"), words)
+            for piece in T.chunks(batch, "_text", TOGETHER):
+                parts, rows_before = [], 0
+                for part in T.chunks(piece, "_text"):  # hashed a little at a time, signed together
+                    row, found, count = shingles(part.column("_text"), words)
+                    parts.append((row + rows_before, found, count))
+                    rows_before += part.num_rows
+                row, found, count = (np.concatenate(x) for x in zip(*parts))
                 if not len(row):
                     continue
                 has = np.unique(row)

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
-CHUNK_BYTES = 3 << 20
+CHUNK_BYTES = 1 << 20  # text hashed at once: a worker holds some 60 bytes for each
 NO_ID = -(2**63)  # stands for a null id: before all others
 
 # odd multipliers of the polynomial hashes (fixed values, any odd numbers do)
@@ -39,7 +39,7 @@ def _power(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers 0..n of a base and of its inverse modulo 2**64."""
     have = _powers.get(base)
     if have is None or len(have[0]) <= n:
-        size = 1 << int(n + 1).bit_length()
+        size = (n // 65536 + 1) * 65536 + 1
         out = []
         for b in (base, pow(base, -1, 1 << 64)):
             p = np.full(size, b & _MASK, dtype=np.uint64)
