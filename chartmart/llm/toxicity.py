@@ -105,30 +105,32 @@ def model(counts: DataFrame) -> np.ndarray:
 
 
 class Restorer:
-    """Likeliest reading of tokens, remembered from one to the next."""
+    """Likeliest reading of tokens, remembered from one to the next.
 
-    def __init__(self, lm: np.ndarray):
-        self.lm, self.known = lm.tolist(), {}
+    ``keep`` makes of a token's restored words what is remembered of it, such as its features.
+    """
 
-    def words(self, text: str) -> set[str]:
-        """The distinct restored words of a text."""
+    def __init__(self, lm: np.ndarray, keep=lambda words: words):
+        self.lm, self.keep, self.known = lm.tolist(), keep, {}
+
+    def each(self, text: str) -> list:
+        """What is kept of each distinct token, and of each run of single characters, of a text."""
         text = text.lower()
-        out = set()
-        if len(self.known) > 400_000:
-            self.known.clear()
         known = self.known
-        for token in set(text.split()):
+        if len(known) > 400_000:
+            known.clear()
+        out = []
+        for token in {*text.split(), *_SPACED.findall(text)}:
             got = known.get(token)
             if got is None:
-                got = known[token] = self.read(token)
-            out.update(got)
-        for run in _SPACED.findall(text):
-            got = known.get(run)
-            if got is None:
-                got = known[run] = self.read(run)
-            out.update(got)
+                got = known[token] = self.keep(self.read(token))
+            out.append(got)
         return out
 
+    def words(self, text: str) -> set[str]:
+        """The distinct restored words of a text."""
+        return set(itertools.chain.from_iterable(self.each(text)))
+
     def read(self, token: str) -> tuple[str, ...]:
         core = token.strip(_TAIL)
         if _PLAIN.fullmatch(core) and not _TRIPLE.search(core):
@@ -187,7 +189,7 @@ class Restorer:
         return out or [(at + 1, " ", 1.0)]
 
 
-def _features(words: set[str]) -> set[str]:
+def _features(words) -> set[str]:
     out = {f"={w}" for w in words if len(w) > 2}
     for n in PREFIXES:
         out.update([f"{w[:n]}-" for w in words if len(w) > n])
@@ -198,15 +200,15 @@ def _counted(docs: DataFrame, lm, wanted, text_col: str) -> DataFrame:
     """``feature, n`` over the rows of ``docs``; of the ``wanted`` features only, if given."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restore, chosen, found = Restorer(lm.value), wanted.value if wanted else None, Counter()
+        chosen, found = wanted.value if wanted else None, Counter()
+        restore = Restorer(lm.value, lambda words: tuple(_features(words) if chosen is None else _features(words) & chosen))
 
         def flush() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], ["feature", "n"])
 
         for batch in batches:
             for text in batch.column("_text").to_pylist():
-                own = _features(restore.words(text or ""))
-                found.update(own & chosen if chosen is not None else own)
+                found.update(set(itertools.chain.from_iterable(restore.each(text or ""))))
             if len(found) > 500_000:
                 yield flush()
                 found.clear()
@@ -248,9 +250,9 @@ def _strong(docs: DataFrame, lm, strong, text_col: str) -> DataFrame:
     """The strong features of each row."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restore = Restorer(lm.value)
+        restore = Restorer(lm.value, lambda words: tuple(_features(words) & strong.value))
         for batch in batches:
-            own = [sorted(_features(restore.words(t or "")) & strong.value) for t in batch.column("_text").to_pylist()]
+            own = [sorted(set(itertools.chain.from_iterable(restore.each(t or "")))) for t in batch.column("_text").to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(own, pa.list_(pa.string()))], ["own"])
 
     return docs.select(F.col(text_col).alias("_text")).mapInArrow(find, "own array<string>")
@@ -288,9 +290,10 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     @F.pandas_udf("double")
     def rate(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        restore, known = Restorer(lm.value), given.value
-        for texts in batches:
-            yield pd.Series([max([known[f] for f in _features(restore.words(t or "")) if f in known], default=share) for t in texts], dtype="float64")
+        known = given.value
+        restore = Restorer(lm.value, lambda words: max([known[f] for f in _features(words) if f in known], default=share))
+        for texts in batches:  # telling features are above the share
+            yield pd.Series([max(restore.each(t or ""), default=share) for t in texts], dtype="float64")
 
     out = docs.select(F.col(id_col).alias("doc_id"), held_out(id_col).alias("held_out"), rate(F.col(text_col)).alias("score"))
     return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
