@@ -146,9 +146,15 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def keep(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang", **options) -> DataFrame:
-    """The rows of ``docs`` that the rules keep; texts are counted again rather than shuffled to their verdicts."""
-    cut = cutoffs(_counted(docs, id_col, text_col, stratum_col), labels, **options)
-    return judged(counts(docs, text_col), cut, stratum_col).where("kept").select("row.*")
+    """The rows of ``docs`` that the rules keep. Each text is counted once; rows meet their verdict by id, text
+    hash and stratum, which rows with equal verdicts may share."""
+    key = [F.coalesce(F.col(id_col).cast("long"), F.lit(T.NO_ID)).alias("_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("_th"),
+           F.coalesce(F.col(stratum_col), F.lit("")).alias("_st")]
+    own = docs.select(*key, F.col(id_col).alias("doc_id"), F.col(stratum_col).alias("lang"), F.col(text_col).alias("text"))
+    counted = stage(counts(own).withColumn("row", F.col("row").dropFields("text")), "counts")
+    kept = judged(counted, cutoffs(counted, labels, **options)).where("kept").select("row._id", "row._th", "row._st").distinct()
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), *key)
+    return rows.join(kept.hint("merge"), ["_id", "_th", "_st"], "left_semi").select("row.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
