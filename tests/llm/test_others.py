@@ -172,6 +172,18 @@ def test_wrapper_expression_has_options_and_repeats():
     assert re.search(r"h1\(#\)", text) and re.search(r"p\([#=]\)\+", text) and re.search(r"table\(.*\)\?", text) and "div(=)" in text
 
 
+def test_wrappers_of_a_host_with_mixed_templates(spark):
+    kinds = ("<article>{}</article>", "<main>{}</main>", '<div class="post">{}</div>', '<div class="content">{}</div>', "<section>{}</section>",
+             '<div class="cards"><article><p>Teaser</p></article></div><main>{}</main>')
+    pages = []
+    for k, url in enumerate(("http://mixed.example/", None, "no-scheme/")):
+        for n in range(24):
+            text = f"<p>Title of {n} in {k}</p><p>Story {n} of {k} goes on and on</p>"
+            pages.append((100 * k + n, url and f"{url}{n}", f"<body><nav>Menu</nav>{kinds[n % 6].format(text)}<footer>Us</footer></body>"))
+    got = {r.page_id: r.text for r in wrappers.extract(spark.createDataFrame(pages, "page_id long, url string, html string"), salt=3).collect()}
+    assert got == {100 * k + n: f"Title of {n} in {k} Story {n} of {k} goes on and on" for k in range(3) for n in range(24)}
+
+
 def test_pipeline_stages(spark, tmp_path):
     import corpus_pipeline
 
