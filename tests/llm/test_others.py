@@ -184,6 +184,20 @@ def test_wrappers_of_a_host_with_mixed_templates(spark):
     assert got == {100 * k + n: f"Title of {n} in {k} Story {n} of {k} goes on and on" for k in range(3) for n in range(24)}
 
 
+def test_blocks_after_skipped_elements():
+    def text(page):
+        return " ".join(x[1] for x in wrappers.blocks(page))
+
+    for tag in ("svg", "math", "canvas", "object", "iframe", "video", "audio", "noscript", "template"):
+        assert text(f'<p>a <{tag} class="x"/> b</p><p>c</p><{tag}>no</{tag}><p>d</p>') == "a b c d", tag
+        assert text(f"<p>a</p><{tag}><p>b</p><p>c</p>") == "a b c", tag
+        assert text(f"<p>a</p><{tag}>no<{tag}>no</{tag}>no<{tag}/>no</{tag}><p>b</p>") == "a b", tag
+    assert text("<p>a</p><svg><title>no</svg><p>b</p><svg><title>no</title></svg><p>c</p>") == "a b c"
+    assert text("<p>a</p><object>no<script>'</object>'</script>no</object><p>b</p>") == "a b"
+    assert text("<script src=x.js /><p>a</p><script>no</script><p>b</p><style>no") == "a b"
+    assert text("<p>a</p><textarea>no <p>no</p>") == "a"
+
+
 def test_pipeline_stages(spark, tmp_path):
     import corpus_pipeline
 
