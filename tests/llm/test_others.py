@@ -198,6 +198,23 @@ def test_blocks_after_skipped_elements():
     assert text("<p>a</p><textarea>no <p>no</p>") == "a"
 
 
+def test_wrappers_keep_near_copies(spark):
+    article = "".join(f"<p>Paragraph {k} of a long article that several pages have.</p>" for k in range(6))
+    whole = " ".join(f"Paragraph {k} of a long article that several pages have." for k in range(6))
+    pages = [(n, f"http://near.example/{n}", f"<body><h1>Seen on day {n}</h1>{article}<p><a href=/>A paragraph that is a link</a></p></body>") for n in range(6)]
+    want = {n: f"Seen on day {n} {whole} A paragraph that is a link" for n in range(6)}
+    # near copies with a slot of their own, among different articles with a shared line
+    for n in range(12):
+        quote = f"<blockquote>A quotation of the copied article</blockquote>{article}<p>Day {n}</p>"
+        story = quote if n % 2 else f"<p>Quite another story, number {n}, as long as it may be</p>"
+        pages.append((100 + n, f"http://both.example/{n}", f"<body><div>Our motto</div><section>{story}</section></body>"))
+        want[100 + n] = f"A quotation of the copied article {whole} Day {n}" if n % 2 else f"Quite another story, number {n}, as long as it may be"
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string")
+    for n in (1, 7):
+        got = {r.page_id: r.text for r in wrappers.extract(frame.repartition(n), salt=3).collect()}
+        assert got == want
+
+
 def test_pipeline_stages(spark, tmp_path):
     import corpus_pipeline
 
