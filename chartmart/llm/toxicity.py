@@ -5,10 +5,10 @@
    a-z, one sign for any other letter and one for a word border, so it has at most
    ``28**3`` numbers however much is counted.
 2. Each token that is not plain letters, or repeats a letter, and each run of three or
-   more single characters (``i d i o t``) spans a lattice: leetspeak signs stand for
+   more single characters (``i d i o t``, whatever white space parts them) spans a lattice: leetspeak signs stand for
    letters, signs between letters and spaces in such a run may be dropped, longer repeats shrink to
    two or one. Every edge has a channel cost; Viterbi search over the last two characters
-   finds the likeliest reading under channel and language model.
+   finds the likeliest reading of the whole lattice under channel and language model.
 3. Restored words and their first four to six letters are the features. Labelled rows
    (never those held out, at most ``max_train`` of them by a hash of the id) give, for
    each feature, the share of toxic documents among those that have it, shrunk to the
@@ -57,10 +57,9 @@ _VOWELS = "aeiou"
 _COST = {"leet": 0.7, "drop": 0.5, "space": 0.2, "shrink": 0.3, "censor": 2.5}
 _PLAIN = re.compile(r"[^\W\d_]+")
 _TRIPLE = re.compile(r"(.)\1")
-_SPACED = re.compile(r"(?<!\S)\S(?:[ \t]\S){2,}(?!\S)")
+_SPACED = re.compile(r"(?<!\S)\S(?:\s+\S){2,}(?!\S)")
 _TAIL = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum()) + "«»“”‘’…–—¿¡"
 _N = 28
-_LONGEST = 64  # characters of an obfuscated token that are decoded together
 
 
 def _signs(text: str) -> np.ndarray:
@@ -104,6 +103,15 @@ def model(counts: DataFrame) -> np.ndarray:
     return np.log((n + 5 * back[None]) / (n.sum(axis=2, keepdims=True) + 5))
 
 
+def _made(back: tuple | None) -> str:
+    """The letters made along back-pointers."""
+    out = []
+    while back:
+        back, made = back
+        out.append(made)
+    return "".join(reversed(out))
+
+
 class Restorer:
     """Likeliest reading of tokens, remembered from one to the next.
 
@@ -120,7 +128,7 @@ class Restorer:
         if len(known) > 400_000:
             known.clear()
         out = []
-        for token in {*text.split(), *_SPACED.findall(text)}:
+        for token in {*text.split(), *(" ".join(run.split()) for run in _SPACED.findall(text))}:
             got = known.get(token)
             if got is None:
                 got = known[token] = self.keep(self.read(token))
@@ -141,31 +149,33 @@ class Restorer:
         given = re.sub(r"([^\w\s])\1{2,}$", "", given.strip(".,;:?\"'"))
         if not any(c.isalpha() for c in given):
             return plain
-        out = list(plain)
-        for low in range(0, len(given), _LONGEST):
-            out += self.decode(given[low : low + _LONGEST]).split()
-        return tuple(dict.fromkeys(out))
+        return tuple(dict.fromkeys([*plain, *self.decode(given).split()]))
 
     def decode(self, given: str) -> str:
-        """Viterbi over (last two signs) along the lattice of ``given``."""
-        ends: list[dict] = [{} for _ in range(len(given) + 1)]
-        ends[0][0, 0] = (0.0, "")
+        """Viterbi over (last two signs) along the lattice of ``given``, whole however long it is.
+
+        Each state keeps its cost and a back-pointer: (that of the state before, letters made).
+        """
+        ends: dict[int, dict] = {0: {(0, 0): (0.0, None)}}
         for at in range(len(given)):
-            if not ends[at]:
+            states = ends.pop(at, None)
+            if not states:
                 continue
             edges = self._edges(given, at)
-            for (a, b), (cost, text) in ends[at].items():
+            for (a, b), (cost, back) in states.items():
                 for stop, made, price in edges:
-                    x, y, c, t = a, b, cost + price, text + made
+                    x, y, c = a, b, cost + price
                     for ch in made:
                         z = 0 if ch == " " else ord(ch) - 96 if "a" <= ch <= "z" else 27
                         c -= self.lm[x][y][z]
                         x, y = y, z
-                    old = ends[stop].get((x, y))
+                    into = ends.setdefault(stop, {})
+                    old = into.get((x, y))
                     if old is None or c < old[0]:
-                        ends[stop][x, y] = (c, t)
-        best = [(c - self.lm[a][b][0], t) for (a, b), (c, t) in ends[-1].items()]
-        return min(best)[1] if best else ""
+                        into[x, y] = (c, (back, made) if made else back)
+        last = [(c - self.lm[a][b][0], back) for (a, b), (c, back) in ends.get(len(given), {}).items()]
+        least = min((c for c, _ in last), default=0.0)
+        return min((_made(back) for c, back in last if c == least), default="")
 
     @staticmethod
     def _edges(given: str, at: int) -> list[tuple[int, str, float]]:

@@ -227,3 +227,24 @@ def test_restorer_reads_the_lattice():
     for given, word in (("1d10t", "idiot"), ("i d i o t", "idiot"), ("iiidiot", "idiot"), ("cl0wn!!", "clown"), ("w0rthl3ss", "worthless"), ("m.o.r.o.n", "moron"), ("l*ser", "loser")):
         assert word in read.words(f"so {given} yes"), given
     assert read.words("plain words, here.") == {"plain", "words", "here"}
+
+
+def test_restorer_reads_long_lattices_whole():
+    words_ = "you are an idiot and the moron so very much of all people here".split()
+    signs = toxicity._signs(" " + " ".join(words_ * 50) + " ")
+    n = np.bincount((signs[:-2] * 28 + signs[1:-1]) * 28 + signs[2:], minlength=28**3)
+
+    class Counts:
+        def collect(self):
+            return [{"at": k, "n": float(v)} for k, v in enumerate(n) if v]
+
+    read = toxicity.Restorer(toxicity.model(Counts()))
+    for shift in range(24):  # a word at every place
+        for gap in (" ", "\t"):
+            assert "idiot" in read.words(gap.join("the" * shift + "idiot" + "the" * 12)), shift
+    for gap in ("  ", "\n", "\u00a0", " \r\n "):
+        assert "idiot" in read.words(gap.join("idiot")), gap
+    assert {"idiot", "moron"} <= read.words(f"an {'i' * 90}diot and m0r{'o' * 200}n")
+    assert read.decode("m0r" + "o" * 500 + "n") == "moron"
+    long = read.decode("1d10t " * 50_000)  # a cost in proportion
+    assert len(long) >= 250_000 and long.split()[0] == long.split()[-1] == "idiot"
