@@ -17,8 +17,9 @@ more words by itself.
    is equal. A run may so continue with another earlier copy where the first copy ends.
 4. The marked lines are deleted from the later documents, with their line feeds.
 
-Each chunk sends one occurrence of what it repeats, so a line that a third of all
-documents hold does not gather in one group.
+Each chunk sends one occurrence of what it repeats, and groups are numbered by the hash of
+the whole window, so a line that a third of all documents hold does not gather in one
+group, whatever its neighbours.
 
 Defined cases: a null text is empty; lines without words never count and stay; a null id
 sorts before all others; rows equal in id and text are one document, with equal results;
@@ -89,7 +90,7 @@ def later_lines(texts: DataFrame, run: int = RUN, gram: int = GRAM, alone: int =
                 runs = O.Runs(np.asarray(piece.column("_id"), dtype=np.int64)[row], np.asarray(piece.column("_th"), dtype=np.int64)[row],
                               first - lines.first[row], np.repeat([run, 1], [len(at), len(long_)]),
                               np.concatenate([h1, lines.h1[long_]]), np.concatenate([h2, lines.h2[long_] >> np.uint64(32)]))
-                yield O.local(runs, O.part_of(np.concatenate([least, lines.h1[long_]]), groups))
+                yield O.local(runs, O.part_of(runs.h1, groups))
 
     return O.later_spans(texts.mapInArrow(fingerprints, O.SENT))
 

@@ -248,3 +248,18 @@ def test_restorer_reads_long_lattices_whole():
     assert read.decode("m0r" + "o" * 500 + "n") == "moron"
     long = read.decode("1d10t " * 50_000)  # a cost in proportion
     assert len(long) >= 250_000 and long.split()[0] == long.split()[-1] == "idiot"
+
+
+def test_line_dedup_spreads_a_common_line(spark, monkeypatch):
+    import pyarrow as pa
+
+    # the common line with the least hash of many, between neighbours that differ
+    hot = min((f"common line {k}" for k in range(200)), key=lambda x: linededup._Lines(pa.array([x])).h1[0])
+    rows = [(n, f"before {n}\n{hot}\nafter {n}") for n in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(linededup.O, "later_spans", lambda sent: sent)
+    sent = linededup.later_lines(linededup.T.keyed(docs, "doc_id", "text")).collect()
+    parts = {}
+    for r in sent:
+        parts[r.part] = parts.get(r.part, 0) + len(r.ids) // 8
+    assert sum(parts.values()) == 800 and max(parts.values()) < 200
