@@ -1,20 +1,17 @@
-"""Line dedup by winnowing over line hashes.
+"""Line dedup by exact grouping of all windows of lines.
 
 A line is what stands between line feeds and holds a word; two lines are equal if their
 words are. A run of ``run`` or more lines that also starts earlier (in a document with a
 smaller id, or earlier in the same one) is deleted, and so is such a line of ``alone`` or
 more words by itself.
 
-1. Winnowing: of the hashes of ``gram`` lines in a row, the least in every window of
-   ``run - gram + 1`` is a fingerprint. Equal runs of ``run`` lines have the same least
-   hash at the same place, so a repeated run always shares a fingerprint; a long line is
-   its own.
-2. Positions are joined on the fingerprint: the ``run`` lines about each occurrence go to
-   the group of its hash, where equal ones are found by a hash of all their lines and all
-   but the earliest are marked.
-3. Matches are extended both ways: the windows that overlap a match are judged in the same
-   manner, from their own fingerprints, and the marked ones chain to the longest run that
-   is equal. A run may so continue with another earlier copy where the first copy ends.
+1. Every window of ``run`` lines is hashed whole, and so is every long line by itself. None
+   is left out: no fingerprints are selected, and ``gram`` has no part in the result.
+2. Windows go to the group of their hash, where equal ones are found by 96 bits of it and
+   all but the earliest are marked.
+3. The marked windows of a document overlap and so chain to the longest run that is
+   repeated; matches are not extended otherwise. A run may so continue with another
+   earlier copy where the first copy ends.
 4. The marked lines are deleted from the later documents, with their line feeds.
 
 Each chunk sends one occurrence of what it repeats, and groups are numbered by the hash of
@@ -61,27 +58,25 @@ class _Lines:
         self.first = np.searchsorted(self.row, np.arange(len(w.first)))
 
 
-def _runs(lines: _Lines, run: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """First line and fingerprint of every window of ``run`` lines in one text, and its two hashes."""
+def _runs(lines: _Lines, run: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First line of every window of ``run`` lines in one text, and its two hashes."""
     n = len(lines.row)
     if n < run:
         none = np.zeros(0, dtype=np.uint64)
-        return none.astype(np.int64), none, none, none
+        return none.astype(np.int64), none, none
     at = np.flatnonzero(lines.row[: n - run + 1] == lines.row[run - 1 :])
-    start = np.arange(n - gram + 1)
-    least = O.slide(T.runs_hash(lines.h1, start, start + gram, 0), run - gram + 1, np.minimum)[at]
-    return at, least, T.runs_hash(lines.h1, at, at + run, 1), T.runs_hash(lines.h2, at, at + run, 2) >> np.uint64(32)
+    return at, T.runs_hash(lines.h1, at, at + run, 1), T.runs_hash(lines.h2, at, at + run, 2) >> np.uint64(32)
 
 
 def later_lines(texts: DataFrame, run: int = RUN, gram: int = GRAM, alone: int = ALONE, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """``_id, _th, _spans``: the lines to delete from each document that has any."""
     groups = O.groups_of(texts, group_bytes)
 
-    def fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in T.chunks(batch, "_text"):
                 lines = _Lines(piece.column("_text"))
-                at, least, h1, h2 = _runs(lines, run, gram)
+                at, h1, h2 = _runs(lines, run)
                 long_ = np.flatnonzero(lines.size >= alone)
                 first = np.concatenate([at, long_])
                 if not len(first):
@@ -92,7 +87,7 @@ def later_lines(texts: DataFrame, run: int = RUN, gram: int = GRAM, alone: int =
                               np.concatenate([h1, lines.h1[long_]]), np.concatenate([h2, lines.h2[long_] >> np.uint64(32)]))
                 yield O.local(runs, O.part_of(runs.h1, groups))
 
-    return O.later_spans(texts.mapInArrow(fingerprints, O.SENT))
+    return O.later_spans(texts.mapInArrow(windows, O.SENT))
 
 
 def cut(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
