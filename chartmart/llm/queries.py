@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, forest, linededup, mixing, probminhash, quality, secret_ledger, substring, toxicity, wrappers
+from . import bpe, forest, langid, linededup, merkle, mixing, phrases, probminhash, quality, secret_ledger, substring, toxicity, wrappers
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +21,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_secret_ledger": secret_ledger.query,
         "op9_bpe": bpe.query,
         "op10_substring_dedup": substring.query,
+        "op11_phrases": phrases.query,
+        "op12_merkle": merkle.query,
+        "op13_langid": langid.query,
     }
 
 
@@ -31,4 +34,6 @@ def oracle_sql() -> dict[str, str]:
         "op4_quality_rules": quality.ORACLE_SQL,
         "op6_line_dedup": linededup.ORACLE_SQL,
         "op10_substring_dedup": substring.ORACLE_SQL,
+        "op11_phrases": phrases.ORACLE_SQL,
+        "op12_merkle": merkle.ORACLE_SQL,
     }
