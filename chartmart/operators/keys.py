@@ -76,6 +76,16 @@ def assign_surrogate_keys(df: DataFrame, order_cols: Sequence[str | Column], key
     return keyed.select((start_col + F.col("_off") + pos).cast("bigint").alias(key), *out_cols)
 
 
+def assign_from_sequence(df: DataFrame, order_cols: Sequence[str | Column], key: str, sequence) -> DataFrame:
+    """``assign_surrogate_keys`` from a block that ``sequence`` (``sources.commits.Sequence``) gives out.
+
+    No table is scanned for its largest key, and loaders that run at once get blocks of their own: keys are
+    unique over all of them and dense within a load.
+    """
+    rows = stage(df, f"new-{key}")
+    return assign_surrogate_keys(rows, order_cols, key, start=sequence.take(rows.count()))
+
+
 def next_key(df: DataFrame, key: str) -> int:
     """First free key after a dimension's current maximum (one scalar from a global max)."""
     mx = df.agg(F.max(key).alias("m")).first()["m"]

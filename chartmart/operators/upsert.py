@@ -14,7 +14,7 @@ never shuffled against itself.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -35,7 +35,8 @@ def src(c: str) -> Column:
 def merge_upsert(target: DataFrame, source: DataFrame, on: Sequence[tuple[str, str]],
                  set_: Mapping[str, Column], insert: Mapping[str, Column], key: str,
                  fresher: tuple[str, str] | None = None, on_stale: str = "skip",
-                 insert_order: Sequence[str] | None = None, check_unique_source: bool = True) -> DataFrame:
+                 insert_order: Sequence[str] | None = None, check_unique_source: bool = True,
+                 number: Callable[[DataFrame, list[str]], DataFrame] | None = None) -> DataFrame:
     """Upsert ``source`` into ``target``.
 
     on        pairs (target column, source column) compared with ``=``; a NULL never matches,
@@ -46,6 +47,8 @@ def merge_upsert(target: DataFrame, source: DataFrame, on: Sequence[tuple[str, s
     insert    target column -> expression over ``src(...)`` for new rows (``key`` is generated)
     on_stale  "insert": a row that fails only the freshness test is *not matched* and is
               inserted as a second row (the literal MERGE); "skip": it is left out
+    number    gives new rows their keys, from the rows and their order; by default the keys
+              after the target's greatest
 
     The source must hold at most one row per ``on`` key (otherwise a target row would
     match twice, which a warehouse MERGE rejects as nondeterministic); this is checked on
@@ -89,7 +92,7 @@ def merge_upsert(target: DataFrame, source: DataFrame, on: Sequence[tuple[str, s
         (insert[c] if c in insert else F.lit(None)).cast(target.schema[c].dataType).alias(c)
         for c in target.columns if c != key])
     order = list(insert_order) if insert_order else [c for c in ins.columns]
-    keyed = assign_surrogate_keys(ins, order, key, start=next_key(target, key))
+    keyed = number(ins, order) if number else assign_surrogate_keys(ins, order, key, start=next_key(target, key))
     return updated.unionByName(keyed.select(*target.columns))
 
 
@@ -98,45 +101,57 @@ def select_run_date(df: DataFrame, col: str, run_date: str) -> DataFrame:
     return df.filter(F.col(col) == F.lit(str(run_date)).cast("date"))
 
 
-def upsert_dim_artist(dim_artist: DataFrame, release_clean: DataFrame, run_date: str,
-                      as_of: datetime | str, on_stale: str = "skip") -> DataFrame:
-    """Daily artist upsert: latest release row per artist of the run date; match on id,
-    genre and freshness; update name/image/start; insert with NULL start, current."""
+def artist_day(release_clean: DataFrame, run_date: str) -> DataFrame:
+    """The latest release row per artist of the run date, staged."""
+    return stage(latest_per_key(select_run_date(release_clean, "release_date", run_date), ["artist_id"],
+                                ["release_date", "load_timestamp", "uri", "artist_individual", "artist_genre", "artist_img"]), "day")
+
+
+def artist_merge(as_of: datetime | str) -> dict:
+    """Match on id, genre and freshness; update name/image/start; insert with NULL start, current."""
     from chartmart.operators.dims import ts_lit
 
-    day = stage(latest_per_key(select_run_date(release_clean, "release_date", run_date), ["artist_id"],
-                               ["release_date", "load_timestamp", "uri", "artist_individual", "artist_genre", "artist_img"]), "day")
-    return merge_upsert(
-        dim_artist, day,
-        on=[("artist_id", "artist_id"), ("artist_genre", "artist_genre")],
-        fresher=("effective_start_date", "load_timestamp"),
-        set_={"artist_name": src("artist_individual"), "artist_img": src("artist_img"),
-              "effective_start_date": ts_lit(as_of)},
-        insert={"artist_id": src("artist_id"), "artist_name": src("artist_individual"),
-                "artist_genre": src("artist_genre"), "artist_img": src("artist_img"),
-                "effective_start_date": ts_lit(None), "effective_end_date": ts_lit(None),
-                "is_current": F.lit(True)},
-        key="artist_key", on_stale=on_stale,
-        insert_order=["artist_id", "artist_name", "artist_genre", "artist_img"])
+    return {
+        "on": [("artist_id", "artist_id"), ("artist_genre", "artist_genre")],
+        "fresher": ("effective_start_date", "load_timestamp"),
+        "set_": {"artist_name": src("artist_individual"), "artist_img": src("artist_img"),
+                 "effective_start_date": ts_lit(as_of)},
+        "insert": {"artist_id": src("artist_id"), "artist_name": src("artist_individual"),
+                   "artist_genre": src("artist_genre"), "artist_img": src("artist_img"),
+                   "effective_start_date": ts_lit(None), "effective_end_date": ts_lit(None),
+                   "is_current": F.lit(True)},
+        "key": "artist_key", "insert_order": ["artist_id", "artist_name", "artist_genre", "artist_img"]}
 
 
-def upsert_dim_track(dim_track: DataFrame, release_clean: DataFrame, run_date: str,
-                     as_of: datetime | str, on_stale: str = "skip") -> DataFrame:
-    """Daily track upsert: latest release row per uri of the run date; match on uri, name
-    and freshness; update cover/track count/start; insert with start = run time."""
+def track_day(release_clean: DataFrame, run_date: str) -> DataFrame:
+    """The latest release row per uri of the run date, staged."""
+    return stage(latest_per_key(select_run_date(release_clean, "release_date", run_date), ["uri"],
+                                ["release_date", "load_timestamp", "track_name", "album_cover", "album_num_tracks",
+                                 "artist_id"]), "day")
+
+
+def track_merge(as_of: datetime | str) -> dict:
+    """Match on uri, name and freshness; update cover/track count/start; insert with start = run time."""
     from chartmart.operators.dims import ts_lit
 
-    day = stage(latest_per_key(select_run_date(release_clean, "release_date", run_date), ["uri"],
-                               ["release_date", "load_timestamp", "track_name", "album_cover", "album_num_tracks",
-                                "artist_id"]), "day")
-    return merge_upsert(
-        dim_track, day,
-        on=[("uri", "uri"), ("track_name", "track_name")],
-        fresher=("effective_start_date", "load_timestamp"),
-        set_={"album_cover": src("album_cover"), "album_num_tracks": src("album_num_tracks"),
-              "effective_start_date": ts_lit(as_of)},
-        insert={"uri": src("uri"), "track_name": src("track_name"), "release_date": src("release_date"),
-                "album_cover": src("album_cover"), "album_num_tracks": src("album_num_tracks"),
-                "effective_start_date": ts_lit(as_of)},
-        key="track_key", on_stale=on_stale,
-        insert_order=["uri", "track_name", "release_date", "album_cover", "album_num_tracks"])
+    return {
+        "on": [("uri", "uri"), ("track_name", "track_name")],
+        "fresher": ("effective_start_date", "load_timestamp"),
+        "set_": {"album_cover": src("album_cover"), "album_num_tracks": src("album_num_tracks"),
+                 "effective_start_date": ts_lit(as_of)},
+        "insert": {"uri": src("uri"), "track_name": src("track_name"), "release_date": src("release_date"),
+                   "album_cover": src("album_cover"), "album_num_tracks": src("album_num_tracks"),
+                   "effective_start_date": ts_lit(as_of)},
+        "key": "track_key", "insert_order": ["uri", "track_name", "release_date", "album_cover", "album_num_tracks"]}
+
+
+def upsert_dim_artist(dim_artist: DataFrame, release_clean: DataFrame, run_date: str,
+                      as_of: datetime | str, on_stale: str = "skip") -> DataFrame:
+    """Daily artist upsert of the run date's releases."""
+    return merge_upsert(dim_artist, artist_day(release_clean, run_date), on_stale=on_stale, **artist_merge(as_of))
+
+
+def upsert_dim_track(dim_track: DataFrame, release_clean: DataFrame, run_date: str,
+                     as_of: datetime | str, on_stale: str = "skip") -> DataFrame:
+    """Daily track upsert of the run date's releases."""
+    return merge_upsert(dim_track, track_day(release_clean, run_date), on_stale=on_stale, **track_merge(as_of))

@@ -500,4 +500,15 @@ def oracle_queries() -> dict[str, str]:
         "SELECT 'artist_popularity_by_name', artist_name, total_streams, avg_rank FROM by_name", ["weekly", "by_name"])
     s["write_tables"] = ("SELECT o_orderkey, o_custkey, o_orderstatus, (SELECT count(*) FROM orders WHERE o_orderstatus <> 'F') AS written "
                          "FROM orders")
+    # stored tables
+    s["merge_bucketed_artist"] = s["stream_merge"] = s["merge_upsert_artist"]
+    s["merge_bucketed_track"] = s["merge_upsert_track"]
+    s["purge_appended_loads"] = s["purge_dups_single_key"]
+    s["reload_failed"] = "SELECT o_orderkey, o_custkey, o_orderstatus, 1 AS failed, 4 AS version, count(*) OVER () AS of_two FROM orders"
+    s["reload_conflict"] = "SELECT o_orderkey, o_custkey, o_orderstatus, 1 AS conflicts FROM orders WHERE o_orderstatus IN ('O', 'P')"
+    s["sequence_keys"] = ("SELECT row_number() OVER (ORDER BY load, p_partkey) AS part_key, p_partkey, p_name, p_size, load FROM "
+                          "(SELECT *, CASE WHEN p_size <= 20 THEN 0 WHEN p_size <= 40 THEN 1 ELSE 2 END AS load FROM part WHERE p_size > 0)")
+    s["stream_dedup_state"] = "SELECT DISTINCT user_id, event_type, 0::BIGINT AS n_late FROM events"
+    s["stream_late_rows"] = ("SELECT event_id, user_id, event_id % 10 = 0 AND ts <= (SELECT date_trunc('milliseconds', max(ts)) FROM events WHERE event_id % 10 <> 0) "
+                             "- INTERVAL 1 DAY AS late FROM events")
     return s

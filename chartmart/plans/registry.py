@@ -10,18 +10,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chartmart.functions import safe_ratio, strip_prefix, try_date, try_float, try_int
+from chartmart.operators.bucketed import PurgeIndex, merge_into, store_dimension
 from chartmart.operators.clean import CHART_COMPARE, CHART_SPEC, RELEASE_SPEC, WEEKLY_SPEC, clean
 from chartmart.operators.dedup import drop_exact_duplicates, flag_duplicates, latest_per_key
 from chartmart.operators.dims import (ARTIST_NATURAL, COUNTRY_NATURAL, artist_filter, artist_rows, build_dim_artist, build_dim_audio, build_dim_country,
                                       build_dim_date, build_dim_track, ts_lit, union_distinct)
 from chartmart.operators.fact import Lookup, build_fact, star_lookup
 from chartmart.operators.history import scd2_snapshot
-from chartmart.operators.keys import assign_surrogate_keys
+from chartmart.operators.keys import assign_from_sequence, assign_surrogate_keys, next_key
 from chartmart.operators.marts import (artist_popularity_by_key, artist_popularity_by_name, artist_streams, base_fact,
                                        weekly_trend)
 from chartmart.operators.quality import (check_fanout, check_foreign_key, check_key, check_not_null, check_result,
                                          check_unique)
-from chartmart.operators.upsert import select_run_date, upsert_dim_artist, upsert_dim_track
+from chartmart.operators.upsert import artist_day, artist_merge, select_run_date, track_day, track_merge, upsert_dim_artist, upsert_dim_track
 from chartmart.operators.weekly import (enrich_artist, flatten_pages, scan_artists, scan_release_pages, weekly_rows)
 from chartmart.plans.flows import (HIST_AS_OF, MERGE_AS_OF, RELEASE_LOAD_TS, RUN_DATE, WEEKLY_AS_OF, clean_chart,
                                    clean_release, mart_checks, run_dimensions, run_fact, run_historical_chart,
@@ -31,8 +32,10 @@ from chartmart.schemas import PAGE, RAW_CHART
 from chartmart.session import scratch_path, stage
 from chartmart.sources import binding as B
 from chartmart.sources.catalog import Catalog
+from chartmart.sources.commits import CommittedTable, Conflict, Sequence
 from chartmart.sources.files import FileFormat, scan_csv, write_append, write_counted, write_csv, write_replace
 from chartmart.streaming.release_stream import parts, stream_dedup, stream_release_load, stream_upsert
+from chartmart.streaming.stateful import kept, late, stream_dedup_within, stream_merge
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -471,12 +474,15 @@ def q_run_fact(spark, sf):
     return run_fact(chart, dims)
 
 
-def landed_batches(df: DataFrame, fmt: str, by) -> str:
-    """``df`` landed as three files, taken by a stream one at a time."""
+def feed(df: DataFrame, fmt: str, by, run: Callable[[str], object]) -> object:
+    """``df`` landed in three turns, each by parallel writes into many files; after each turn the stream starts
+    again from its checkpoint and takes the new files as one batch."""
     path = scratch_path(df.sparkSession, "landed")
+    out = None
     for k in range(3):
-        df.where(by == k).coalesce(1).write.mode("append").format(fmt).save(path)
-    return path
+        df.where(by == k).write.mode("append").format(fmt).save(path)
+        out = run(path)
+    return out
 
 
 def q_stream_dedup(spark, sf):
@@ -484,37 +490,152 @@ def q_stream_dedup(spark, sf):
     ev = B.read_table(spark, sf, "events")
     turn = F.pmod(F.hash("event_id"), F.lit(3))
     both = ev.withColumn("_turn", turn).unionByName(ev.where(turn == 0).withColumn("_turn", F.lit(2)))
-    in_dir = landed_batches(both, "parquet", F.col("_turn"))
     out_dir, ck = scratch_path(spark, "events_out"), scratch_path(spark, "events_ck")
-    stream_dedup(spark, in_dir, ev.schema, out_dir, ck, ["user_id", "event_type"], max_files=1)
+    feed(both, "parquet", F.col("_turn"), lambda in_dir: stream_dedup(spark, in_dir, ev.schema, out_dir, ck, ["user_id", "event_type"]))
     return parts(spark, out_dir, ev.schema).select("user_id", "event_type")
 
 
 def q_stream_release_load(spark, sf):
     """Page JSON in three batches; a track found by two searches comes again in another batch."""
     pages = B.pages(spark, sf)
-    in_dir = landed_batches(pages, "json", F.pmod(F.hash(F.to_json("tracks")), F.lit(3)))
     artists_path = scratch_path(spark, "artists_json")
     B.artist_records(spark, sf).write.mode("overwrite").json(artists_path)
     artists = scan_artists(spark, artists_path)
     out_dir, ck = scratch_path(spark, "weekly_out"), scratch_path(spark, "weekly_ck")
     load = lambda batch: weekly_typed(batch, artists, WEEKLY_AS_OF)
-    stream_release_load(spark, in_dir, load, out_dir, ck, PAGE, max_files=1)
+    feed(pages, "json", F.pmod(F.hash(F.to_json("tracks")), F.lit(3)), lambda in_dir: stream_release_load(spark, in_dir, load, out_dir, ck, PAGE))
     return parts(spark, out_dir, load(spark.createDataFrame([], PAGE)).schema)
 
 
+def _by_day(release: DataFrame):
+    """Turns of a feed: days before the run date, the run date, days after it."""
+    day = F.datediff("release_date", F.lit(RUN_DATE).cast("date"))
+    return F.when(day < 0, 0).when(day == 0, 1).otherwise(2)
+
+
 def q_stream_upsert(spark, sf):
     """The run date's releases in one batch, then files of other days, which change nothing."""
     dim_artist = hist_dim_artist(spark, sf)
     rel = release_purged(spark, sf)
-    day = F.datediff("release_date", F.lit(RUN_DATE).cast("date"))
-    in_dir = landed_batches(rel, "parquet", F.when(day < 0, 0).when(day == 0, 1).otherwise(2))
     versions, ck = scratch_path(spark, "dim_artist_versions"), scratch_path(spark, "dim_artist_ck")
-    latest = stream_upsert(spark, in_dir, rel.schema, versions, ck, dim_artist,
-                           lambda dim, batch: upsert_dim_artist(dim, batch, RUN_DATE, MERGE_AS_OF, "skip"), max_files=1)
+    apply = lambda dim, batch: upsert_dim_artist(dim, batch, RUN_DATE, MERGE_AS_OF, "skip")
+    latest = feed(rel, "parquet", _by_day(rel), lambda in_dir: stream_upsert(spark, in_dir, rel.schema, versions, ck, dim_artist, apply))
     return spark.read.parquet(latest)
 
 
+def _stored(spark, dim: DataFrame, keys: list[str], key: str) -> tuple[CommittedTable, Sequence]:
+    """A dimension laid out by ``keys``, and the sequence that goes on after its keys."""
+    cat = Catalog(spark, scratch_path(spark, "merge_catalog"))
+    table = cat.committed("raw.dimension")
+    store_dimension(table, dim, keys)
+    return table, Sequence(spark, cat.location("raw.keys"), start=next_key(dim, key))
+
+
+def q_merge_bucketed_artist(spark, sf):
+    """The daily artist MERGE into a stored dimension: only the buckets of the run date's artists are written anew."""
+    table, keys = _stored(spark, hist_dim_artist(spark, sf), ["artist_id", "artist_genre"], "artist_key")
+    merge_into(table, artist_day(release_purged(spark, sf), RUN_DATE), sequence=keys, run=RUN_DATE, **artist_merge(MERGE_AS_OF))
+    return table.read()
+
+
+def q_merge_bucketed_track(spark, sf):
+    """The daily track MERGE likewise; its second run under the same label changes nothing."""
+    table, keys = _stored(spark, hist_dim_track(spark, sf), ["uri", "track_name"], "track_key")
+    day = track_day(release_purged(spark, sf), RUN_DATE)
+    for _ in range(2):
+        merge_into(table, day, sequence=keys, run=RUN_DATE, **track_merge(MERGE_AS_OF))
+    return table.read()
+
+
+def q_stream_merge(spark, sf):
+    """The MERGE of a stream of releases into a stored dimension, in three turns."""
+    table, keys = _stored(spark, hist_dim_artist(spark, sf), ["artist_id", "artist_genre"], "artist_key")
+    rel, ck = release_purged(spark, sf), scratch_path(spark, "merge_ck")
+
+    def merge(batch: DataFrame, run: str) -> None:
+        merge_into(table, artist_day(batch, RUN_DATE), sequence=keys, run=run, **artist_merge(MERGE_AS_OF))
+
+    feed(rel, "parquet", _by_day(rel), lambda in_dir: stream_merge(spark, in_dir, rel.schema, table, ck, merge))
+    return table.read()
+
+
+def q_reload_failed(spark, sf):
+    """A reload that dies half way, an append, a wrong reload and its rollback: readers see whole versions only."""
+    orders = B.read_table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    table = Catalog(spark, scratch_path(spark, "reload_catalog")).committed("raw.orders")
+    table.replace(orders.where("o_orderstatus <> 'F'"))
+    unreadable = F.raise_error(F.lit("unreadable row")).cast("string")
+    dying = orders.withColumn("o_orderstatus", F.when(F.col("o_orderkey") % 1009 == 5, unreadable).otherwise(F.lit("new")))
+    failed = 0
+    try:
+        table.replace(dying)
+    except Exception as e:  # the job's own error; the rows read below show what it left
+        failed = int("unreadable row" in str(e))
+    good = table.append(orders.where("o_orderstatus = 'F'"))
+    table.replace(orders.withColumn("o_orderstatus", F.lit("wrong")))
+    version = table.rollback(good.number)
+    return table.read().withColumn("failed", F.lit(failed)).withColumn("version", F.lit(version.number)).withColumn("of_two", F.lit(table.at(1).rows + good.rows).cast("bigint"))
+
+
+def q_reload_conflict(spark, sf):
+    """Two reloads that start from one version: the second to finish is refused, and then adds its rows instead."""
+    orders = B.read_table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    cat = Catalog(spark, scratch_path(spark, "conflict_catalog"))
+    one, two = cat.committed("raw.orders"), cat.committed("raw.orders")
+    base = one.replace(orders)
+    one.replace(orders.where("o_orderstatus = 'O'"), base=base)
+    conflicts = 0
+    try:
+        two.replace(orders.where("o_orderstatus = 'P'"), base=base)
+    except Conflict:
+        conflicts += 1
+        two.append(orders.where("o_orderstatus = 'P'"))
+    return cat.table("raw.orders").withColumn("conflicts", F.lit(conflicts))
+
+
+def q_sequence_keys(spark, sf):
+    """Three loads of parts by two loaders that share a sequence: blocks follow each other, no table is scanned for its largest key."""
+    part = B.read_table(spark, sf, "part").select("p_partkey", "p_name", "p_size")
+    at = scratch_path(spark, "part_keys")
+    loaders = [Sequence(spark, at), Sequence(spark, at)]
+    out = None
+    for k, low in enumerate((0, 20, 40)):
+        rows = part.where((F.col("p_size") > low) & ((F.col("p_size") <= low + 20) if k < 2 else F.lit(True)))
+        keyed = assign_from_sequence(rows, ["p_partkey"], "part_key", loaders[k % 2]).withColumn("load", F.lit(k))
+        out = keyed if out is None else out.unionByName(keyed)
+    return out
+
+
+def q_purge_appended_loads(spark, sf):
+    """Chart rows in three loads, each compared with the fingerprints of all earlier ones: as one purge of their union."""
+    typed = stage(chart_clean(spark, sf), "chart_clean")
+    index = PurgeIndex(Catalog(spark, scratch_path(spark, "purge_catalog")).committed("raw.chart"), ["uri"], CHART_COMPARE)
+    turn = F.pmod(F.xxhash64(*typed.columns), F.lit(3))
+    for k in range(3):  # copies that differ in rank alone come in different loads
+        index.load(typed.where(turn == k), run=f"load {k}")
+    return index.rows()
+
+
+def q_stream_dedup_state(spark, sf):
+    """Keys remembered in the state store, by a delay that covers all event times: no row is late."""
+    ev = B.read_table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    out_dir, ck = scratch_path(spark, "state_out"), scratch_path(spark, "state_ck")
+    feed(ev, "parquet", F.pmod(F.hash("event_id"), F.lit(3)), lambda in_dir: stream_dedup_within(
+        spark, in_dir, ev.schema, out_dir, ck, ["user_id", "event_type"], "ts", "365 days"))
+    n = late(spark, out_dir, ev.schema).agg(F.count(F.lit(1)).alias("n_late"))
+    return kept(spark, out_dir, ev.schema).select("user_id", "event_type").crossJoin(n)  # one row
+
+
+def q_stream_late_rows(spark, sf):
+    """Every tenth event comes last: those more than a day behind are listed as late, the others are kept."""
+    ev = B.read_table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    turn = F.when(F.col("event_id") % 10 == 0, 2).when(F.dayofmonth("ts") < 15, 0).otherwise(1)
+    out_dir, ck = scratch_path(spark, "late_out"), scratch_path(spark, "late_ck")
+    feed(ev, "parquet", turn, lambda in_dir: stream_dedup_within(spark, in_dir, ev.schema, out_dir, ck, ["event_id"], "ts", "1 day"))
+    both = [side(spark, out_dir, ev.schema).select("event_id", "user_id").withColumn("late", F.lit(side is late)) for side in (kept, late)]
+    return both[0].unionByName(both[1])
+
+
 def queries() -> dict[str, Query]:
     return {
         "land_as_strings": q_land_as_strings,
@@ -584,4 +705,13 @@ def queries() -> dict[str, Query]:
         "run_snapshot": q_run_snapshot,
         "merge_upsert_track_stale_insert": q_merge_upsert_track_stale_insert,
         "write_tables": q_write_tables,
+        "reload_failed": q_reload_failed,
+        "reload_conflict": q_reload_conflict,
+        "sequence_keys": q_sequence_keys,
+        "merge_bucketed_artist": q_merge_bucketed_artist,
+        "merge_bucketed_track": q_merge_bucketed_track,
+        "purge_appended_loads": q_purge_appended_loads,
+        "stream_merge": q_stream_merge,
+        "stream_dedup_state": q_stream_dedup_state,
+        "stream_late_rows": q_stream_late_rows,
     }

@@ -12,6 +12,9 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from chartmart.sources.commits import CommittedTable
+from chartmart.sources.versions import exists
+
 NAMESPACES = ("raw", "analytics")
 
 
@@ -40,7 +43,13 @@ class Catalog:
         info = {r[0].strip(): (r[1] or "").strip() for r in self.spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
         return info.get("Location", "").rstrip("/").endswith(self.location(name).split(":", 1)[-1].rstrip("/"))
 
+    def committed(self, name: str) -> CommittedTable:
+        """The table of this name as one of committed versions (``sources.commits``)."""
+        return CommittedTable(self.spark, self.location(name))
+
     def table(self, name: str) -> DataFrame:
+        if exists(self.spark, f"{self.location(name)}/commits"):
+            return self.committed(name).read()
         if self._registered_here(name):
             return self.spark.table(name)  # carries the bucketing spec
         return self.spark.read.parquet(self.location(name))

@@ -10,6 +10,11 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
+def exists(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def complete(spark: SparkSession, folder: str, prefix: str, last: str = "") -> list[str]:
     """Ids of the complete versions, as text, unordered. ``last`` is the subfolder written last, if any."""
     jvm = spark._jvm
