@@ -21,8 +21,12 @@ class Lookup:
     leaves the choice to Catalyst's size estimate and AQE's runtime statistics.
     ``salt``: for a dimension too large to broadcast whose natural keys are hot in the
     source (one key may carry a third of the rows), spread each source key over ``salt``
-    random buckets and replicate the dimension rows into every bucket, so a hot key is
+    buckets by a hash of the row and replicate the dimension rows into every bucket, so a hot key is
     joined by ``salt`` tasks instead of one. The result is exactly the unsalted join.
+    ``heavy``: likewise without replicating the whole dimension. Keys that hold this share of the
+    source's rows or more (as a mergeable frequency sketch of the column estimates) are
+    joined to their dimension rows by a broadcast of a checked size; the others shuffle, and
+    the heavy rows pass that shuffle spread by a hash of the row. A wrong estimate costs time only.
     """
 
     dim: DataFrame
@@ -32,6 +36,41 @@ class Lookup:
     cast: str | None = None
     broadcast: bool | None = None
     salt: int = 0
+    heavy: float | None = None
+
+
+HEAVY_ROWS = 1_000_000  # most dimension rows that are broadcast for heavy keys
+_TRACKED = 10_000  # keys that the sketch tracks
+_SPREAD = 1 << 20
+
+
+def heavy_keys(src: DataFrame, column: str, share: float) -> list:
+    """Values of a column that hold about ``share`` of its rows or more; at most ``1 / share`` of them."""
+    most = max(1, int(1 / share))
+    found = src.where(F.col(column).isNotNull()).select(F.col(column).alias("_k")).agg(
+        F.expr(f"approx_top_k(_k, {most}, {max(_TRACKED, most)})").alias("top"), F.count("_k").alias("n")).first()
+    return sorted(x["item"] for x in found["top"] or [] if x["count"] >= share * found["n"])
+
+
+def _heavy_lookup(out: DataFrame, d: DataFrame, lk: Lookup, alias: str) -> DataFrame:
+    """``out`` LEFT JOIN ``d`` (``alias``, key), heavy keys apart."""
+    from chartmart.session import stage
+
+    heavy = heavy_keys(out, lk.src_col, lk.heavy)
+    if not heavy:
+        return out.join(d, out[lk.src_col] == d[alias], "left").drop(alias)
+    values = [F.lit(v) for v in heavy]
+    is_heavy = F.coalesce(F.col(lk.src_col).isin(values), F.lit(False))
+    few = stage(d.where(F.col(alias).isin(values)).withColumnRenamed(alias, "_heavy").withColumnRenamed(lk.key, "_heavy_key"), "heavy")
+    if few.count() <= HEAVY_ROWS:
+        few = F.broadcast(few)
+    rest = d.where(~F.col(alias).isin(values)).withColumn("_side", F.lit(0).cast("bigint"))
+    # the rows of heavy keys meet nothing on the other side, wherever they go
+    spread = F.when(is_heavy, 1 + F.pmod(F.xxhash64(*out.columns), F.lit(_SPREAD))).otherwise(0).cast("bigint")
+    names = out.columns
+    out = out.withColumn("_spread", spread).join(few, F.col(lk.src_col) == F.col("_heavy"), "left")
+    out = out.join(rest, (F.col(lk.src_col) == F.col(alias)) & (F.col("_spread") == F.col("_side")), "left")
+    return out.select(*names, F.coalesce("_heavy_key", lk.key).alias(lk.key))
 
 
 def star_lookup(src: DataFrame, lookups: Sequence[Lookup], lookup: str = "all") -> DataFrame:
@@ -55,10 +94,12 @@ def star_lookup(src: DataFrame, lookups: Sequence[Lookup], lookup: str = "all")
         if lk.broadcast:
             d = F.broadcast(d)
             out = out.join(d, out[lk.src_col] == d[alias], "left").drop(alias)
+        elif lk.heavy:
+            out = _heavy_lookup(out, d, lk, alias)
         elif lk.salt and lk.salt > 1:
             salt = f"_salt{i}"
             d = d.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(lk.salt - 1))))
-            out = out.withColumn(salt, F.floor(F.rand(31 + i) * lk.salt).cast("int"))
+            out = out.withColumn(salt, F.pmod(F.xxhash64(*out.columns), F.lit(lk.salt)).cast("int"))  # the same if a task is run again
             out = out.join(d, (out[lk.src_col] == d[alias]) & (out[salt] == d[salt]), "left").drop(alias, salt)
         else:
             out = out.join(d, out[lk.src_col] == d[alias], "left").drop(alias)

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chartmart.operators.clean import CHART_COMPARE, CHART_SPEC, RELEASE_COMPARE, RELEASE_SPEC, WEEKLY_SPEC, clean
+from chartmart.operators.compiled_checks import Check, run_compiled
 from chartmart.operators.dedup import drop_exact_duplicates, purge_duplicated_keys
 from chartmart.operators.dims import (build_dim_artist, build_dim_audio, build_dim_country, build_dim_date,
                                       build_dim_track, ts_lit)
@@ -148,6 +149,22 @@ def mart_checks(weekly: DataFrame, artists: DataFrame) -> DataFrame:
     ])
 
 
+def _number(column: str, table: str) -> Check:
+    return Check("type", column, f"type_number_{table}_{column}", "number")
+
+
+def compiled_mart_checks(weekly: DataFrame, artists: DataFrame) -> DataFrame:
+    """``mart_checks`` from one scan of each mart."""
+    a, w = "streams_popularity_artist", "weekly_trend_analysis"
+    return run_compiled([
+        (artists, [Check("not_null", "artist_name", f"not_null_{a}_artist_name"), Check("unique", "artist_name", f"unique_{a}_artist_name"),
+                   Check("not_null", "total_streams", f"not_null_{a}_total_streams"),
+                   *[_number(c, a) for c in ("total_streams", "avg_rank", "avg_popularity")]]),
+        (weekly, [Check("not_null", "date_key", f"not_null_{w}_date_key"), Check("unique", "date_key", f"unique_{w}_date_key"),
+                  Check("not_null", "total_streams", f"not_null_{w}_total_streams"), *[_number(c, w) for c in ("total_streams", "avg_rank")]]),
+    ])
+
+
 def run_marts(fact: DataFrame, dim_artist: DataFrame, prev_snapshot: DataFrame | None = None,
               snapshot_source: DataFrame | None = None, snapshot_key: list[str] | None = None,
               as_of: datetime | str = HIST_AS_OF, ndigits: int | None = None) -> dict[str, DataFrame]:

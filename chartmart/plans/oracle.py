@@ -504,6 +504,11 @@ def oracle_queries() -> dict[str, str]:
     s["merge_bucketed_artist"] = s["stream_merge"] = s["merge_upsert_artist"]
     s["merge_bucketed_track"] = s["merge_upsert_track"]
     s["purge_appended_loads"] = s["purge_dups_single_key"]
+    s["dq_report_compiled"] = s["dq_report"]
+    s["weekly_trend_incremental"], s["artist_streams_incremental"] = s["weekly_trend"], s["artist_streams"]
+    s["fact_skew_lookup"] = with_ctes(
+        "SELECT c.*, d.track_key FROM (SELECT CASE WHEN \"rank\" % 3 = 0 THEN (SELECT min(uri) FROM dim_track) ELSE uri END AS uri, \"rank\", streams "
+        "FROM chart_purged) c LEFT JOIN dim_track d ON c.uri = d.uri", ["chart_purged", "dim_track"])
     s["reload_failed"] = "SELECT o_orderkey, o_custkey, o_orderstatus, 1 AS failed, 4 AS version, count(*) OVER () AS of_two FROM orders"
     s["reload_conflict"] = "SELECT o_orderkey, o_custkey, o_orderstatus, 1 AS conflicts FROM orders WHERE o_orderstatus IN ('O', 'P')"
     s["sequence_keys"] = ("SELECT row_number() OVER (ORDER BY load, p_partkey) AS part_key, p_partkey, p_name, p_size, load FROM "

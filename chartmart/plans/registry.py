@@ -17,6 +17,7 @@ from chartmart.operators.dims import (ARTIST_NATURAL, COUNTRY_NATURAL, artist_fi
                                       build_dim_date, build_dim_track, ts_lit, union_distinct)
 from chartmart.operators.fact import Lookup, build_fact, star_lookup
 from chartmart.operators.history import scd2_snapshot
+from chartmart.operators.incremental_marts import ARTIST, WEEKLY, IncrementalMart
 from chartmart.operators.keys import assign_from_sequence, assign_surrogate_keys, next_key
 from chartmart.operators.marts import (artist_popularity_by_key, artist_popularity_by_name, artist_streams, base_fact,
                                        weekly_trend)
@@ -25,7 +26,7 @@ from chartmart.operators.quality import (check_fanout, check_foreign_key, check_
 from chartmart.operators.upsert import artist_day, artist_merge, select_run_date, track_day, track_merge, upsert_dim_artist, upsert_dim_track
 from chartmart.operators.weekly import (enrich_artist, flatten_pages, scan_artists, scan_release_pages, weekly_rows)
 from chartmart.plans.flows import (HIST_AS_OF, MERGE_AS_OF, RELEASE_LOAD_TS, RUN_DATE, WEEKLY_AS_OF, clean_chart,
-                                   clean_release, mart_checks, run_dimensions, run_fact, run_historical_chart,
+                                   clean_release, compiled_mart_checks, mart_checks, run_dimensions, run_fact, run_historical_chart,
                                    run_historical_release, run_incremental_dims, run_marts, run_snapshot,
                                    run_weekly_load, stage_release, weekly_typed)
 from chartmart.schemas import PAGE, RAW_CHART
@@ -636,6 +637,42 @@ def q_stream_late_rows(spark, sf):
     return both[0].unionByName(both[1])
 
 
+def q_fact_skew_lookup(spark, sf):
+    """A third of the chart's rows under one track: its dimension row is broadcast, the other tracks shuffle."""
+    chart = chart_purged(spark, sf)
+    tracks = build_dim_track([chart, release_purged(spark, sf)], HIST_AS_OF)
+    hot = tracks.agg(F.min("uri")).first()[0]
+    skewed = chart.select(F.when(F.col("rank") % 3 == 0, F.lit(hot)).otherwise(F.col("uri")).alias("uri"), "rank", "streams")
+    return star_lookup(skewed, [Lookup(tracks, "uri", "uri", "track_key", heavy=0.01)])
+
+
+def q_dq_report_compiled(spark, sf):
+    """The mart checks of ``dq_report``, each mart read once."""
+    fact, dims = fact_and_dims(spark, sf)
+    weekly = stage(weekly_trend(fact), "weekly_trend")
+    by_name = stage(artist_popularity_by_name(fact, dims["dim_artist"]), "artist_popularity_by_name")
+    return compiled_mart_checks(weekly, by_name)
+
+
+def _three_loads(spark, sf, group: list[str], measures) -> DataFrame:
+    """Two parts of the fact, the first with wrong measures, and then its correction."""
+    fact = stage(fact_and_dims(spark, sf)[0], "fact")
+    mart = IncrementalMart(Catalog(spark, scratch_path(spark, "mart_catalog")).committed("analytics.mart"), group, measures)
+    first = F.coalesce(F.col("rank") % 2 == 0, F.lit(True))
+    mart.load("even", fact.where(first).withColumn("streams", F.col("streams") + 1000).withColumn("date_key", F.col("date_key") + 1))
+    mart.load("odd", fact.where(~first))
+    mart.load("even", fact.where(first))
+    return mart.read(DIGITS)
+
+
+def q_weekly_trend_incremental(spark, sf):
+    return _three_loads(spark, sf, ["date_key"], WEEKLY)
+
+
+def q_artist_streams_incremental(spark, sf):
+    return _three_loads(spark, sf, ["artist_key"], ARTIST)
+
+
 def queries() -> dict[str, Query]:
     return {
         "land_as_strings": q_land_as_strings,
@@ -714,4 +751,8 @@ def queries() -> dict[str, Query]:
         "stream_merge": q_stream_merge,
         "stream_dedup_state": q_stream_dedup_state,
         "stream_late_rows": q_stream_late_rows,
+        "fact_skew_lookup": q_fact_skew_lookup,
+        "dq_report_compiled": q_dq_report_compiled,
+        "weekly_trend_incremental": q_weekly_trend_incremental,
+        "artist_streams_incremental": q_artist_streams_incremental,
     }
