@@ -64,7 +64,8 @@ def _heavy_lookup(out: DataFrame, d: DataFrame, lk: Lookup, alias: str) -> DataF
     few = stage(d.where(F.col(alias).isin(values)).withColumnRenamed(alias, "_heavy").withColumnRenamed(lk.key, "_heavy_key"), "heavy")
     if few.count() <= HEAVY_ROWS:
         few = F.broadcast(few)
-    rest = d.where(~F.col(alias).isin(values)).withColumn("_side", F.lit(0).cast("bigint"))
+    # always 0, but nothing that the planner folds: a literal would turn the join key into a filter
+    rest = d.where(~F.col(alias).isin(values)).withColumn("_side", F.xxhash64(alias).bitwiseAND(F.lit(0)))
     # the rows of heavy keys meet nothing on the other side, wherever they go
     spread = F.when(is_heavy, 1 + F.pmod(F.xxhash64(*out.columns), F.lit(_SPREAD))).otherwise(0).cast("bigint")
     names = out.columns
