@@ -249,3 +249,35 @@ def test_every_operator_is_registered():
     names = set(E.queries())
     assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11)) and "pipeline" in names
     assert set(E.oracle_sql()) <= names
+
+
+def test_wrappers_of_deep_pages(spark):
+    deep = "<div>" * 10_000
+    pages = [(1, "http://d.example/1", f"<body>{deep}<p>deep down</p>"), (2, "http://d.example/2", f"<body>{deep}<article><p>told</p><div class=comments>no</div></article>"),
+             (3, "http://e.example/", "<body>" + "".join(f'<div class="post n{k}">' for k in range(3000)) + "<p>text</p>"),
+             (4, "http://f.example/", "<body>" + "<ul><li>" * 4000 + "item"), (5, "http://g.example/", f"<body><nav>{deep}menu</nav><main>{deep}text</main>")]
+    got = {r.page_id: r.text for r in wrappers.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert got == {1: "deep down", 2: "told", 3: "text", 4: "item", 5: "text"}
+
+
+LAYOUTS = ['<div class="layout has-sidebar"><article>{}</article></div>', '<div id="page" class="comments-open"><main>{}</main></div>',
+           '<div class="elementor-widget-container"><article>{}</article></div>', '<div class="search-enabled"><main>{}</main></div>',
+           "<form><div class=x><article>{}</article></div></form>", '<div class="widget"><article>{}</article></div>', '<div class="sidebar-left"><div class="post">{}</div></div>',
+           '<article>{}<div class="related-posts"><p>other</p></div></article>', '<form><main>{}</main><div class="related"><article>card</article></div></form>',
+           '<div id="post-81" class="css-1a2b3c">{}</div><div class="cookie-bar">We use them</div><div class="site-footer">Us</div>']
+
+
+def test_wrappers_of_layouts_that_name_other_things(spark):
+    text = '<p>Told at length, as an article is.</p><div class="share-price">12.50</div><p>More of it {}</p>'
+    pages = [(100 * k + n, f"http://l{k}.example/{n}", f"<body><nav>Menu</nav>{x.format(text.format(n))}<footer>Us</footer></body>") for k, x in enumerate(LAYOUTS) for n in range(4)]
+    got = {r.page_id: r.text for r in wrappers.extract(spark.createDataFrame(pages, "page_id long, url string, html string"), salt=2).collect()}
+    assert got == {100 * k + n: f"Told at length, as an article is. 12.50 More of it {n}" for k in range(len(LAYOUTS)) for n in range(4)}
+
+
+def test_wrapper_does_not_grow_with_ids():
+    whole = None
+    for k in range(300):
+        name = "".join(chr(97 + (k * 7 + j * k) % 26) for j in range(6))
+        own = wrappers.tree(f'<body><div id="{name}-{k}" class="c{k} n-{k}x"><p id={name}>a {k}</p></div></body>')
+        whole = own if whole is None else wrappers.align(whole, own)
+    assert len(json.dumps(whole)) < 500
