@@ -115,7 +115,7 @@ def covered(blobs: list[bytes] | None, n: int) -> np.ndarray:
 def groups_of(texts: DataFrame, group_bytes: int) -> int:
     """A number of groups that follows the bytes of the texts."""
     n_bytes = texts.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
-    return int(min(65536, max(8, n_bytes // group_bytes)))
+    return int(max(8, n_bytes // group_bytes))
 
 
 def part_of(key: np.ndarray, groups: int) -> np.ndarray:

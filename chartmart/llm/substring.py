@@ -11,8 +11,9 @@ starts earlier: in a document with a smaller id, or earlier in the same document
    overestimate, so no repeated window is lost.
 2. The second pass over the texts keeps the windows whose minimizer is estimated as
    repeated. Each chunk settles repeats among its own windows and sends only its earliest
-   occurrence of each, keyed by the minimizer; the groups compare 96-bit hashes of the
-   whole windows exactly and return later occurrences as runs of starts.
+   occurrence of each; groups are numbered by the hash of the whole window, so windows that share a
+   frequent phrase are spread. They compare 96-bit hashes of the whole windows exactly and
+   return later occurrences as runs of starts.
 3. The runs are gathered per document and joined back to the whole texts.
 
 A passage that a third of all documents hold costs one occurrence per chunk, not per
@@ -157,7 +158,7 @@ def later_spans(texts: DataFrame, size: int = SIZE, gram: int = GRAM, sketch_bit
                 ids = np.asarray(piece.column("_id"), dtype=np.int64)[row]
                 ths = np.asarray(piece.column("_th"), dtype=np.int64)[row]
                 runs = O.Runs(ids, ths, at - w.words.first[row], np.full(len(at), size), *w.second(at))
-                yield O.local(runs, O.part_of(w.minimizer[keep], groups))
+                yield O.local(runs, O.part_of(runs.h1, groups))
 
     return O.later_spans(texts.mapInArrow(windows, O.SENT))
 
