@@ -11,9 +11,10 @@ starts earlier: in a document with a smaller id, or earlier in the same document
    overestimate, so no repeated window is lost.
 2. The second pass over the texts keeps the windows whose minimizer is estimated as
    repeated. Each chunk settles repeats among its own windows and sends only its earliest
-   occurrence of each; groups are numbered by the hash of the whole window, so windows that share a
-   frequent phrase are spread. They compare 96-bit hashes of the whole windows exactly and
-   return later occurrences as runs of starts.
+   occurrence of each, keyed by the least and the greatest hash of the window's runs: windows in a
+   row mostly stay together, and those that share a frequent phrase are spread by what stands
+   beside it. The groups compare 96-bit hashes of the whole windows exactly and return later
+   occurrences as runs of starts.
 3. The runs are gathered per document and joined back to the whole texts.
 
 A passage that a third of all documents hold costs one occurrence per chunk, not per
@@ -49,14 +50,14 @@ _MOST = np.uint64(2**64 - 1)
 
 
 class _Windows:
-    """Windows of a chunk: the first word and the minimizer of each."""
+    """Windows of a chunk: the first word, the minimizer and the greatest run hash of each."""
 
     def __init__(self, texts: pa.Array, size: int, gram: int):
         self.size, self.words = size, T.words_of(texts)
         self.hashes = self.words.hashes(0)
         row, n = self.words.row, len(self.words.row)
         none = np.zeros(0, dtype=np.int64)
-        self.at, self.minimizer, self.selected = none, none.astype(np.uint64), none.astype(np.uint64)
+        self.at, self.minimizer, self.greatest, self.selected = none, *[none.astype(np.uint64)] * 3
         if n < size:
             return
         inside = np.flatnonzero(row[: n - size + 1] == row[size - 1 :])
@@ -66,7 +67,7 @@ class _Windows:
         grams = T.runs_hash(self.hashes, at, at + gram, 2)
         reach = size - gram + 1  # runs in a window
         least = O.slide(grams, reach, np.minimum)  # for windows in one row, all runs lie in it
-        self.at, self.minimizer = inside, least[inside]
+        self.at, self.minimizer, self.greatest = inside, least[inside], O.slide(grams, reach, np.maximum)[inside]
         # a run is selected if it is the least of a window that holds it
         of = np.zeros(len(least), dtype=np.uint64)
         of[inside] = self.minimizer
@@ -158,7 +159,7 @@ def later_spans(texts: DataFrame, size: int = SIZE, gram: int = GRAM, sketch_bit
                 ids = np.asarray(piece.column("_id"), dtype=np.int64)[row]
                 ths = np.asarray(piece.column("_th"), dtype=np.int64)[row]
                 runs = O.Runs(ids, ths, at - w.words.first[row], np.full(len(at), size), *w.second(at))
-                yield O.local(runs, O.part_of(runs.h1, groups))
+                yield O.local(runs, O.part_of(w.minimizer[keep] ^ T.mix(w.greatest[keep]), groups))
 
     return O.later_spans(texts.mapInArrow(windows, O.SENT))
 
