@@ -99,7 +99,8 @@ class Ledger:
             if "PATH_NOT_FOUND" not in str(e):
                 raise
             rows = self.spark.createDataFrame([], self.SCHEMA)
-        return rows.groupBy("blob").agg(F.flatten(F.collect_list("scans")).alias("scans"))
+        # a scan that was run twice, or by two jobs at once, found the same spans
+        return rows.groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list("scans"))).alias("scans"))
 
     def scan(self, history: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> None:
         """Scans every (blob, rule, version) of the history that the ledger lacks."""

@@ -263,3 +263,13 @@ def test_line_dedup_spreads_a_common_line(spark, monkeypatch):
     for r in sent:
         parts[r.part] = parts.get(r.part, 0) + len(r.ids) // 8
     assert sum(parts.values()) == 800 and max(parts.values()) < 200
+
+
+def test_ledger_counts_a_scan_that_was_run_twice_once(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "password=abcdefghijklmno"), (2, "nothing")], "doc_id long, text string")
+    ledger = secret_ledger.Ledger(spark, f"{tmp_path}/ledger")
+    ledger.scan(docs)
+    [part] = [p for p in (tmp_path / "ledger").iterdir() if p.is_dir()]
+    spark.read.schema(ledger.SCHEMA).parquet(str(part)).write.parquet(f"{tmp_path}/ledger/part-of-another-job")
+    found = {r.row.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in ledger.findings(docs).collect()}
+    assert found[1] == sorted(set(found[1])) and len([s for s in found[1] if s[0] == "assign"]) == 1 and found[2] == []
