@@ -504,6 +504,8 @@ def oracle_queries() -> dict[str, str]:
     s["merge_bucketed_artist"] = s["stream_merge"] = s["merge_upsert_artist"]
     s["merge_bucketed_track"] = s["merge_upsert_track"]
     s["purge_appended_loads"] = s["purge_dups_single_key"]
+    s["model_marts"] = s["run_marts"]
+    s["ensure_table"] = "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders"
     s["dq_report_compiled"] = s["dq_report"]
     s["weekly_trend_incremental"], s["artist_streams_incremental"] = s["weekly_trend"], s["artist_streams"]
     s["fact_skew_lookup"] = with_ctes(

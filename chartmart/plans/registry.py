@@ -3,6 +3,7 @@ inventory, each reading the driver's whole tables (or data Spark derives from th
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,12 +30,13 @@ from chartmart.plans.flows import (HIST_AS_OF, MERGE_AS_OF, RELEASE_LOAD_TS, RUN
                                    clean_release, compiled_mart_checks, mart_checks, run_dimensions, run_fact, run_historical_chart,
                                    run_historical_release, run_incremental_dims, run_marts, run_snapshot,
                                    run_weekly_load, stage_release, weekly_typed)
+from chartmart.plans.models import Model, run_models
 from chartmart.schemas import PAGE, RAW_CHART
 from chartmart.session import scratch_path, stage
 from chartmart.sources import binding as B
 from chartmart.sources.catalog import Catalog
 from chartmart.sources.commits import CommittedTable, Conflict, Sequence
-from chartmart.sources.files import FileFormat, scan_csv, write_append, write_counted, write_csv, write_replace
+from chartmart.sources.files import FileFormat, ensure_table, scan_csv, write_append, write_counted, write_csv, write_replace
 from chartmart.streaming.release_stream import parts, stream_dedup, stream_release_load, stream_upsert
 from chartmart.streaming.stateful import kept, late, stream_dedup_within, stream_merge
 
@@ -673,6 +675,28 @@ def q_artist_streams_incremental(spark, sf):
     return _three_loads(spark, sf, ["artist_key"], ARTIST)
 
 
+def q_model_marts(spark, sf):
+    """Both marts as declared models: the base a view, the marts tables (the trend in the order of its key)."""
+    fact, dims = fact_and_dims(spark, sf)
+    models = [Model("weekly", ("base",), lambda base: weekly_trend(base, DIGITS, ordered=True), "table"),
+              Model("by_name", ("base", "artists"), lambda base, artists: artist_popularity_by_name(base, artists, DIGITS), "table"),
+              Model("base", ("fact",), base_fact),
+              Model("report", ("weekly", "by_name"), lambda weekly, by_name: weekly.select(
+                  F.lit("weekly_trend").alias("mart"), F.col("date_key").cast("string").alias("name"), "total_streams", "avg_rank").unionByName(
+                  by_name.select(F.lit("artist_popularity_by_name").alias("mart"), F.col("artist_name").alias("name"), "total_streams", "avg_rank")), "ephemeral")]
+    return run_models(models, {"fact": fact, "artists": dims["dim_artist"]}, ["report"], prefix=f"m{uuid.uuid4().hex}_")["report"]
+
+
+def q_ensure_table(spark, sf):
+    """A table made with a fixed schema, filled by two appends, and left alone when it is ensured again."""
+    orders = B.read_table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    name = f"orders_{uuid.uuid4().hex}"
+    for part in (orders.where("o_orderstatus = 'F'"), orders.where("o_orderstatus <> 'F'").select("o_orderstatus", "o_orderkey", "o_custkey")):
+        ensure_table(spark, name, orders.schema)
+        write_append(part, name)
+    return spark.table(name)
+
+
 def queries() -> dict[str, Query]:
     return {
         "land_as_strings": q_land_as_strings,
@@ -752,6 +776,8 @@ def queries() -> dict[str, Query]:
         "stream_dedup_state": q_stream_dedup_state,
         "stream_late_rows": q_stream_late_rows,
         "fact_skew_lookup": q_fact_skew_lookup,
+        "model_marts": q_model_marts,
+        "ensure_table": q_ensure_table,
         "dq_report_compiled": q_dq_report_compiled,
         "weekly_trend_incremental": q_weekly_trend_incremental,
         "artist_streams_incremental": q_artist_streams_incremental,
