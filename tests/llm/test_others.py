@@ -281,3 +281,20 @@ def test_wrapper_does_not_grow_with_ids():
         own = wrappers.tree(f'<body><div id="{name}-{k}" class="c{k} n-{k}x"><p id={name}>a {k}</p></div></body>')
         whole = own if whole is None else wrappers.align(whole, own)
     assert len(json.dumps(whole)) < 500
+
+
+def test_pipeline_stages_take_awkward_and_empty_tables(spark):
+    """Nulls in every column, repeated rows and ids, empty and long texts, clashing names; and no rows at all."""
+    import corpus_pipeline
+
+    from chartmart.session import stage
+
+    given = awkward(spark)
+    for docs in (stage(given, "awkward"), empty(spark)):
+        columns = docs.columns
+        for k, (name, apply) in enumerate(corpus_pipeline.STAGES):
+            docs = stage(apply(spark, docs, "/root/testdata/sf0.001"), f"awkward{k}")
+            assert k == len(corpus_pipeline.STAGES) - 1 or docs.columns == columns, name
+        assert {"doc_id", "n_tokens"} <= set(docs.columns)
+    kept = {(r.doc_id, r.text) for r in corpus_pipeline.near_dedup(spark, given, "").collect()}
+    assert {(2, None), (3, ""), (None, None), (8, "one"), (9, "one two three")} <= kept and (7, texts()[10][1]) not in kept
