@@ -62,6 +62,31 @@ def test_line_dedup_longer_runs(spark):
     assert key(got) == key(line_dedup(rows, 3, 50))
 
 
+@pytest.mark.parametrize("run, gram", [(2, 1), (3, 1), (4, 2), (2, 2)])
+@pytest.mark.parametrize("group_bytes", [64, 1 << 20])  # many groups, where most lines are heavy, and few, where hardly one is
+def test_winnowing_loses_no_run(spark, run, gram, group_bytes):
+    rng = np.random.default_rng(run * 10 + gram)
+    rows = [(k, "\n".join(f"line {x}" if x else " " for x in np.minimum(rng.zipf(1.3, rng.integers(0, 30)) - 1, 40))) for k in range(150)]
+    got = linededup.cut(awkward(spark, rows), run=run, gram=gram, alone=50, group_bytes=group_bytes)
+    assert key(got.select("row.doc_id", "n_lines", "n_removed", "row.text").collect()) == key(line_dedup(rows, run, 50))
+
+
+def test_winnowing_selects_window_minima():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    given = ["\n".join(f"v{x}" for x in rng.integers(0, 9, n)) for n in (0, 1, 3, 4, 40, 200)]
+    lines = linededup._Lines(pa.array(given))
+    for run, gram in ((2, 1), (4, 1), (5, 3), (3, 3)):
+        hashes = [int(linededup.T.runs_hash(lines.h1, np.array([i]), np.array([i + gram]), 1)[0]) for i in range(len(lines.row) - gram + 1)]
+        expected = set()
+        for s in range(len(lines.row) - run + 1):
+            if lines.row[s] == lines.row[s + run - 1]:
+                own = range(s, s + run - gram + 1)
+                expected |= {i for i in own if hashes[i] == min(hashes[j] for j in own)}
+        assert linededup.selected(lines, run, gram)[0].tolist() == sorted(expected)
+
+
 def near_rows():
     rng = np.random.default_rng(3)
     base = [f"v{x}" for x in rng.integers(0, 5000, 150)]
@@ -253,11 +278,11 @@ def test_restorer_reads_long_lattices_whole():
 def test_line_dedup_spreads_a_common_line(spark, monkeypatch):
     import pyarrow as pa
 
-    # the common line with the least hash of many, between neighbours that differ
-    hot = min((f"common line {k}" for k in range(200)), key=lambda x: linededup._Lines(pa.array([x])).h1[0])
+    # the common line with the least hash of many, the fingerprint of every document, between neighbours that differ
+    hot = min((f"common line {k}" for k in range(2000)), key=lambda x: linededup.selected(linededup._Lines(pa.array([x])), 1, 1)[1][0])
     rows = [(n, f"before {n}\n{hot}\nafter {n}") for n in range(400)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    monkeypatch.setattr(linededup.O, "later_spans", lambda sent: sent)
+    monkeypatch.setattr(linededup, "_joined", lambda sent, run, gram: sent)
     sent = linededup.later_lines(linededup.T.keyed(docs, "doc_id", "text")).collect()
     parts = {}
     for r in sent:
