@@ -463,6 +463,13 @@ def oracle_queries() -> dict[str, str]:
                                "HAVING count(*) > 1", ["dim_artist"])
     # weekly load
     s["flatten_release_pages"] = with_ctes("SELECT * FROM weekly_items", ["weekly_items"])
+    paged = ("SELECT *, ((page_id % 7) + 7) % 7 AS kind FROM (SELECT *, CASE WHEN copy = 1 THEN p ELSE -1 - p END AS page_id FROM ("
+             "SELECT *, CAST(split_part(uri, ':', 3) AS BIGINT) // 50 AS p, row_number() OVER (PARTITION BY uri) AS copy FROM weekly_items))")
+    s["variant_items"] = with_ctes(
+        f"SELECT * EXCLUDE (p, copy, kind) REPLACE (CASE WHEN kind <> 1 THEN album_num_tracks END AS album_num_tracks), "
+        f"CASE WHEN kind = 5 THEN 'US' END AS market FROM ({paged}) WHERE kind NOT IN (3, 6)", ["weekly_items"])
+    s["variant_quarantine"] = with_ctes(
+        f"SELECT DISTINCT page_id, CASE kind WHEN 3 THEN 'not JSON' ELSE 'no items' END AS reason FROM ({paged}) WHERE kind IN (3, 6)", ["weekly_items"])
     s["array_flatten_names"] = with_ctes(
         "SELECT uri, artist_names, artists_num, artist_individual, artist_id FROM weekly_items", ["weekly_items"])
     s["collab_flag"] = with_ctes("SELECT uri, artists_num, collab FROM weekly_items", ["weekly_items"])
@@ -488,6 +495,7 @@ def oracle_queries() -> dict[str, str]:
     r1 = f"({_snap_first(SNAP_V1, two)})"
     r2 = f"({_snap_step(r1, SNAP_V2, SNAPSHOT_AS_OF[1], two)})"
     s["run_snapshot"] = f"SELECT * FROM ({_snap_step(r2, SNAP_FULL, SNAPSHOT_AS_OF[2], two)})"
+    s["snapshot_colocated"] = s["run_snapshot"]
     mixed = (f"(SELECT * REPLACE (CASE WHEN track_key % 3 = 0 THEN {ts('2030-01-01 00:00:00')} WHEN track_key % 3 = 1 THEN {ts(None)} "
              f"ELSE effective_start_date END AS effective_start_date) FROM dim_track_hist)")
     s["merge_upsert_track_stale_insert"] = with_ctes(f"SELECT * FROM {_merge_track(mixed, 'insert')}", ["dim_track_hist", "release_purged"])

@@ -25,6 +25,8 @@ from chartmart.operators.marts import (artist_popularity_by_key, artist_populari
 from chartmart.operators.quality import (check_fanout, check_foreign_key, check_key, check_not_null, check_result,
                                          check_unique)
 from chartmart.operators.upsert import artist_day, artist_merge, select_run_date, track_day, track_merge, upsert_dim_artist, upsert_dim_track
+from chartmart.operators.stored_history import StoredHistory
+from chartmart.operators.variant_pages import flatten_variant_pages, landed, parse_pages, quarantined, scan_page_texts
 from chartmart.operators.weekly import (enrich_artist, flatten_pages, scan_artists, scan_release_pages, weekly_rows)
 from chartmart.plans.flows import (HIST_AS_OF, MERGE_AS_OF, RELEASE_LOAD_TS, RUN_DATE, WEEKLY_AS_OF, clean_chart,
                                    clean_release, compiled_mart_checks, mart_checks, run_dimensions, run_fact, run_historical_chart,
@@ -413,6 +415,34 @@ def q_run_snapshot(spark, sf):
     return out
 
 
+def q_snapshot_colocated(spark, sf):
+    """The same three runs with open rows stored by key, and the closed files put together."""
+    first, second = B.customer_versions(spark, sf)
+    full = B.read_table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment").withColumn(
+        "updated_at", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
+    history = StoredHistory(spark, scratch_path(spark, "history"), ["c_custkey", "c_nationkey"], "updated_at", buckets=8)
+    for load, as_of in zip([first, second, full], SNAPSHOT_AS_OF):
+        history.run(load, as_of)
+    history.compact()
+    return history.snapshot()
+
+
+def parsed_pages(spark, sf) -> DataFrame:
+    """Landed page texts of which some are broken, some have further fields and some a field of another type."""
+    path = scratch_path(spark, "page_texts")
+    B.page_texts(spark, sf).write.text(path)
+    return stage(parse_pages(scan_page_texts(spark, path)), "parsed_pages")
+
+
+def q_variant_items(spark, sf):
+    return flatten_variant_pages(landed(parsed_pages(spark, sf)), {"page_id": ("$.page", "bigint"), "market": ("$.market", "string")})
+
+
+def q_variant_quarantine(spark, sf):
+    return quarantined(parsed_pages(spark, sf)).select(
+        F.regexp_extract("raw", r'"page":(-?\d+)', 1).cast("bigint").alias("page_id"), "reason")
+
+
 def q_write_tables(spark, sf):
     """Replace, counted write, append (columns in another order) and read back by name."""
     orders = B.read_table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
@@ -746,6 +776,9 @@ def queries() -> dict[str, Query]:
         "dq_foreign_key": q_dq_foreign_key,
         "dq_fanout": q_dq_fanout,
         "flatten_release_pages": q_flatten_release_pages,
+        "variant_items": q_variant_items,
+        "variant_quarantine": q_variant_quarantine,
+        "snapshot_colocated": q_snapshot_colocated,
         "array_flatten_names": q_array_flatten_names,
         "collab_flag": q_collab_flag,
         "enrich_artist": q_enrich_artist,

@@ -267,6 +267,21 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select(F.struct(F.col("items")).alias("tracks")))
 
 
+def page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The search pages as JSON texts with their number; by its remainder of 7, a page is cut short (3), has no
+    list of items (6), names a market (5), or counts an album's tracks in words (1)."""
+    items = page_items(spark, sf_dir).groupBy("page_id").agg(F.collect_list("item").alias("items"))
+    page = items.select(F.pmod("page_id", F.lit(7)).alias("kind"), F.to_json(F.struct(
+        F.col("page_id").alias("page"), F.struct("items").alias("tracks"))).alias("text"))
+    kind, text = F.col("kind"), F.col("text")
+    return page.select(
+        F.when(kind == 3, F.expr("substring(text, 1, length(text) - 5)"))
+        .when(kind == 6, F.regexp_replace(text, r'"items":\[.*$', '"items":"gone"}}'))
+        .when(kind == 5, F.regexp_replace(text, r"\}$", ',"market":"US"}'))
+        .when(kind == 1, F.regexp_replace(text, r'"total_tracks":\d+', '"total_tracks":"many"'))
+        .otherwise(text).alias("value"))
+
+
 def artist_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Artist detail records {id, genres[], images[]} derived from suppliers."""
     s = read_table(spark, sf_dir, "supplier").select("s_suppkey")
