@@ -25,8 +25,10 @@ The labels are joined to the counts of the documents, never to their texts, and
 
 Defined cases: a null text has no words and fails the base; a null language is a stratum
 of its own; a label without a document, or null, counts for nothing; several labels of
-one document count as the best; rows that share an id are judged each by its own text,
-and each counts with the label; other columns do not matter; an empty table gives no rows.
+one document count as the best; rows that share an id are judged each by its own text, but
+count once with the label (by the least text hash), and documents of one text in a stratum
+count once with the best label of theirs, as the bound is on independent trials; other
+columns do not matter; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -80,7 +82,7 @@ def counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
         F.col("_w.n").cast("long").alias("n_words"), _without(text, T.SPACE).cast("long").alias("word_chars"),
         (n - _without(text, r"[#*$%&|<>]")).cast("long").alias("n_symbols"), F.col("_l.dup").cast("long").alias("n_dup_lines"),
         F.col("_w.repeats").cast("long").alias("n_repeat_words"), F.col("_l.n").cast("long").alias("n_lines"),
-        (n - _without(text, r"\p{Lu}")).cast("long").alias("n_capitals")).alias("_q"))
+        (n - _without(text, r"\p{Lu}")).cast("long").alias("n_capitals"), F.md5(text).alias("text_md5")).alias("_q"))
 
 
 def _base_failed(q: Column) -> Column:
@@ -102,9 +104,12 @@ def cutoffs(counted: DataFrame, labels: DataFrame, id_col: str = "doc_id", strat
     """``_stratum`` and a cutoff column for each rule (101 where none is certified)."""
     good = labels.where("quality is not null").groupBy(F.col("doc_id").alias("_label")).agg(F.max("quality").alias("_good"))
     own = counted.where(~_base_failed(F.col("_q"))).select(
-        F.col("row")[id_col].alias("_label"), F.coalesce(F.col("row")[stratum_col], F.lit("")).alias("_stratum"),
+        F.col("row")[id_col].alias("_label"), F.coalesce(F.col("row")[stratum_col], F.lit("")).alias("_stratum"), F.col("_q.text_md5").alias("_md5"),
         F.array(*[F.struct(F.lit(k).alias("rule"), v.cast("int").alias("at")) for k, v in _statistics(F.col("_q")).items()]).alias("_s"))
-    held = own.join(good, "_label").select("_stratum", "_good", F.explode("_s").alias("_s")).groupBy(
+    # the bound is on independent trials: a labelled id counts once, and so does a text, whatever its copies
+    once = own.join(good, "_label").groupBy("_stratum", "_label").agg(F.min(F.struct("_md5", "_s", "_good")).alias("x")).select("_stratum", "x.*")
+    once = once.groupBy("_stratum", "_md5").agg(F.max("_good").alias("_good"), F.first("_s").alias("_s"))
+    held = once.select("_stratum", "_good", F.explode("_s").alias("_s")).groupBy(
         "_stratum", F.col("_s.rule").alias("rule"), F.col("_s.at").alias("at")).agg(
         F.sum(F.when(F.col("_good") == 1, 1).otherwise(0)).alias("good"), F.sum(F.when(F.col("_good") == 1, 0).otherwise(1)).alias("bad"))
     held = stage(held, "held_out")
@@ -171,7 +176,7 @@ cov AS (SELECT r, count(DISTINCT q) AS n FROM (SELECT r, unnest([p, p + 1, p + 2
 wc AS (SELECT r, count(*) AS n, sum(length(w)) AS c FROM w GROUP BY r),
 l AS (SELECT r, count(*) AS n, count(*) - count(DISTINCT x) AS dup FROM (SELECT r, unnest(string_split(t, chr(10))) AS x FROM d)
       WHERE regexp_matches(x, '[^\x20\x09-\x0D]') GROUP BY r),
-q AS (SELECT d.r, doc_id, s, coalesce(wc.n, 0)::BIGINT AS n_words, coalesce(wc.c, 0)::BIGINT AS word_chars,
+q AS (SELECT d.r, doc_id, s, md5(t) AS m, coalesce(wc.n, 0)::BIGINT AS n_words, coalesce(wc.c, 0)::BIGINT AS word_chars,
         length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, coalesce(l.dup, 0)::BIGINT AS n_dup_lines,
         coalesce(cov.n, 0)::BIGINT AS n_repeat_words, coalesce(l.n, 0)::BIGINT AS n_lines,
         length(regexp_replace(t, '\P{{Lu}}', '', 'g'))::BIGINT AS n_capitals
@@ -182,8 +187,11 @@ f AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEATS} *
         least((n_dup_lines * 100 + greatest(n_lines, 1) - 1) // greatest(n_lines, 1), 100) AS lines,
         least((n_repeat_words * 100 + greatest(n_words, 1) - 1) // greatest(n_words, 1), 100) AS repeats FROM q),
 g AS (SELECT doc_id, max(quality) AS good FROM labels WHERE quality IS NOT NULL GROUP BY doc_id),
+byid AS (SELECT s, doc_id, min(m) AS m, any_value(good) AS good FROM f JOIN g USING (doc_id) WHERE NOT base_failed GROUP BY s, doc_id),
+bytext AS (SELECT s, m, max(byid.good) AS good, any_value(f.symbols) AS symbols, any_value(f.capitals) AS capitals, any_value(f.lines) AS lines,
+        any_value(f.repeats) AS repeats FROM byid JOIN f USING (s, m) GROUP BY s, m),
 stats AS (UNPIVOT (SELECT r, doc_id, s, symbols, capitals, lines, repeats FROM f WHERE NOT base_failed) ON symbols, capitals, lines, repeats INTO NAME rule VALUE v),
-h AS (SELECT s, rule, v, good FROM stats JOIN g USING (doc_id)),
+h AS (UNPIVOT bytext ON symbols, capitals, lines, repeats INTO NAME rule VALUE v),
 c AS (SELECT s, rule, lim, count(*) FILTER (WHERE good = 1) AS n, count(*) FILTER (WHERE good = 1 AND v > lim) AS k,
         count(*) FILTER (WHERE good <> 1 AND v > lim) AS gain
       FROM h, (SELECT unnest(range(0, 101)) AS lim) GROUP BY s, rule, lim),

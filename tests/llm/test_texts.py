@@ -121,6 +121,21 @@ def test_registers_agree_with_the_similarity():
         assert (sig[0] == sig[1]).mean() == pytest.approx(exact, abs=0.05)
 
 
+def test_quality_counts_copies_and_repeated_ids_as_one_trial(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    bad = [(1000 + k, " ".join(f"v{k}x{i}" for i in range(60)) + " ####" * 30) for k in range(100)]
+    schema = "doc_id long, text string, lang string"
+    copies = spark.createDataFrame([(i, t, "en") for i, t in [(k, text) for k in range(600)] + bad], schema)
+    same_id = spark.createDataFrame([(0, f"{text} {k}", "en") for k in range(600)] + [(i, t, "en") for i, t in bad], schema)
+    labels = spark.createDataFrame([(i, 1) for i in range(600)] + [(i, 0) for i, _ in bad], "doc_id long, quality int")
+    for docs in (copies, same_id):  # one good trial, in 600 rows: nothing is certified
+        assert quality.cutoffs(quality.counts(docs), labels, risk=0.05).collect() == []
+        assert all(r.kept for r in quality.judge(docs, labels, risk=0.05).collect())
+    awkward_labels = spark.createDataFrame([(1, None), (None, 1), (2, 0), (2, 1), (99, 0)], "doc_id long, quality int")
+    got = quality.judge(awkward(spark), awkward_labels).collect()
+    assert len(got) == awkward(spark).count() and not any(r.kept for r in got if r._q.n_words < 50)
+
+
 def test_quality_counts(spark):
     rows = texts() + [(20, "a b c a b c d"), (21, "# a ** $b\nx\nx\n\nx y"), (22, "a b c d")]
     got = quality.counts(awkward(spark, rows)).select("row.text", "_q.*").collect()
