@@ -15,7 +15,8 @@ words; a target stops at twice its source's size and the excess is shared anew b
    shuffle of all blocks. A node is one row with a number for each source.
 3. Each leaf draws its quota from the source's permuted blocks, next to what the shards
    before it draw: block ranks are joined to shards on (source, rank).
-4. Within a shard, the order is by a hash of document and pass.
+4. Within a shard, the order is by a hash of document and pass; ``mixed_rows`` gives the mix in this
+   order, a shard in as many slices as its words ask for.
 
 Running totals over blocks are taken in ``CELLS`` cells per source by the permutation's
 hash, then inside a cell, so that no window holds a whole source. Joins and sums are on
@@ -42,6 +43,7 @@ TOTAL = 1.5  # of all words
 MOST = 2.0  # times its own size
 BLOCK_WORDS = 4096
 SHARDS = 16
+SLICE_WORDS = 1 << 24  # of a shard, sorted by one task
 CELLS = 1024
 SEED = 7
 
@@ -138,24 +140,38 @@ def splitting_tree(quotas: DataFrame, shards: int = SHARDS, seed: int = SEED) ->
     return leaf.select("rank", "shard", F.col("x.first").alias("first"), F.col("x.quota").alias("number")).where("number > 0")
 
 
-def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
-    """``docs`` with a row for each use of a document in the mix; where only its first words are used, the
-    text ends there. Texts are shuffled once: rows are numbered and joined to their uses by the same key.
+def placed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+                slice_words: int = SLICE_WORDS, **options) -> DataFrame:
+    """``row, shard, place``: a row for each use of a document in the mix, each shard's rows together and in its
+    order; where only the first words of a document are used, the text ends there.
+
+    Texts are shuffled twice: once to meet their uses (rows are numbered and joined by the same key), once to
+    their shard. A shard is cut into slices by place, as many as all words ask for, so that no task holds a shard.
     """
-    _, mixed = mix(docs, id_col, text_col, source_col, **options)
+    rows, mixed = mix(docs, id_col, text_col, source_col, **options)
+    total = rows.agg(F.sum("size")).first()[0] or 0
+    slices = max(1, -int(-total * TOTAL // (options.get("shards", SHARDS) * slice_words)))
 
     def key(id_, source):
         return F.coalesce(id_.cast("long"), F.lit(T.NO_ID)).alias("_i"), F.coalesce(F.concat(F.lit("="), source), F.lit("")).alias("_s")
 
-    uses = mixed.select(*key(F.col("doc_id"), F.col("source")), F.col("size").alias("_n"), "copy", "words")
-    uses = uses.groupBy("_i", "_s", "_n").agg(F.collect_list(F.struct("copy", "words")).alias("_uses"))
+    uses = mixed.select(*key(F.col("doc_id"), F.col("source")), F.col("size").alias("_n"), "copy", "words", "shard", "place")
+    uses = uses.groupBy("_i", "_s", "_n").agg(F.collect_list(F.struct("copy", "words", "shard", "place")).alias("_uses"))
     rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), *key(F.col(id_col), F.col(source_col)), T.n_words(F.col(text_col)).alias("_n"))
     numbered = rows.withColumn("_copy", F.row_number().over(Window.partitionBy("_i", "_s", "_n").orderBy(F.xxhash64(F.col("row")[text_col]))))
     used = numbered.join(uses.hint("merge"), ["_i", "_s", "_n"])
     used = used.withColumn("_use", F.explode(F.filter("_uses", lambda u: u["copy"] == F.col("_copy"))))
     text = F.col("row")[text_col]
     text = F.when(F.col("_use.words") == F.col("_n"), text).otherwise(first_words(text, F.col("_use.words")))
-    return used.select(F.col("row").withField(text_col, text).alias("row")).select("row.*")
+    out = used.select(F.col("row").withField(text_col, text).alias("row"), "_use.shard", "_use.place")
+    # places are numbers of 60 bits
+    out = out.withColumn("_slice", F.shiftright(F.shiftright("place", 30) * F.lit(slices).cast("long"), 30))
+    return out.repartition("shard", "_slice").sortWithinPartitions("shard", "_slice", "place").drop("_slice")
+
+
+def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+    """The mix as rows like those of ``docs``, shard by shard in the order of ``placed_rows``."""
+    return placed_rows(docs, id_col, text_col, source_col, **options).select("row.*")
 
 
 def first_words(text: Column, n: Column) -> Column:

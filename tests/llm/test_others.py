@@ -112,6 +112,26 @@ def test_mixing_against_a_plain_fill(spark):
     assert mixing.taken(empty(spark)).collect() == []
 
 
+def test_mixed_rows_lie_by_shard_in_order(spark):
+    rows = texts() + [(200 + k, "m " * (1 + 37 * k % 90)) for k in range(300)]
+    docs = awkward(spark, rows)
+    options = {"block_words": 256, "shards": 5}
+    mixed = mixing.mix(docs, **options)[1].collect()
+    for slice_words in (1 << 24, 700):  # whole shards, and shards in slices
+        got = mixing.placed_rows(docs, slice_words=slice_words, **options).select("*", F.spark_partition_id().alias("p"), F.monotonically_increasing_id().alias("at")).collect()
+        assert sorted((str(r.row["doc_id"]), r.shard, r.place, len(words(r.row["text"]))) for r in got) == sorted((str(r.doc_id), r.shard, r.place, r.words) for r in mixed)
+        got.sort(key=lambda r: r["at"])
+        runs = {}
+        for r in got:
+            runs.setdefault((r.p, r.shard), []).append(r.place)
+        assert {r.shard for r in got} == set(range(5)) and all(places == sorted(places) for places in runs.values())
+        spans = sorted((s, min(x), max(x)) for (_, s), x in runs.items())
+        if slice_words > 700:
+            assert len(spans) == 5  # a shard in one task
+    # texts that stay apart in shard order are not in the order of the table
+    assert [r.row["doc_id"] for r in got] != [r.doc_id for r in mixed]
+
+
 def test_splitting_tree_is_exact(spark):
     quota = {0: 700, 1: 0, 2: 55, 3: 1}
     leaves = mixing.splitting_tree(spark.createDataFrame(list(quota.items()), "rank int, quota long"), shards=7).collect()
