@@ -1,8 +1,9 @@
 """Byte-level BPE encoding and decoding by recursive DuckDB queries in each partition.
 
 Texts are split by the tokenizer's pattern; the distinct pieces of a batch are encoded
-once each. Every piece starts as rows of (piece, position, token), a token per byte. A
-recursive query joins neighbouring rows to the merge table (left token, right token ->
+once each. Every piece starts as rows of (piece, position, token), a token per byte (one
+number, ``spot``, holds piece and position and gives the order of all rows). A recursive
+query joins neighbouring rows to the merge table (left token, right token ->
 token, its rank) and contracts, in every piece, the leftmost pair of least rank, until no
 pair of any piece is in the table; a piece that has no pair left leaves the recursion as
 an ordered list of tokens. Decoding joins token rows to the vocabulary and concatenates
@@ -55,20 +56,18 @@ def merge_table(ranks: dict[bytes, int]) -> pa.Table:
 
 
 _ENCODE = """
-WITH RECURSIVE state(piece, pos, token, done) AS (
-  SELECT piece, pos, token, false FROM bytes
+WITH RECURSIVE state(piece, spot, token, done) AS (
+  SELECT piece, piece::BIGINT << 32 | pos, token, false FROM bytes
   UNION ALL
-  (WITH near AS (SELECT piece, pos, token, lead(token) OVER () AS next, lead(piece) OVER () AS owner FROM state WHERE NOT done),
+  (WITH near AS (SELECT piece, spot, token, lead(token) OVER following AS next, lead(spot) OVER following AS next_spot
+                 FROM state WHERE NOT done WINDOW following AS (ORDER BY spot)),
    pairs AS MATERIALIZED (
-     SELECT n.piece, n.pos, n.token, m.token::BIGINT << 32 | n.pos AS rank
-     FROM near n LEFT JOIN merges m ON m.l = n.token AND m.r = n.next AND n.owner = n.piece),
-   least AS (SELECT piece, min(rank) AS rank FROM pairs GROUP BY piece),
-   marked AS (
-     SELECT p.piece, p.pos, p.token, p.rank = l.rank AS here, l.rank AS least, lag(coalesce(p.rank = l.rank, false), 1, false) OVER () AS after
-     FROM pairs p JOIN least l ON l.piece = p.piece)
-   SELECT piece, pos, CASE WHEN here THEN (least >> 32)::INTEGER ELSE token END, least IS NULL
-   FROM marked WHERE NOT after))
-SELECT piece, list(token ORDER BY pos) AS ids FROM state WHERE done GROUP BY piece ORDER BY piece
+     SELECT n.piece, n.spot, n.token, n.next_spot, m.token::BIGINT << 32 | (n.spot & 4294967295) AS rank
+     FROM near n LEFT JOIN merges m ON m.l = n.token AND m.r = n.next AND n.next_spot >> 32 = n.piece),
+   least AS MATERIALIZED (SELECT piece, min(rank) AS rank, arg_min(next_spot, rank) AS gone FROM pairs GROUP BY piece)
+   SELECT p.piece, p.spot, CASE WHEN p.rank = l.rank THEN (l.rank >> 32)::INTEGER ELSE p.token END, l.rank IS NULL
+   FROM pairs p JOIN least l ON l.piece = p.piece WHERE p.spot IS DISTINCT FROM l.gone))
+SELECT piece, list(token ORDER BY spot) AS ids FROM state WHERE done GROUP BY piece ORDER BY piece
 """
 
 _DECODE = """
@@ -84,7 +83,7 @@ class Codec:
     def __init__(self, ranks: dict[bytes, int], merges: pa.Table):
         self.byte = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int32)
         self.db = duckdb.connect(":memory:", config={"threads": "1", "memory_limit": _MEMORY, "temp_directory": ""})
-        # rows stay in (piece, position) order through the joins: the left side is always the probing one
+        # the tables built for the joins are the merges and one row a piece; estimates of a recursion's rows mislead
         self.db.execute("SET disabled_optimizers = 'join_order,build_side_probe_side'")
         words = pa.table({"token": pa.array(list(ranks.values()), pa.int32()), "hex": pa.array([t.hex() for t in ranks])})
         for name, table in (("merges", merges), ("vocabulary", words)):

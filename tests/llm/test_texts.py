@@ -227,6 +227,22 @@ def test_bpe_round_trip(spark):
         bpe.decode(spark.createDataFrame([(1, [99999999])], "doc_id long, ids array<int>"), RANKS, ["doc_id"]).collect()
 
 
+def test_bpe_any_row_order():
+    """The recursion orders its rows itself: bytes given in any order, long unbroken pieces too, encode alike."""
+    rng = np.random.default_rng(11)
+    enc = tokenizer()
+    ranks = bpe.read_ranks(None, RANKS)
+    codec = bpe.Codec(ranks, bpe.merge_table(ranks))
+    pieces = ["".join(rng.choice(list("abcdeinorst"), n)).encode() for n in (1, 2, 3, 7, 40, 300, 2500)] + [b"aaaaaaa", "ßüé中".encode(), b"a" * 2500]
+    expected = [enc._encode_single_piece(p) for p in pieces]
+    assert codec.encode(pieces).to_pylist() == expected
+    rows = [(i, k, int(codec.byte[b])) for i, p in enumerate(pieces) for k, b in enumerate(p)]
+    for _ in range(3):
+        piece, pos, token = (np.array(x, dtype=np.int32) for x in zip(*(rows[j] for j in rng.permutation(len(rows)))))
+        found = codec._ask(bpe._ENCODE, "bytes", pa.table({"piece": piece, "pos": pos, "token": token}))
+        assert found.column("ids").to_pylist() == expected
+
+
 def test_toxicity(spark):
     rng = np.random.default_rng(5)
     vocabulary = [a + b + c for a in ("ther", "ing", "and", "ons", "ble") for b in ("re", "at", "is", "ou") for c in ("st", "nd", "er", "ly")]
