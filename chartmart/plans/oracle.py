@@ -420,6 +420,13 @@ def oracle_queries() -> dict[str, str]:
     s["fact_date_lookup"] = with_ctes(
         "SELECT c.uri, c.\"week\", d.date_key, d.day_name FROM chart_clean c LEFT JOIN dim_date d "
         "ON c.\"week\" = CAST(d.full_date AS DATE)", ["chart_clean", "dim_date"])
+    s["chart_calendar"] = with_ctes(
+        "SELECT c.uri, c.\"week\" AS chart_week, d.* FROM chart_clean c LEFT JOIN dim_date d "
+        "ON c.\"week\" = CAST(d.full_date AS DATE)", ["chart_clean", "dim_date"])
+    s["weekend_releases"] = with_ctes(
+        "SELECT d.\"year\", d.\"quarter\", d.month_name, d.day_name, count(*) AS n_releases, min(d.full_date) AS first_date "
+        "FROM release_clean r JOIN dim_date d ON r.release_date = CAST(d.full_date AS DATE) WHERE d.is_weekend GROUP BY 1, 2, 3, 4",
+        ["release_clean", "dim_date"])
     s["fact_star_join"] = with_ctes("SELECT * FROM fact_raw", ["fact_raw"])
     s["fact_star_join_first"] = with_ctes(_fact_raw("first"),
                                           ["chart_purged", "dim_track", "dim_artist", "dim_country", "dim_date"])

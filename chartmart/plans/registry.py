@@ -235,6 +235,22 @@ def q_fact_date_lookup(spark, sf):
         "uri", "week", "date_key", "day_name")
 
 
+def q_chart_calendar(spark, sf):
+    """Every cleaned chart row with all attributes of its week in the calendar (13,149 rows, broadcast)."""
+    c = chart_clean(spark, sf).select("uri", F.col("week").alias("chart_week"))
+    d = build_dim_date(spark)
+    j = star_lookup(c, [Lookup(d, "chart_week", "full_date", "date_key", cast="date", broadcast=True)])
+    return j.select("uri", "chart_week", "date_key").join(F.broadcast(d), "date_key", "left")
+
+
+def q_weekend_releases(spark, sf):
+    """Releases a year and quarter that came out on the weekend days of the calendar."""
+    r = release_clean(spark, sf).groupBy("release_date").agg(F.count("*").alias("n"))
+    d = build_dim_date(spark).filter("is_weekend")
+    j = r.join(F.broadcast(d.withColumn("release_date", F.to_date("full_date"))), "release_date")
+    return j.groupBy("year", "quarter", "month_name", "day_name").agg(F.sum("n").cast("long").alias("n_releases"), F.min("full_date").alias("first_date"))
+
+
 def q_fact_star_join(spark, sf):
     chart = chart_purged(spark, sf)
     d = all_dims(spark, sf, chart)
@@ -755,6 +771,8 @@ def queries() -> dict[str, Query]:
         "dim_audio_features_double_strip": q_dim_audio_double_strip,
         "keep_one_chart": q_keep_one_chart,
         "fact_date_lookup": q_fact_date_lookup,
+        "chart_calendar": q_chart_calendar,
+        "weekend_releases": q_weekend_releases,
         "fact_star_join": q_fact_star_join,
         "fact_star_join_first": q_fact_star_join_first,
         "fact_build": q_fact_build,
