@@ -16,8 +16,9 @@
    whose texts are links on all pages are also left out, and texts of the template: those
    that all pages of a slot hold, if at least three of these pages are different articles,
    that is, any two share less than half of the shorter one's text. Near copies so count
-   as one article. Which pages are different is seen on the 64 pages of least digest among
-   those that hold the text; if they do not show three, the text is kept.
+   as one article. All pages that hold the text are looked at: the longest counts, then the
+   longest that differs from it, then the longest that differs from both; if there are no
+   three, the text is kept.
 4. Pages are joined to their host's wrapper (salted by page, so a large host is spread) and
    the texts of main slots are put together in page order.
 
@@ -54,8 +55,7 @@ from chartmart.session import stage
 SALT = 32
 _MOST_HOSTS = 5000  # trees that a task holds before it passes them on
 _ARTICLES = 3  # different articles that a text must stand in to count as template
-_SAMPLE = 64  # pages with a text that are compared for that
-_MOST_PAGES = 20_000  # sampled pages that a task holds before it passes them on
+_MOST_TEXTS = 100_000  # texts whose longest page a task holds before it passes them on
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>"']|"[^"]*"|'[^']*')*)/?>""", re.S)
 _ATTRIBUTE = re.compile(r"""(class|id|role|itemprop|hidden|aria-hidden)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)|\b(hidden)\b""", re.I)
@@ -420,69 +420,92 @@ def main_text(page: str, slots: Slots) -> str:
     return " ".join(main if main is not None else [text for k, text in body if (k, _hash(text)) not in slots.template])
 
 
-def different(pages: list[dict[int, int]]) -> bool:
-    """Are there enough different articles among pages of {hash of a text: its length}, the longest first?"""
-    chosen: list[dict[int, int]] = []
-    for own in pages:
-        size = sum(own.values())  # no longer than those chosen
-        if all(2 * sum(n for h, n in own.items() if h in other) < size for other in chosen):
-            chosen.append(own)
-            if len(chosen) == _ARTICLES:
-                return True
-    return False
+def articles(pages: DataFrame) -> DataFrame:
+    """``_host, digest, less, page`` of each page with texts of ``_html`` that ``slots`` of the host say may be template:
+    minus its length, its texts as {hash: length}, and which of them may be template, as [number of body slot, hash]."""
 
-
-def templates(pages: DataFrame) -> DataFrame:
-    """``_host, template``: the texts of ``_html`` that ``slots`` of the host say may be template, and that stand in
-    enough different articles."""
-
-    def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def record(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, Slots] = {}
-        held: dict[tuple, dict[str, str]] = {}  # by host, slot and text: pages of least digest
-
-        def send() -> pa.RecordBatch:
-            rows = {(key[0], digest): page for key, own in held.items() for digest, page in _least(own)}
-            return pa.RecordBatch.from_arrays([pa.array([k[0] for k in rows], pa.string()), pa.array([k[1] for k in rows], pa.string()), pa.array(list(rows.values()), pa.string())], ["_host", "digest", "page"])
-
         for batch in batches:
+            rows = []
             for host, page, given in zip(*(batch.column(c).to_pylist() for c in ("_host", "_html", "slots"))):
                 if host not in known:
                     if len(known) > _MOST_HOSTS:
                         known.clear()
                     known[host] = Slots(given, None)
                 texts = [(k, _hash(text), len(text)) for k, text in known[host].parts(page)[1]]
-                shared = {(k, h) for k, h, _ in texts} & known[host].shared
-                record = json.dumps([[*t, t[:2] in shared] for t in texts])
-                digest = hashlib.sha256(record.encode()).hexdigest()
-                for key in shared:
-                    own = held.setdefault((host, *key), {})
-                    own[digest] = record
-                    if len(own) > 2 * _SAMPLE:
-                        held[(host, *key)] = dict(_least(own))
-            if sum(map(len, held.values())) > _MOST_PAGES:
+                if shared := sorted({(k, h) for k, h, _ in texts} & known[host].shared):
+                    own: Counter[int] = Counter()
+                    for _, h, n in texts:
+                        own[h] += n
+                    whole = json.dumps([own, shared], sort_keys=True)
+                    rows.append((host, hashlib.sha256(whole.encode()).hexdigest(), -own.total(), whole))
+            columns = list(zip(*rows)) or [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int64(), pa.string()))],
+                                             ["_host", "digest", "less", "page"])
+
+    return pages.select("_host", "_html", "slots").mapInArrow(record, "_host string, digest string, less long, page string")
+
+
+def _longest(pages: DataFrame) -> DataFrame:
+    """``_host, k, h, digest``: for each text that may be template the longest page with it that differs from those ``chosen``."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, tuple[dict, dict]] = {}
+        held: dict[tuple, tuple[int, str]] = {}
+
+        def send() -> pa.RecordBatch:
+            columns = list(zip(*[(*key, *page) for key, page in held.items()])) or [()] * 5
+            types = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string())
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["_host", "k", "h", "less", "digest"])
+
+        for batch in batches:
+            for host, digest, less, page, chosen in zip(*(batch.column(c).to_pylist() for c in ("_host", "digest", "less", "page", "chosen"))):
+                own, shared = json.loads(page)
+                if chosen is not None and host not in known:
+                    if len(known) > _MOST_HOSTS:
+                        known.clear()
+                    found = json.loads(chosen)
+                    known[host] = {(x["k"], x["h"]): x["digests"] for x in found["texts"]}, {x["digest"]: json.loads(x["page"])[0].keys() for x in found["pages"]}
+                texts, others = known.get(host, ({}, {})) if chosen is not None else ({}, {})
+                near: dict[str, bool] = {}  # pages that this one shares half of its text with
+                for k, h in shared:
+                    if chosen is not None:
+                        if (k, h) not in texts:
+                            continue
+                        for other in texts[k, h]:
+                            if other not in near:
+                                near[other] = 2 * sum(own[x] for x in own.keys() & others[other]) >= -less
+                        if any(near[other] for other in texts[k, h]):
+                            continue
+                    if (host, k, h) not in held or (less, digest) < held[host, k, h]:
+                        held[host, k, h] = less, digest
+            if len(held) > _MOST_TEXTS:
                 yield send()
                 held.clear()
         yield send()
 
-    def judge(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        held: dict[tuple, dict[str, dict[int, int]]] = {}
-        for digest, page in dict(zip(rows["digest"], rows["page"])).items():
-            texts = json.loads(page)
-            own: dict[int, int] = {}
-            for _, h, n, _ in texts:
-                own[h] = own.get(h, 0) + n
-            for k, h, _, shared in texts:
-                if shared:
-                    held.setdefault((k, h), {})[digest] = own
-        out = [k for k, own in sorted(held.items()) if different([p for _, p in sorted(_least(own), key=lambda x: (-sum(x[1].values()), x[0]))])]
-        return pd.DataFrame({"_host": [key[0]], "template": [json.dumps(out)]})
+    sent = pages.select("_host", "digest", "less", "page", "chosen").mapInArrow(find, "_host string, k long, h long, less long, digest string")
+    return sent.groupBy("_host", "k", "h").agg(F.min(F.struct("less", "digest"))["digest"].alias("digest"))
 
-    sent = pages.select("_host", "_html", "slots").mapInArrow(sample, "_host string, digest string, page string")
-    return sent.groupBy("_host").applyInPandas(judge, "_host string, template string")
 
-
-def _least(pages: dict) -> list[tuple]:
-    return sorted(pages.items())[:_SAMPLE] if len(pages) > _SAMPLE else list(pages.items())
+def templates(pages: DataFrame, salt: int = 1) -> DataFrame:
+    """``_host, template``: the texts of ``_html`` that ``slots`` of the host say may be template, and that stand in
+    enough different articles. A host's pages are spread over ``salt`` parts."""
+    rows = stage(articles(pages), "articles")
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64("digest"), F.lit(salt)).cast("int"))
+    texts = stage(_longest(rows.withColumn("chosen", F.lit(None).cast("string"))).select("_host", "k", "h", F.array("digest").alias("digests")), "longest")
+    for _ in range(_ARTICLES - 1):
+        digests = texts.select("_host", F.explode("digests").alias("digest")).distinct()
+        # no more pages of a host than its texts that may be template, times those chosen for each
+        others = rows.join(digests, ["_host", "digest"], "left_semi").dropDuplicates(["_host", "digest"])
+        chosen = texts.groupBy("_host").agg(F.collect_list(F.struct("k", "h", "digests")).alias("texts")).join(
+            others.groupBy("_host").agg(F.collect_list(F.struct("digest", "page")).alias("pages")), "_host")
+        chosen = stage(chosen.select("_host", F.to_json(F.struct("texts", "pages")).alias("chosen")), "chosen")
+        spread = chosen.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+        found = _longest(salted.join(spread, ["_host", "_salt"]))
+        texts = stage(texts.join(found, ["_host", "k", "h"]).select("_host", "k", "h", F.concat("digests", F.array("digest")).alias("digests")), "longest")
+    return texts.groupBy("_host").agg(F.to_json(F.sort_array(F.collect_list(F.array("k", "h")))).alias("template"))
 
 
 def expression(node: list) -> str:
@@ -535,7 +558,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     if hosts.isEmpty():
         hosts = wrappers.select("_host", "slots", F.lit(None).cast("string").alias("template"))
     else:
-        hosts = wrappers.drop("shared").join(stage(templates(joined(hosts)), "templates"), "_host", "left")
+        hosts = wrappers.drop("shared").join(stage(templates(joined(hosts), salt), "templates"), "_host", "left")
 
     @F.pandas_udf("string")
     def cut(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:

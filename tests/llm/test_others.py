@@ -235,6 +235,18 @@ def test_wrappers_keep_near_copies(spark):
         assert got == want
 
 
+def test_wrappers_look_at_all_pages_for_different_articles(spark):
+    article = "".join(f"<p>Paragraph {k} of a long article that most pages have.</p>" for k in range(6))
+    # two other articles among many near copies: hardly any 64 pages show both
+    stories = {40: "The first of two other stories, told once", 90: "The second of two other stories, also told once"}
+    page = "<body><div>Our motto</div><section>{}</section></body>"
+    pages = [(n, f"http://many.example/{n}", page.format(f"<p>{stories[n]}</p>" if n in stories else f"<h1>Day {n}</h1>{article}")) for n in range(200)]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in wrappers.extract(frame.repartition(5), salt=3).collect()}
+    assert {n: got[n] for n in stories} == stories
+    assert all(text.startswith(f"Day {n} Paragraph 0") for n, text in got.items() if n not in stories)
+
+
 def test_pipeline_stages(spark, tmp_path):
     import corpus_pipeline
 
