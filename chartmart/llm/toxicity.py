@@ -57,7 +57,9 @@ _VOWELS = "aeiou"
 _COST = {"leet": 0.7, "drop": 0.5, "space": 0.2, "shrink": 0.3, "censor": 2.5}
 _PLAIN = re.compile(r"[^\W\d_]+")
 _TRIPLE = re.compile(r"(.)\1")
-_SPACED = re.compile(r"(?<!\S)\S(?:\s+\S){2,}(?!\S)")
+_MARKS = re.compile(r"([^\w\s])\1{2,}$")
+_RUN = re.compile(r"(.)\1*", re.S)
+_LEET_SIGNS = frozenset(LEET)
 _TAIL = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum()) + "«»“”‘’…–—¿¡"
 _N = 28
 
@@ -112,6 +114,29 @@ def _made(back: tuple | None) -> str:
     return "".join(reversed(out))
 
 
+class _Remembered(dict):
+    """What ``make`` gives for each key, made once."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, key):
+        out = self[key] = self.make(key)
+        return out
+
+
+def _spaced(tokens: list[str]) -> Iterator[str]:
+    """Each run of three or more single characters, parted by one space."""
+    single = [k for k, token in enumerate(tokens) if len(token) == 1]
+    first = 0
+    for k in range(1, len(single) + 1) if len(single) > 2 else ():
+        if k == len(single) or single[k] != single[k - 1] + 1:
+            if k - first > 2:
+                yield " ".join(tokens[single[first] : single[k - 1] + 1])
+            first = k
+
+
 class Restorer:
     """Likeliest reading of tokens, remembered from one to the next.
 
@@ -119,21 +144,18 @@ class Restorer:
     """
 
     def __init__(self, lm: np.ndarray, keep=lambda words: words):
-        self.lm, self.keep, self.known = lm.tolist(), keep, {}
+        self.lm = lm.ravel().tolist()  # of signs a, b, c at (a * 28 + b) * 28 + c
+        self.known = _Remembered(lambda token: keep(self.read(token)))
+        self.decoded = _Remembered(self.decode)
+        self.edges = _Remembered(lambda run: self._edges(*run))
 
     def each(self, text: str) -> list:
         """What is kept of each distinct token, and of each run of single characters, of a text."""
-        text = text.lower()
-        known = self.known
-        if len(known) > 400_000:
-            known.clear()
-        out = []
-        for token in {*text.split(), *(" ".join(run.split()) for run in _SPACED.findall(text))}:
-            got = known.get(token)
-            if got is None:
-                got = known[token] = self.keep(self.read(token))
-            out.append(got)
-        return out
+        tokens = text.lower().split()
+        for held in (self.known, self.decoded, self.edges):
+            if len(held) > 400_000:
+                held.clear()
+        return list(map(self.known.__getitem__, {*tokens, *_spaced(tokens)}))
 
     def words(self, text: str) -> set[str]:
         """The distinct restored words of a text."""
@@ -145,64 +167,74 @@ class Restorer:
             return (core,)
         # a letter or two doubled is common in plain words: both readings count
         plain = tuple(_PLAIN.findall(token))
-        given = token if any(c in LEET for c in token) else core
-        given = re.sub(r"([^\w\s])\1{2,}$", "", given.strip(".,;:?\"'"))
-        if not any(c.isalpha() for c in given):
+        given = core if _LEET_SIGNS.isdisjoint(token) else token
+        given = _MARKS.sub("", given.strip(".,;:?\"'"))
+        if not any(map(str.isalpha, given)):
             return plain
-        return tuple(dict.fromkeys([*plain, *self.decode(given).split()]))
+        return tuple(dict.fromkeys([*plain, *self.decoded[given].split()]))
 
     def decode(self, given: str) -> str:
         """Viterbi over (last two signs) along the lattice of ``given``, whole however long it is.
 
-        Each state keeps its cost and a back-pointer: (that of the state before, letters made).
+        A state is the last two signs, the first times 28 plus the second. Each keeps its cost and a
+        back-pointer: (that of the state before, letters made).
         """
-        ends: dict[int, dict] = {0: {(0, 0): (0.0, None)}}
-        for at in range(len(given)):
-            states = ends.pop(at, None)
-            if not states:
-                continue
-            edges = self._edges(given, at)
-            for (a, b), (cost, back) in states.items():
-                for stop, made, price in edges:
-                    x, y, c = a, b, cost + price
-                    for ch in made:
-                        z = 0 if ch == " " else ord(ch) - 96 if "a" <= ch <= "z" else 27
-                        c -= self.lm[x][y][z]
-                        x, y = y, z
-                    into = ends.setdefault(stop, {})
-                    old = into.get((x, y))
-                    if old is None or c < old[0]:
-                        into[x, y] = (c, (back, made) if made else back)
-        last = [(c - self.lm[a][b][0], back) for (a, b), (c, back) in ends.get(len(given), {}).items()]
-        least = min((c for c, _ in last), default=0.0)
-        return min((_made(back) for c, back in last if c == least), default="")
+        lm, edges_of = self.lm, self.edges
+        states: dict[int, tuple] = {0: (0.0, None)}
+        for run in _RUN.finditer(given):
+            whole = run[0]
+            ch, n = whole[0], len(whole)
+            n, times = (n, 1) if n == 1 or ch.isalpha() else (1, n)
+            edges = edges_of[ch, n]
+            for _ in range(times):  # all edges that leave a place end in one place
+                into: dict[int, tuple] = {}
+                if len(edges) == 1 and len(edges[0][1]) == 1:  # most places
+                    ((made, (z,), price),) = edges
+                    for x, (cost, back) in states.items():
+                        c, x = cost + price - lm[x * _N + z], x % _N * _N + z
+                        if x not in into or c < into[x][0]:
+                            into[x] = (c, (back, made))
+                    states = into
+                    continue
+                for state, (cost, back) in states.items():
+                    for made, signs, price in edges:
+                        x, c = state, cost + price
+                        for z in signs:
+                            c -= lm[x * _N + z]
+                            x = x % _N * _N + z
+                        if x not in into or c < into[x][0]:
+                            into[x] = (c, (back, made) if made else back)
+                states = into
+        last = [(c - lm[x * _N], back) for x, (c, back) in states.items()]
+        if len(last) == 1:
+            return _made(last[0][1])
+        least = min(c for c, _ in last)
+        return min(_made(back) for c, back in last if c == least)
 
     @staticmethod
-    def _edges(given: str, at: int) -> list[tuple[int, str, float]]:
-        """(next position, letters made, channel cost) of each edge that leaves a position."""
-        ch = given[at]
+    def _edges(ch: str, n: int) -> list[tuple[str, list[int], float]]:
+        """(letters made, their signs, channel cost) of each edge over a run of ``n`` letters, or over another character."""
         if ch.isalpha():
-            stop = at + 1
-            while stop < len(given) and given[stop] == ch:
-                stop += 1
-            n = stop - at
-            if n == 1:
-                return [(stop, ch, 0.0)]
-            return [(stop, ch, _COST["shrink"] * n), (stop, ch * 2, 0.0 if n == 2 else _COST["shrink"] * n)]
-        if ch.isspace():
-            return [(at + 1, "", _COST["space"]), (at + 1, " ", 1.0)]
-        out = [(at + 1, made, _COST["leet"]) for made in LEET.get(ch, "")]
-        if ch in _CENSOR:
-            out += [(at + 1, v, _COST["censor"]) for v in _VOWELS]
-        if not ch.isdigit():
-            out.append((at + 1, "", _COST["drop"]))
-        return out or [(at + 1, " ", 1.0)]
+            out = [(ch, 0.0)] if n == 1 else [(ch, _COST["shrink"] * n), (ch * 2, 0.0 if n == 2 else _COST["shrink"] * n)]
+        elif ch.isspace():
+            out = [("", _COST["space"]), (" ", 1.0)]
+        else:
+            out = [(made, _COST["leet"]) for made in LEET.get(ch, "")]
+            if ch in _CENSOR:
+                out += [(v, _COST["censor"]) for v in _VOWELS]
+            if not ch.isdigit():
+                out.append(("", _COST["drop"]))
+            out = out or [(" ", 1.0)]
+        return [(made, [0 if c == " " else ord(c) - 96 if "a" <= c <= "z" else 27 for c in made], price) for made, price in out]
 
 
 def _features(words) -> set[str]:
-    out = {f"={w}" for w in words if len(w) > 2}
-    for n in PREFIXES:
-        out.update([f"{w[:n]}-" for w in words if len(w) > n])
+    out = {"=" + w for w in words if len(w) > 2}
+    for w in words:
+        size = len(w)
+        for n in PREFIXES:
+            if size > n:
+                out.add(w[:n] + "-")
     return out
 
 

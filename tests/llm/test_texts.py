@@ -285,6 +285,21 @@ def test_restorer_reads_the_lattice():
     assert read.words("plain words, here.") == {"plain", "words", "here"}
 
 
+def test_restorer_decodes_what_differs_once():
+    made = []
+
+    class Counted(toxicity.Restorer):
+        def decode(self, given):
+            made.append(given)
+            return super().decode(given)
+
+    read = Counted(np.zeros((28, 28, 28)))
+    text = "balloon balloon, (balloon) balloon. I d i o t a b sad a b c"
+    assert read.words(text) >= {"balloon", "sad"}
+    assert sorted(made) == ["a b c", "balloon", "i d i o t a b"]
+    assert list(toxicity._spaced("a b cc d e f gg h i".split())) == ["d e f"]
+
+
 def test_restorer_reads_long_lattices_whole():
     words_ = "you are an idiot and the moron so very much of all people here".split()
     signs = toxicity._signs(" " + " ".join(words_ * 50) + " ")
