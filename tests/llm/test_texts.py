@@ -294,7 +294,7 @@ def test_restorer_decodes_what_differs_once():
             return super().decode(given)
 
     read = Counted(np.zeros((28, 28, 28)))
-    text = "balloon balloon, (balloon) balloon. I d i o t a b sad a b c"
+    text = "balloon balloon, 'balloon' balloon. I d i o t a b sad a b c"
     assert read.words(text) >= {"balloon", "sad"}
     assert sorted(made) == ["a b c", "balloon", "i d i o t a b"]
     assert list(toxicity._spaced("a b cc d e f gg h i".split())) == ["d e f"]

@@ -106,3 +106,33 @@ def test_keep_one_text_equals_exact(spark):
     hashed = drop_exact_duplicates(docs, ["text"], order=["doc_id"])
     assert rows(hashed) == rows(exact)
     assert hashed.count() == docs.select("text").distinct().count()
+
+
+def test_purge_does_not_shuffle_wide_rows_for_few_keys(spark):
+    from pyspark.sql import functions as F
+
+    from chartmart.operators.dedup import purge_duplicated_keys
+
+    rows = spark.range(300).select((F.col("id") % 290).alias("k"), F.lit("wide").alias("v"))
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if the planner saw too many keys for its own limit
+    try:
+        out = purge_duplicated_keys(rows, ["k"], ["k", "v"])
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert sorted(r.k for r in out.collect()) == list(range(10, 290))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+
+
+def test_whole_averages_are_exact(spark):
+    from pyspark.sql import functions as F
+
+    from chartmart.operators.marts import _avg
+
+    values = [2**63 - 1, -(2**63), 2**63 - 1, -5, 7, None]
+    rows = spark.createDataFrame([(k % 2, v) for k, v in enumerate(values * 3)] + [(2, None)], "g int, v long")
+    got = rows.groupBy("g").agg(_avg("v", 6, True).alias("a"), _avg("v", 6).alias("b")).collect()
+    assert len(got) == 3 and all(r.a == r.b for r in got)
+    plan = rows.groupBy("g").agg(_avg("v", 6, True).alias("a"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "avg(" not in plan
