@@ -14,6 +14,10 @@ FACT = ("track_key long, artist_key long, country_key long, date_key long, rank
         "weeks_on_chart long, streams long, popularity_score double")
 
 
+class Staged(Exception):
+    pass
+
+
 def test_both_upserts_share_one_purged_chart(monkeypatch):
     made = []
     monkeypatch.setattr(R, "chart_purged", lambda *a: made.append(a) or "chart")
@@ -24,3 +28,17 @@ def test_both_upserts_share_one_purged_chart(monkeypatch):
     monkeypatch.setattr(R, "_tall", lambda dims: dims)
     assert R.q_run_incremental_dims(None, "sf") == {"dim_artist": ["chart"], "dim_track": ["chart"]}
     assert len(made) == 1
+
+
+@pytest.mark.parametrize("query", [R.q_run_marts, R.q_dq_report, R.q_dq_report_compiled, R.q_model_marts])
+def test_the_fact_is_stored_before_it_is_read_twice(spark, monkeypatch, query):
+    fact = spark.createDataFrame([], FACT)
+
+    def first(df, name, *a):
+        raise Staged(df is fact, name)
+
+    monkeypatch.setattr(R, "fact_and_dims", lambda *a: (fact, {"dim_artist": spark.createDataFrame([], "artist_key long, artist_name string")}))
+    monkeypatch.setattr(R, "stage", first)
+    with pytest.raises(Staged) as e:
+        query(spark, "sf")
+    assert e.value.args == (True, "fact")
