@@ -42,3 +42,14 @@ def test_the_fact_is_stored_before_it_is_read_twice(spark, monkeypatch, query):
     with pytest.raises(Staged) as e:
         query(spark, "sf")
     assert e.value.args == (True, "fact")
+
+
+def test_foreign_keys_count_rows_of_grouped_keys(spark, monkeypatch):
+    rows = [(t, a, None, 1, 1, 1, 1, 1, 1, 0.5) for t, a in ((1, 1), (1, 9), (7, 9), (7, None), (None, 9), (7, 9))]
+    dims = {d: spark.createDataFrame([(1,), (1,), (2,)], f"{k} long") for k, d in R._oracle_dims().items()}
+    stored = []
+    monkeypatch.setattr(R, "fact_and_dims", lambda *a: (spark.createDataFrame(rows, FACT), dims))
+    monkeypatch.setattr(R, "stage", lambda df, name: stored.append(df.columns) or stage(df, name))
+    got = {r[0]: (r[1], r[2]) for r in R.q_dq_fact_foreign_keys(spark, "sf").collect()}
+    assert got == {"fk_track_key": (3, 1), "fk_artist_key": (4, 1), "fk_country_key": (0, 6), "fk_date_key": (0, 0)}
+    assert stored == [list(R._oracle_dims())]
