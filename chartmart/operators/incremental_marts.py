@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chartmart.operators.bucketed import _touched, bucket_of
+from chartmart.operators.marts import is_whole, whole_sum
 from chartmart.session import stage
 from chartmart.sources.commits import CommittedTable, Version, replaced
 
@@ -37,7 +38,8 @@ class IncrementalMart:
     def _partials(self, rows: DataFrame) -> DataFrame:
         aggregates = [F.count(F.lit(1)).alias("_rows")]
         for c in self.columns:
-            aggregates += [F.coalesce(F.sum(F.col(c).cast(EXACT)), F.lit(0)).cast(EXACT).alias(f"_sum_{c}"), F.count(c).alias(f"_num_{c}")]
+            total = whole_sum(c) if is_whole(rows, c) else F.sum(F.col(c).cast(EXACT))
+            aggregates += [F.coalesce(total.cast(EXACT), F.lit(0)).cast(EXACT).alias(f"_sum_{c}"), F.count(c).alias(f"_num_{c}")]
         return rows.groupBy(*self.group).agg(*aggregates)
 
     def load(self, part: str, rows: DataFrame, run: str | None = None) -> Version:

@@ -53,3 +53,27 @@ def test_foreign_keys_count_rows_of_grouped_keys(spark, monkeypatch):
     got = {r[0]: (r[1], r[2]) for r in R.q_dq_fact_foreign_keys(spark, "sf").collect()}
     assert got == {"fk_track_key": (3, 1), "fk_artist_key": (4, 1), "fk_country_key": (0, 6), "fk_date_key": (0, 0)}
     assert stored == [list(R._oracle_dims())]
+
+
+def test_loads_of_a_mart_store_its_columns_only(spark, monkeypatch):
+    def first(df, name, *a):
+        raise Staged(sorted(df.columns))
+
+    monkeypatch.setattr(R, "fact_and_dims", lambda *a: (spark.createDataFrame([], FACT), {}))
+    monkeypatch.setattr(R, "stage", first)
+    with pytest.raises(Staged) as e:
+        R.q_weekly_trend_incremental(spark, "sf")
+    assert e.value.args[0] == ["date_key", "rank", "streams"]
+
+
+def test_partial_sums_of_whole_columns_are_exact(spark, tmp_path):
+    big = 2**62
+    values = [(1, big, -1), (1, big - 1, None), (1, -big, -(2**40)), (2, -7, 3), (2, None, 4), (3, None, None), (None, 5, -5)]
+    fact = spark.createDataFrame([(1, a, 1, 1, r, 1, 1, 1, s, None if s is None else s / 4) for a, s, r in values], FACT)
+    mart = IncrementalMart(CommittedTable(spark, f"file://{tmp_path}/{uuid.uuid4().hex}"), ["artist_key"], ARTIST, buckets=4)
+    small = fact.where("artist_key > 1 or artist_key is null")
+    mart.load("a", fact.select("artist_key", "streams", "rank", "popularity_score"))
+    sums = {r["artist_key"]: (r["_sum_streams"], r["_num_streams"], r["_sum_rank"]) for r in mart.table.read(None, "totals").collect()}
+    assert sums == {1: (big - 1, 3, -1 - 2**40), 2: (-7, 1, 7), 3: (0, 0, 0), None: (5, 1, -5)}
+    got = sorted(map(str, mart.read(6).where("artist_key > 1 or artist_key is null").collect()))
+    assert got == sorted(map(str, artist_streams(small, 6).collect()))
