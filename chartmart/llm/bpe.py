@@ -13,6 +13,7 @@ The merge table has a row for each way to cut a token into two tokens; as a merg
 result names its rank, the leftmost pair of least rank is what the byte-pair rule merges
 next. DuckDB runs inside the task, with one thread and a bound on its memory; nothing but
 the merge table (bounded by the vocabulary) is broadcast, and partitions stay as read.
+Batches are of ``text.BATCH_ROWS`` rows; a partition remembers a bounded number of pieces.
 
 The pieces of a batch are encoded in groups of about ``_GROUP`` bytes. A piece of ``n``
 bytes takes up to ``n`` rounds over its own rows: cheap for words, and for one of several
@@ -27,7 +28,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import duckdb
 import numpy as np
@@ -39,8 +41,9 @@ from pyspark.sql.types import BinaryType, StructField, StructType
 
 from . import text as T
 
-_GROUP = 1 << 20
+_GROUP = 1 << 18
 _MEMORY = "400MB"
+_KNOWN = 100_000  # pieces remembered: the latest so many at least, twice as many at most (and those of a batch)
 
 
 def read_ranks(spark: SparkSession, path: str) -> dict[bytes, int]:
@@ -121,15 +124,15 @@ class Codec:
             out[piece] = bytes.fromhex(text)
         return out
 
-    def listed(self, lists: pa.ChunkedArray) -> tuple[list[int], list[str]]:
-        """Length of each list, and its ids in decimal joined by commas."""
-        found = self._ask("SELECT len(ids) AS n, array_to_string(ids, ',') AS text FROM lists", "lists", pa.table({"ids": lists}))
-        return found.column("n").to_pylist(), found.column("text").to_pylist()
+    def listed(self, lists: pa.ChunkedArray) -> list[str]:
+        """The ids of each list in decimal, joined by commas."""
+        return self._ask("SELECT array_to_string(ids, ',') AS text FROM lists", "lists", pa.table({"ids": lists})).column("text").to_pylist()
 
 
 def _encoded(docs: DataFrame, path: str, pattern: str, columns: list[str], text_col: str, finish, schema: str) -> DataFrame:
     """Rows of ``columns`` and what ``finish(texts, pieces, ids, codec)`` makes of each batch."""
     spark = docs.sparkSession
+    T.small_batches(spark)
     ranks = read_ranks(spark, path)
     given = spark.sparkContext.broadcast((ranks, merge_table(ranks)))
     kept = [docs.schema[c] for c in columns]
@@ -137,29 +140,57 @@ def _encoded(docs: DataFrame, path: str, pattern: str, columns: list[str], text_
     target = StructType(kept + made.fields)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec, split, known = None, regex.compile(pattern), {}
+        split, known = regex.compile(pattern), None
         for batch in batches:
             for part in T.chunks(batch, "_text"):
-                codec = codec or Codec(*given.value)
+                known = known or _Known(Codec(*given.value), finish)
                 pieces = [split.findall(t or "") for t in part.column("_text").to_pylist()]
-                if len(known) > 400_000:  # a memo of this partition, begun anew now and then
-                    known.clear()
-                new = [p for p in dict.fromkeys(x for own in pieces for x in own) if p not in known]
-                if new:
-                    known.update(zip(new, finish.memo(codec.encode([p.encode() for p in new]), codec)))
-                columns_made = finish.rows(pieces, known)
+                columns_made = finish.rows(pieces, *known.of(chain.from_iterable(pieces)))
                 yield pa.RecordBatch.from_arrays([part.column(c) for c in columns] + columns_made, names=[*columns, *made.names])
+        if known:  # the worker lives on
+            known.codec.db.close()
+            pa.default_memory_pool().release_unused()
 
     rows = docs.select(*columns, F.col(text_col).alias("_text"))
     return rows.mapInArrow(encode, target)
 
 
+class _Known:
+    """What ``finish.memo`` gives for the pieces of a partition, in a dictionary for each of its lists.
+
+    Two generations bound it: a full one is set aside, its pieces are taken over when they are
+    met again and the others are dropped with it, to be encoded again if they come back.
+    """
+
+    def __init__(self, codec: Codec, finish):
+        self.codec, self.finish = codec, finish
+        self.young = self.old = ({},) * finish.width
+
+    def of(self, pieces: Iterable[str]) -> tuple[dict, ...]:
+        """Dictionaries that hold all of ``pieces``."""
+        if not self.young[0] or len(self.young[0]) > _KNOWN:
+            self.young, self.old = tuple({} for _ in self.young), self.young
+        first = self.young[0]
+        missing = [p for p in dict.fromkeys(pieces) if p not in first]
+        before = self.old[0]
+        again = [p for p in missing if p in before]
+        for young, old in zip(self.young, self.old):
+            young.update((p, old[p]) for p in again)
+        new = [p for p in missing if p not in first]
+        if new:
+            for young, made in zip(self.young, self.finish.memo(new, self.codec)):
+                young.update(zip(new, made))
+        return self.young
+
+
 class _Ids:
     """A list of ids per text."""
 
+    width = 1
+
     @staticmethod
-    def memo(ids: pa.ChunkedArray, codec: Codec) -> list:
-        return ids.to_pylist()
+    def memo(pieces: list[str], codec: Codec) -> tuple[list, ...]:
+        return (codec.encode([p.encode() for p in pieces]).to_pylist(),)
 
     @staticmethod
     def rows(pieces: list[list[str]], known: dict) -> list[pa.Array]:
@@ -169,18 +200,22 @@ class _Ids:
 class _Digest:
     """Number of ids, digest of the ids, and digest of the bytes that the ids decode to."""
 
+    width = 2
+
     @staticmethod
-    def memo(ids: pa.ChunkedArray, codec: Codec) -> list:
-        return list(zip(*codec.listed(ids), codec.decode(ids)))
+    def memo(pieces: list[str], codec: Codec) -> tuple[list, ...]:
+        ids = codec.encode([p.encode() for p in pieces])
+        back = [x.decode() for x in codec.decode(ids)]
+        return codec.listed(ids), [p if p == x else x for p, x in zip(pieces, back)]  # equal texts are held once
 
     @staticmethod
-    def rows(pieces: list[list[str]], known: dict) -> list[pa.Array]:
+    def rows(pieces: list[list[str]], listed: dict, back: dict) -> list[pa.Array]:
         n, ids, decoded = [], [], []
         for own in pieces:
-            found = [known[p] for p in own]
-            n.append(sum([x[0] for x in found]))
-            ids.append(hashlib.sha256(",".join([x[1] for x in found]).encode()).hexdigest())
-            decoded.append(hashlib.sha256(b"".join([x[2] for x in found])).hexdigest())
+            text = ",".join(map(listed.__getitem__, own))
+            n.append(text.count(",") + 1 if own else 0)  # no piece is without ids
+            ids.append(hashlib.sha256(text.encode()).hexdigest())
+            decoded.append(hashlib.sha256("".join(map(back.__getitem__, own)).encode()).hexdigest())
         return [pa.array(n, pa.int64()), pa.array(ids), pa.array(decoded)]
 
 

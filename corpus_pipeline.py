@@ -11,11 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chartmart.llm import bpe, linededup, mixing, probminhash, quality
+from chartmart.llm import text as T
 from chartmart.session import stage
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base or a certified cutoff go."""
+    T.small_batches(spark)  # for this stage and those after it
     return quality.keep(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 

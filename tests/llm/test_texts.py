@@ -243,6 +243,35 @@ def test_bpe_any_row_order():
         assert found.column("ids").to_pylist() == expected
 
 
+def test_bpe_remembers_a_bounded_number_of_pieces(monkeypatch):
+    monkeypatch.setattr(bpe, "_KNOWN", 5)
+    enc = tokenizer()
+    ranks = bpe.read_ranks(None, RANKS)
+    known = bpe._Known(bpe.Codec(ranks, bpe.merge_table(ranks)), bpe._Digest)
+    asked = []
+    encode = known.codec.encode
+    monkeypatch.setattr(known.codec, "encode", lambda pieces: asked.extend(pieces) or encode(pieces))
+    for k in range(12):
+        own = [" common", "ß中", *(f"word{k}x{j}" for j in range(3))] + ["word0x0"] * (k == 11)
+        listed, back = known.of(own + own)
+        assert [listed[p] for p in own] == [",".join(map(str, enc.encode_ordinary(p))) for p in own]
+        assert [back[p] for p in own] == own and all(back[p] is p for p in back)
+        assert sum(map(len, (*known.young, *known.old))) <= 2 * 2 * (5 + len(own))
+    assert asked.count(b" common") == 1 and asked.count(b"word0x0") == 2  # in use: kept; not met again: dropped
+
+
+def test_bpe_gets_small_batches(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    try:
+        for given, then in (("10000", "1000"), ("0", "1000"), ("200", "200")):
+            spark.conf.set(name, given)
+            assert bpe.digest(empty(spark), RANKS, public_tokenizers.PATTERN).collect() == []
+            assert spark.conf.get(name) == then
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_toxicity(spark):
     rng = np.random.default_rng(5)
     vocabulary = [a + b + c for a in ("ther", "ing", "and", "ons", "ble") for b in ("re", "at", "is", "ou") for c in ("st", "nd", "er", "ly")]
