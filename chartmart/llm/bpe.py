@@ -13,7 +13,8 @@ The merge table has a row for each way to cut a token into two tokens; as a merg
 result names its rank, the leftmost pair of least rank is what the byte-pair rule merges
 next. DuckDB runs inside the task, with one thread and a bound on its memory; nothing but
 the merge table (bounded by the vocabulary) is broadcast, and partitions stay as read.
-Batches are of ``text.BATCH_ROWS`` rows; a partition remembers a bounded number of pieces.
+Batches are of ``text.BATCH_ROWS`` rows; a Python worker remembers a bounded number of pieces,
+also from one partition to the next that it is given.
 
 The pieces of a batch are encoded in groups of about ``_GROUP`` bytes. A piece of ``n``
 bytes takes up to ``n`` rounds over its own rows: cheap for words, and for one of several
@@ -30,6 +31,7 @@ import base64
 import hashlib
 from collections.abc import Iterable, Iterator
 from itertools import chain
+from typing import ClassVar
 
 import duckdb
 import numpy as np
@@ -43,7 +45,7 @@ from . import text as T
 
 _GROUP = 1 << 18
 _MEMORY = "400MB"
-_KNOWN = 100_000  # pieces remembered: the latest so many at least, twice as many at most (and those of a batch)
+_KNOWN = 200_000  # pieces remembered: the latest so many at least, twice as many at most (and those of a batch)
 
 
 def read_ranks(spark: SparkSession, path: str) -> dict[bytes, int]:
@@ -52,6 +54,10 @@ def read_ranks(spark: SparkSession, path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
 
 
+def _digest_of(ranks: dict[bytes, int]) -> str:
+    return hashlib.sha256(b"".join(b"%d %d " % (len(t), r) + t for t, r in ranks.items())).hexdigest()
+
+
 def merge_table(ranks: dict[bytes, int]) -> pa.Table:
     """(left, right, token): every way to cut a token into two."""
     rows = [(ranks[t[:k]], ranks[t[k:]], r) for t, r in ranks.items() for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks]
@@ -135,6 +141,7 @@ def _encoded(docs: DataFrame, path: str, pattern: str, columns: list[str], text_
     T.small_batches(spark)
     ranks = read_ranks(spark, path)
     given = spark.sparkContext.broadcast((ranks, merge_table(ranks)))
+    whose = _digest_of(ranks)
     kept = [docs.schema[c] for c in columns]
     made = StructType.fromDDL(schema)
     target = StructType(kept + made.fields)
@@ -143,11 +150,12 @@ def _encoded(docs: DataFrame, path: str, pattern: str, columns: list[str], text_
         split, known = regex.compile(pattern), None
         for batch in batches:
             for part in T.chunks(batch, "_text"):
-                known = known or _Known(Codec(*given.value), finish)
+                known = known or _Known(Codec(*given.value), finish, whose)
                 pieces = [split.findall(t or "") for t in part.column("_text").to_pylist()]
                 columns_made = finish.rows(pieces, *known.of(chain.from_iterable(pieces)))
                 yield pa.RecordBatch.from_arrays([part.column(c) for c in columns] + columns_made, names=[*columns, *made.names])
         if known:  # the worker lives on
+            known.leave()
             known.codec.db.close()
             pa.default_memory_pool().release_unused()
 
@@ -160,11 +168,20 @@ class _Known:
 
     Two generations bound it: a full one is set aside, its pieces are taken over when they are
     met again and the others are dropped with it, to be encoded again if they come back.
+    The worker's next partition with the same tokenizer (``whose``) starts with what a finished
+    one knew; a partition that fails leaves nothing.
     """
 
-    def __init__(self, codec: Codec, finish):
-        self.codec, self.finish = codec, finish
-        self.young = self.old = ({},) * finish.width
+    _left: ClassVar[dict] = {}  # of this process, for one tokenizer and ``finish`` at a time
+
+    def __init__(self, codec: Codec, finish, whose: str = ""):
+        self.codec, self.finish, self.key = codec, finish, (whose, finish)
+        none = ({},) * finish.width
+        self.young, self.old = self._left.pop(self.key, (none, none))
+        self._left.clear()
+
+    def leave(self) -> None:
+        self._left[self.key] = self.young, self.old
 
     def of(self, pieces: Iterable[str]) -> tuple[dict, ...]:
         """Dictionaries that hold all of ``pieces``."""

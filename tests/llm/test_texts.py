@@ -260,6 +260,29 @@ def test_bpe_remembers_a_bounded_number_of_pieces(monkeypatch):
     assert asked.count(b" common") == 1 and asked.count(b"word0x0") == 2  # in use: kept; not met again: dropped
 
 
+def test_a_worker_keeps_its_pieces_for_the_next_partition(monkeypatch):
+    ranks = {bytes([b]): b for b in range(256)} | {b"ab": 256, b"abc": 257}
+    other = {bytes([b]): 255 - b for b in range(256)}
+    asked = []
+    real = bpe._Digest.memo
+    monkeypatch.setattr(bpe._Digest, "memo", staticmethod(lambda pieces, codec: asked.append(pieces) or real(pieces, codec)))
+    monkeypatch.setattr(bpe._Known, "_left", {})
+
+    def partition(table, pieces):
+        known = bpe._Known(bpe.Codec(table, bpe.merge_table(table)), bpe._Digest, bpe._digest_of(table))
+        listed, back = known.of(pieces)
+        out = [listed[p] for p in pieces], [back[p] for p in pieces]
+        known.leave()
+        return out
+
+    first = partition(ranks, ["abc", "ab", "x"])
+    assert first == (["257", "256", "120"], ["abc", "ab", "x"])
+    assert partition(ranks, ["x", "abc", "y"]) == (["120", "257", "121"], ["x", "abc", "y"])
+    assert asked == [["abc", "ab", "x"], ["y"]]
+    assert partition(other, ["x"]) == (["135"], ["x"]), "another tokenizer has ids of its own"
+    assert asked[-1] == ["x"] and len(bpe._Known._left) == 1
+
+
 def test_bpe_gets_small_batches(spark):
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(name)
