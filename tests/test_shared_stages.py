@@ -4,9 +4,12 @@ import uuid
 
 import pytest
 
+from chartmart import session
 from chartmart.operators.incremental_marts import ARTIST, IncrementalMart
 from chartmart.operators.marts import artist_streams
 from chartmart.plans import registry as R
+from chartmart.plans.flows import clean_release
+from chartmart.schemas import RELEASE_COLUMNS
 from chartmart.session import stage
 from chartmart.sources.commits import CommittedTable
 
@@ -77,3 +80,23 @@ def test_partial_sums_of_whole_columns_are_exact(spark, tmp_path):
     assert sums == {1: (big - 1, 3, -1 - 2**40), 2: (-7, 1, 7), 3: (0, 0, 0), None: (5, 1, -5)}
     got = sorted(map(str, mart.read(6).where("artist_key > 1 or artist_key is null").collect()))
     assert got == sorted(map(str, artist_streams(small, 6).collect()))
+
+
+def test_hashes_are_stored_with_the_typed_rows_and_read_alone(spark, monkeypatch):
+    columns = RELEASE_COLUMNS
+    row = lambda uri, name: tuple({"uri": f"catalog:tracks:{uri}", "track_name": name, "release_date": "05-11-2024"}.get(c) for c in columns)
+    raw = spark.createDataFrame([row("a", "x"), row("a", "x"), row("a", "y"), row("b", "x"), row("b", "y")] + 2 * [(None,) * len(columns)],
+                                ", ".join(f"{c} string" for c in columns))
+    plans = {}
+
+    def seen(df, name, *a):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString(), df._jdf.queryExecution().executedPlan().toString()
+        return stage(df, name, *a)
+
+    monkeypatch.setattr(session, "stage", seen)
+    out = clean_release(raw)
+    assert "xxhash64" in plans["release_clean"][0] and "xxhash64" not in plans["repeated_hashes"][0]
+    assert "ReadSchema: struct<_h1:bigint,_h2:int>" in plans["repeated_hashes"][1]
+    assert "xxhash64" not in plans["dup_keys"][0]
+    assert sorted((r.uri or "", r.track_name or "") for r in out.collect()) == [("", ""), ("", ""), ("b", "x"), ("b", "y")]
+    assert out.columns == [*columns, "load_timestamp"]
