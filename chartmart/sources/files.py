@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from chartmart.session import shuffles_freed
+
 
 @dataclass(frozen=True)
 class FileFormat:
@@ -14,7 +16,9 @@ class FileFormat:
     quote), one header line skipped, empty field -> NULL. Columns are bound by position to
     the given schema; header names are ignored.
     A record is one line, so large files are read by many tasks. ``multi_line=True`` also reads
-    quoted fields that hold newlines, at the price of one task per file."""
+    quoted fields that hold newlines, at the price of one task per file.
+    Files are written as ``compression`` says, of ``file_rows`` rows at most: a gzip file is read by one task, so
+    it is kept to a size that one task reads. Readers take any codec by the files' names."""
 
     sep: str = ","
     quote: str = '"'
@@ -24,6 +28,8 @@ class FileFormat:
     multi_line: bool = False
     mode: str = "FAILFAST"
     encoding: str = "UTF-8"
+    compression: str = "gzip"
+    file_rows: int = 500_000
 
     def reader_options(self) -> dict[str, str]:
         return {
@@ -37,6 +43,7 @@ class FileFormat:
         # the CSV writer trims edge whitespace unless told not to: keep values byte-exact
         return {"sep": self.sep, "quote": self.quote, "escape": self.escape,
                 "header": str(self.header).lower(), "nullValue": self.null_value, "encoding": self.encoding,
+                "compression": self.compression, "maxRecordsPerFile": str(self.file_rows),
                 "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
@@ -46,7 +53,8 @@ def scan_csv(spark: SparkSession, path: str, schema: T.StructType, fmt: FileForm
 
 
 def write_csv(df: DataFrame, path: str, fmt: FileFormat = FileFormat()) -> None:
-    df.write.mode("overwrite").options(**fmt.writer_options()).csv(path)
+    with shuffles_freed(df.sparkSession):
+        df.write.mode("overwrite").options(**fmt.writer_options()).csv(path)
 
 
 def write_replace(df: DataFrame, target: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> None:
