@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chartmart import session
+from chartmart.operators import dedup
 from chartmart.session import stage
 from chartmart.sources.files import FileFormat, scan_csv, write_csv
 from conftest import rows
@@ -60,3 +61,50 @@ def test_writes_in_threads_put_the_setting_back(spark):
     assert spark.conf.get(session._FREE) == "true"
     two.__exit__(None, None, None)
     assert spark.conf.get(session._FREE) == setting
+
+
+def test_a_purge_in_slices_is_one_purge(spark, monkeypatch):
+    fact = spark.range(4000).select((F.col("id") % 700).alias("k1"), F.when(F.col("id") % 50 != 0, F.col("id") % 3).alias("k2"),
+                                    F.when(F.col("id") % 7 == 0, 0).otherwise(F.col("id")).alias("v"))
+    staged, stage_ = {}, session.stage
+    monkeypatch.setattr(session, "stage", lambda df, name, *a: staged.setdefault(name, []).append(stage_(df, name, *a)) or staged[name][-1])
+    want = rows(dedup.purge_duplicated_keys(stage_(fact, "fact"), ["k1", "k2"], ["k1", "k2", "v"]))
+    assert 0 < len(want) < 4000
+    staged.clear()
+    for limit in (dedup.MOST_BROADCAST, 5):  # key sets that are broadcast, and that are too large for it
+        monkeypatch.setattr(dedup, "MOST_BROADCAST", limit)
+        assert rows(dedup.purge_in_slices(fact, ["k1", "k2"], ["k1", "k2", "v"], "fact_rows", slice_rows=1500)) == want
+    assert len(staged["fact_rows"]) == 2 and staged["fact_rows"][0].columns == fact.columns  # stored once, without hashes
+    sizes = [d.count() for d in staged["repeated_hashes"]]
+    assert len(sizes) == 6 and min(sizes) > 0  # three slices each
+
+
+def test_a_large_key_set_does_not_shuffle_all_rows(spark, monkeypatch):
+    data = [(i % 90 if i % 11 else None, f"t{i % 4}", float(i)) for i in range(500)] + [(1000 + i, "t0", 0.0) for i in range(500)]
+    df = stage(spark.createDataFrame(data, "a bigint, b string, c double"), "wide")
+    keys = stage(df.where("a < 60 or a is null").select("a", "b").distinct(), "keys")
+    want = {how: rows(dedup.by_keys(df, keys, ["a", "b"], how)) for how in ("left_semi", "left_anti")}
+    assert all(want.values()) and sum(map(len, want.values())) == len(data)
+    monkeypatch.setattr(dedup, "MOST_BROADCAST", 10)
+    monkeypatch.setattr(dedup, "FILTER_BITS", 16)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for how, found in want.items():
+            got = dedup.by_keys(df, keys, ["a", "b"], how)
+            assert rows(got) == found
+            plan = got._jdf.queryExecution().executedPlan().toString()
+            assert "BroadcastHashJoin" in plan.split("SortMergeJoin", 1)[1]  # what is shuffled has passed the filter
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_the_literal_purge_of_the_fact_stores_it_once(spark, monkeypatch):
+    from chartmart.plans import flows
+
+    seen = []
+    monkeypatch.setattr(flows, "build_fact", lambda *a: "fact")
+    monkeypatch.setattr(flows, "purge_in_slices", lambda *a: seen.append(a) or "purged")
+    dims = dict.fromkeys(("dim_track", "dim_artist", "dim_country", "dim_date"))
+    assert flows.run_fact(None, dims, purge_early=False) == "purged"
+    assert seen[0][0] == "fact" and seen[0][1:3] == (flows.FACT_KEYS, flows.FACT_COLUMNS)
