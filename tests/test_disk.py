@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chartmart import session
-from chartmart.operators import dedup
+from chartmart.operators import dedup, fact
 from chartmart.session import stage
 from chartmart.sources.files import FileFormat, scan_csv, write_csv
 from conftest import rows
@@ -108,3 +108,17 @@ def test_the_literal_purge_of_the_fact_stores_it_once(spark, monkeypatch):
     dims = dict.fromkeys(("dim_track", "dim_artist", "dim_country", "dim_date"))
     assert flows.run_fact(None, dims, purge_early=False) == "purged"
     assert seen[0][0] == "fact" and seen[0][1:3] == (flows.FACT_KEYS, flows.FACT_COLUMNS)
+
+
+def test_lookups_broadcast_dimensions_of_few_rows(spark):
+    src = spark.createDataFrame([("x", 1), ("y", 2), (None, 3)], "id string, v int")
+    dim = stage(spark.createDataFrame([("x", 10), ("x", 11), ("z", 12)], "nat string, key bigint"), "dim")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # the planner alone would shuffle
+    try:
+        for few, join in ((3, "BroadcastHashJoin"), (2, "SortMergeJoin")):
+            out = fact.star_lookup(src, [fact.Lookup(dim, "id", "nat", "key", few=few)])
+            assert rows(out) == rows(spark.createDataFrame([("x", 1, 10), ("x", 1, 11), ("y", 2, None), (None, 3, None)], "id string, v int, key bigint"))
+            assert join in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
