@@ -19,6 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chartmart.operators.dedup import by_keys
 from chartmart.operators.keys import assign_from_sequence
 from chartmart.operators.upsert import merge_upsert
 from chartmart.session import stage
@@ -78,13 +79,14 @@ class PurgeIndex:
     Three families are committed together:
 
     ``prints``  ``_h1, _h2, _n``: how many rows with this fingerprint (128 bits of all compared
-                columns and the key) were ever loaded, by bucket of ``_h1``;
+                columns and the key) a load brought, by bucket of ``_h1``; all its entries count together;
     ``dead``    the keys of repeated groups, by bucket of the key: later rows with such a key go too;
     ``rows``    the rows that stay, by bucket of the key.
 
     A load reads the buckets of ``prints`` and ``dead`` that its rows fall into. Rows of earlier
     loads are read only in the buckets of keys that die by this load, first the key columns
-    alone; buckets that hold such rows are written anew, to all others files are added.
+    alone; buckets that hold such rows are written anew, each from its own files without a shuffle, to all
+    others files are added.
     Null parts of compared columns are equal, a row with a null key part is never purged.
     """
 
@@ -95,39 +97,45 @@ class PurgeIndex:
     def _family(self, base: Version, family: str, like: DataFrame, buckets: Sequence[int] | None = None) -> DataFrame:
         return self.table.read(base, family, buckets) if family in base.schemas else like.limit(0)
 
-    def load(self, df: DataFrame, run: str | None = None) -> Version:
+    def load(self, df: DataFrame, run: str | None = None, stored: bool = False) -> Version:
+        """``stored``: ``df`` reads written files, no copy is needed."""
         if run is not None and (done := self.table.committed(run)):
             return done
         base, names, keys = self.table.latest(), df.columns, self.keys
-        # two hashes of all columns, with differing seeds; nulls count by their place
+        rows = df if stored else stage(df, "load")
+        # two hashes of all columns, with differing seeds; nulls count by their place. Not stored with the rows: they take more room than those
         marks = F.concat(*[F.when(F.col(c).isNull(), F.lit("0")).otherwise(F.lit("1")) for c in self.by])
-        rows = stage(df.select("*", F.xxhash64(*self.by, marks).alias("_h1"), F.xxhash64(F.lit(7), marks, *reversed(self.by)).alias("_h2")), "load")
+        pair = [F.xxhash64(*self.by, marks).alias("_h1"), F.xxhash64(F.lit(7), marks, *reversed(self.by)).alias("_h2")]
 
-        own = rows.groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_n"))
-        touched = _touched(rows, ["_h1"], self.n)
-        old = self._family(base, "prints", own, touched)
-        both = own.withColumn("_new", F.lit(True)).unionByName(old.withColumn("_new", F.lit(False)))
-        prints = stage(both.groupBy("_h1", "_h2").agg(F.sum("_n").alias("_n"), F.max("_new").alias("_new")), "prints")
+        own = rows.select(*pair).groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_n"))
+        index = self.table.write(own, "prints", bucket_of(["_h1"], self.n))
+        mine = self.table.read_written(index)
+        old = self._family(base, "prints", own, sorted(map(int, index.parts)))
+        both = mine.withColumn("_new", F.lit(True)).unionByName(old.withColumn("_new", F.lit(False)))
+        counts = both.groupBy("_h1", "_h2").agg(F.sum("_n").alias("_n"), F.max("_new").alias("_new"))
+        repeated = stage(counts.where("_n > 1 and _new").select("_h1", "_h2"), "repeated")
 
-        repeated = prints.where("_n > 1 and _new").select("_h1", "_h2")
         present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-        dying = rows.where(present).join(repeated, ["_h1", "_h2"], "left_semi").select(*keys).distinct()
+        tagged = rows.where(present).select(*keys, *pair)
+        dying = by_keys(tagged, repeated, ["_h1", "_h2"], "left_semi").select(*keys).distinct()
         dead = self._family(base, "dead", dying, _touched(rows, keys, self.n))
         dying = stage(dying.join(dead, keys, "left_anti"), "dying")
 
-        stay = rows.join(dying, keys, "left_anti").join(dead, keys, "left_anti").select(*names)
+        stay = by_keys(rows, dying, keys, "left_anti")
+        if "dead" in base.schemas:
+            stay = by_keys(stay, dead, keys, "left_anti")
+        stay = stay.select(*names)
         fresh = self.table.write(stay, "rows", bucket_of(keys, self.n))
         kept = self._family(base, "rows", stay, _touched(dying, keys, self.n))
-        hit = _touched(kept.select(*keys).join(dying, keys, "left_semi"), keys, self.n)
+        hit = _touched(by_keys(kept.select(*keys), dying, keys, "left_semi"), keys, self.n)
         left = {}
         if hit:
-            purged = self._family(base, "rows", stay, hit).join(dying, keys, "left_anti").select(*names)
-            left = self.table.write(purged, "rows", bucket_of(keys, self.n)).parts
+            purged = by_keys(self._family(base, "rows", stay, hit), dying, keys, "left_anti").select(*names)
+            left = self.table.write(purged, "rows", bucket_of(keys, self.n), spread=False).parts
 
         parts, schemas = dict(base.parts), dict(base.schemas)
         parts["rows"] = added(replaced(parts.get("rows", {}), hit, left), fresh.parts)
-        index = self.table.write(prints.drop("_new"), "prints", bucket_of(["_h1"], self.n))
-        parts["prints"] = replaced(parts.get("prints", {}), touched, index.parts)
+        parts["prints"] = added(parts.get("prints", {}), index.parts)
         gone = self.table.write(dying, "dead", bucket_of(keys, self.n))
         parts["dead"] = added(parts.get("dead", {}), gone.parts)
         for w in (fresh, index, gone):

@@ -33,6 +33,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from chartmart.session import shuffles_freed
+
 _BUCKET = "_bucket_"
 _NAME = re.compile(r"(\d{12})\.json")
 
@@ -167,20 +169,30 @@ class CommittedTable:
         paths = [f"{self.root}/{folder}" for b in chosen for folder in have[b]]
         return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
-    def write(self, df: DataFrame, family: str = "", bucket: Column | None = None) -> Written:
+    def read_written(self, written: Written) -> DataFrame:
+        """Rows of files that no version names yet."""
+        paths = [f"{self.root}/{folder}" for folders in written.parts.values() for folder in folders]
+        return self.spark.read.schema(written.schema).parquet(*paths) if paths else self.spark.createDataFrame([], written.schema)
+
+    def write(self, df: DataFrame, family: str = "", bucket: Column | None = None, spread: bool = True) -> Written:
         """Write rows into a new folder that no version names yet, and count them on the way.
 
         With ``bucket`` each of its values has a folder of its own. Full buckets are split over tasks and small
-        ones put together by the sizes seen in the shuffle.
+        ones put together by the sizes seen in the shuffle. ``spread=False``: the rows are read from buckets, so each task
+        has few of them as it is, and nothing is shuffled.
         """
         folder, schema = f"data/{uuid.uuid4().hex}", df.schema
         seen = Observation()
         df = df.observe(seen, F.count(F.lit(1)).alias("rows"))
         if bucket is None:
-            df.write.parquet(f"{self.root}/{folder}")
+            with shuffles_freed(self.spark):
+                df.write.parquet(f"{self.root}/{folder}")
             parts = {"": [folder]}
         else:
-            df.withColumn(_BUCKET, bucket).hint("rebalance", _BUCKET).write.partitionBy(_BUCKET).parquet(f"{self.root}/{folder}")
+            df = df.withColumn(_BUCKET, bucket)
+            df = df.hint("rebalance", _BUCKET) if spread else df
+            with shuffles_freed(self.spark):
+                df.write.option("compression", "zstd").partitionBy(_BUCKET).parquet(f"{self.root}/{folder}")
             names = [n for n in self.log.children(f"{self.root}/{folder}") if n.startswith(f"{_BUCKET}=")]
             parts = {n.split("=", 1)[1]: [f"{folder}/{n}"] for n in sorted(names)}
         return Written(family, parts, schema, self._observed(seen, parts, schema))

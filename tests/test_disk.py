@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chartmart import session
-from chartmart.operators import dedup, fact
+from chartmart.operators import bucketed, dedup, fact
 from chartmart.session import stage
+from chartmart.sources.commits import CommittedTable
 from chartmart.sources.files import FileFormat, scan_csv, write_csv
 from conftest import rows
 
@@ -122,3 +123,37 @@ def test_lookups_broadcast_dimensions_of_few_rows(spark):
             assert join in out._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_a_stored_load_is_not_copied_and_earlier_loads_are_not_shuffled(spark, tmp_path, monkeypatch):
+    staged, plans = [], []
+    stage_, write_ = session.stage, CommittedTable.write
+    monkeypatch.setattr(bucketed, "stage", lambda df, name, *a: staged.append((name, df.columns)) or stage_(df, name, *a))
+    monkeypatch.setattr(CommittedTable, "write", lambda self, df, family="", *a, **b: plans.append((family, b)) or write_(self, df, family, *a, **b))
+    table = CommittedTable(spark, f"file://{tmp_path}/table")
+    index = bucketed.PurgeIndex(table, ["k"], ["a"], buckets=4)
+    loads = [[(i, i % 5) for i in range(40)], [(i, i % 5) for i in range(30, 60)], [(7, 2), (None, 1), (None, 1), (99, 0)]]
+    seen, entries = [], 0
+    for load in loads:
+        seen += load
+        df = stage_(spark.createDataFrame(load, "k bigint, a bigint"), "given")
+        index.load(df, stored=True)
+        entries += df.distinct().count()
+        assert rows(index.rows()) == rows(dedup.purge_duplicated_keys(spark.createDataFrame(seen, "k bigint, a bigint"), ["k"], ["a"]))
+        # fingerprints of earlier loads stay where they are, those of this one are added; they count together
+        assert table.read(None, "prints").count() == entries
+    assert table.read(None, "prints").agg(F.sum("_n")).first()[0] == len(seen)
+    assert {name for name, _ in staged} == {"repeated", "dying"}  # neither the rows nor all fingerprints are staged
+    assert [b for family, b in plans if family == "rows" and b] == [{"spread": False}] * 2  # rows purged of loads 1 and 2
+
+
+def test_rows_read_from_buckets_are_written_without_a_shuffle(spark, tmp_path):
+    table = CommittedTable(spark, f"file://{tmp_path}/table")
+    df = spark.range(1000).select("id", (F.col("id") * 3).alias("b"))
+    bucket = bucketed.bucket_of(["id"], 4)
+    first = table.replace(df, bucket=bucket)
+    before = shuffle_files(spark)
+    written = table.write(table.read(first).where("id % 10 > 0"), bucket=bucket, spread=False)
+    assert not shuffle_files(spark) - before
+    assert written.rows == 900 and sorted(written.parts) == sorted(first.parts[""])
+    assert rows(table.read_written(written)) == rows(df.where("id % 10 > 0"))
