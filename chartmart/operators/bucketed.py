@@ -24,9 +24,10 @@ from chartmart.operators.keys import assign_from_sequence
 from chartmart.operators.upsert import merge_upsert
 from chartmart.session import stage
 from chartmart.sources import commits
-from chartmart.sources.commits import CommittedTable, Version, added, replaced
+from chartmart.sources.commits import CommittedTable, Version, Written, added, replaced
 
 BUCKETS = 64
+SLICE_ROWS = 25_000_000  # rows of a load that are shuffled at once
 
 
 def bucket_of(columns: Sequence[str | Column], n: int) -> Column:
@@ -90,13 +91,20 @@ class PurgeIndex:
     Null parts of compared columns are equal, a row with a null key part is never purged.
     """
 
-    def __init__(self, table: CommittedTable, key_cols: Sequence[str], compare_cols: Sequence[str], buckets: int = BUCKETS):
-        self.table, self.keys, self.n = table, list(key_cols), buckets
+    def __init__(self, table: CommittedTable, key_cols: Sequence[str], compare_cols: Sequence[str], buckets: int = BUCKETS,
+                 slice_rows: int = SLICE_ROWS):
+        self.table, self.keys, self.n, self.slice_rows = table, list(key_cols), buckets, slice_rows
         self.by = list(dict.fromkeys([*compare_cols, *key_cols]))
 
     def _family(self, base: Version, family: str, like: DataFrame, buckets: Sequence[int] | None = None) -> DataFrame:
         return self.table.read(base, family, buckets) if family in base.schemas else like.limit(0)
 
+    def _spread(self, rows: DataFrame, n: int) -> Written:
+        """Rows written into their buckets, some buckets after the other: what is shuffled at once is bounded."""
+        bucket = bucket_of(self.keys, self.n)
+        done = [self.table.write(rows.where(F.pmod(bucket, F.lit(n)) == k) if n > 1 else rows, "rows", bucket) for k in range(n)]
+        return Written("rows", reduce(lambda a, b: a | b, [w.parts for w in done]), done[0].schema, sum(w.rows for w in done))
+
     def load(self, df: DataFrame, run: str | None = None, stored: bool = False) -> Version:
         """``stored``: ``df`` reads written files, no copy is needed."""
         if run is not None and (done := self.table.committed(run)):
@@ -124,8 +132,7 @@ class PurgeIndex:
         stay = by_keys(rows, dying, keys, "left_anti")
         if "dead" in base.schemas:
             stay = by_keys(stay, dead, keys, "left_anti")
-        stay = stay.select(*names)
-        fresh = self.table.write(stay, "rows", bucket_of(keys, self.n))
+        fresh = self._spread(stay.select(*names), max(1, -(-index.rows // self.slice_rows)))
         kept = self._family(base, "rows", stay, _touched(dying, keys, self.n))
         hit = _touched(by_keys(kept.select(*keys), dying, keys, "left_semi"), keys, self.n)
         left = {}

@@ -131,7 +131,7 @@ def test_a_stored_load_is_not_copied_and_earlier_loads_are_not_shuffled(spark, t
     monkeypatch.setattr(bucketed, "stage", lambda df, name, *a: staged.append((name, df.columns)) or stage_(df, name, *a))
     monkeypatch.setattr(CommittedTable, "write", lambda self, df, family="", *a, **b: plans.append((family, b)) or write_(self, df, family, *a, **b))
     table = CommittedTable(spark, f"file://{tmp_path}/table")
-    index = bucketed.PurgeIndex(table, ["k"], ["a"], buckets=4)
+    index = bucketed.PurgeIndex(table, ["k"], ["a"], buckets=4, slice_rows=20)
     loads = [[(i, i % 5) for i in range(40)], [(i, i % 5) for i in range(30, 60)], [(7, 2), (None, 1), (None, 1), (99, 0)]]
     seen, entries = [], 0
     for load in loads:
@@ -144,6 +144,7 @@ def test_a_stored_load_is_not_copied_and_earlier_loads_are_not_shuffled(spark, t
         assert table.read(None, "prints").count() == entries
     assert table.read(None, "prints").agg(F.sum("_n")).first()[0] == len(seen)
     assert {name for name, _ in staged} == {"repeated", "dying"}  # neither the rows nor all fingerprints are staged
+    assert [family for family, b in plans].count("rows") == 2 + 2 + 1 + 2  # buckets of a load in slices, and those purged
     assert [b for family, b in plans if family == "rows" and b] == [{"spread": False}] * 2  # rows purged of loads 1 and 2
 
 
